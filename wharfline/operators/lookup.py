@@ -20,6 +20,7 @@ ROW_OVERHEAD_BYTES = 48
 BROADCAST_BYTES = 256 * 1024 * 1024
 HOT_ROWS = 5_000_000
 NULL_SALTS = 4096
+SALT_SEED = 17
 
 
 @dataclass(frozen=True)
@@ -93,19 +94,20 @@ def salted_join(
     """
     if how not in ("left_semi", "left_anti", "left", "inner"):
         raise ValueError(f"cannot salt a {how} join")
-    row = F.monotonically_increasing_id()
+    # Seeded, so a retried task sends its rows the same way.
+    draw = F.rand(SALT_SEED)
     no_key = F.lit(False)
     for c in on:
         no_key = no_key | F.col(c).isNull()
     if hot is None:
-        spread = left.withColumn("_salt", (row % F.lit(salts)).cast("int"))
+        spread = left.withColumn("_salt", (draw * salts).cast("int"))
         count = F.lit(salts)
         repeated = right
     else:
         # A null key matches nothing, so its rows may go anywhere.
         spread = left.join(hot, on, "left").withColumn(
             "_salt",
-            (row % F.when(no_key, F.lit(NULL_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))).cast("int"),
+            (draw * F.when(no_key, F.lit(NULL_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))).cast("int"),
         ).drop("_salts")
         repeated = right.join(hot, on, "left")
         count = F.coalesce(F.col("_salts"), F.lit(1))
@@ -127,9 +129,12 @@ def lookup_join(
     """
     on = [on] if isinstance(on, str) else on
     spark = left.sparkSession
-    unique = unique_keys(right, on)
-    if measure(right).relation_bytes <= max_broadcast_bytes:
-        return left.join(F.broadcast(unique), on, how)
+    needed = right.select(*on) if how in ("left_semi", "left_anti") else right
+    unique = unique_keys(needed, on)
+    if measure(needed).relation_bytes <= max_broadcast_bytes:
+        # Repeated keys cannot multiply rows of a semi or anti join.
+        small = needed if needed is not right else unique
+        return left.join(F.broadcast(small), on, how)
     # Stored once: it is measured and joined, and AQE splits a skewed join only
     # where nothing stands between the exchange and the join.
     ensure_checkpoint_dir(spark)

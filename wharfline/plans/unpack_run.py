@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wharfline.functions import paths as P
-from wharfline.operators.sync import SKIPPED, done_keys, ledger_pending
 from wharfline.operators.lookup import lookup_join
+from wharfline.operators.sync import SKIPPED, done_keys
 from wharfline.operators.transfer import unpack_job
 from wharfline.sources.ledger import mark_done, read_ledger
+from wharfline.workdir import ensure_checkpoint_dir
 
 
 def unpack_targets(files: DataFrame, everywhere: bool = False) -> DataFrame:
@@ -36,13 +37,14 @@ def run_unpack(
     it again after a crash or for new files; done files are skipped.
     """
     targets = unpack_targets(files, everywhere)
-    marks = read_ledger(files.sparkSession, ledger)
-    # Decided before the ledger grows, so that the skipped rows stay the same.
-    skipped = lookup_join(targets, done_keys(marks), "key", "left_semi").checkpoint()
-    outcomes = unpack_job(ledger_pending(targets, marks), out, tasks)
+    done = done_keys(read_ledger(files.sparkSession, ledger)).withColumn("done", F.lit(1))
+    # Stored, so that the split does not move when the ledger grows.
+    ensure_checkpoint_dir(files.sparkSession)
+    split = lookup_join(targets, done, "key", "left").checkpoint()
+    outcomes = unpack_job(split.filter(F.col("done").isNull()), out, tasks)
     mark_done(outcomes, ledger)
     return outcomes.select("src", "dst", "status", "bytes", "error").unionByName(
-        skipped.select(
+        split.filter(F.col("done") == 1).select(
             "src",
             "dst",
             F.lit(SKIPPED).alias("status"),

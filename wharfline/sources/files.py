@@ -30,6 +30,12 @@ def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+def remote_filesystem(root: str) -> tuple[pafs.FileSystem, str, str]:
+    """Filesystem, path inside it, and what stands before paths in URIs."""
+    filesystem, path = _filesystem(root)
+    return filesystem, path, root[: len(root) - len(path)]
+
+
 def staging_name(path: str, token: str) -> str:
     """A hidden name beside ``path``, so that inventories pass over it."""
     folder, name = os.path.split(path)

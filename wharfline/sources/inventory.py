@@ -1,8 +1,8 @@
 """File inventories.
 
-``scan_inventory`` uses Spark's own listing, which leaves out names that begin
-with ``_`` or ``.``; ``walk_inventory`` lists a shared folder itself and leaves
-out only what begins with ``.``.
+``walk_inventory`` lists folders in tasks and is complete. ``scan_inventory``
+uses Spark's own listing, which leaves out empty files and names that begin
+with ``_`` or ``.``; it suits folders written by Spark.
 """
 
 from __future__ import annotations
@@ -11,13 +11,14 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow.fs import FileSelector, FileType
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import wharfline
 from wharfline.functions.paths import relative
-from wharfline.sources.files import posix_path
+from wharfline.sources.files import posix_path, remote_filesystem
 from wharfline.workdir import new_dir
 
 cloudpickle.register_pickle_by_value(wharfline)
@@ -30,6 +31,7 @@ def scan_inventory(spark: SparkSession, root: str, glob: str | None = None) -> D
     """uri, path (below ``root``), size, mtime of every file under ``root``.
 
     Contents are not read. ``glob`` filters file names during the listing.
+    Empty files are not listed.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
@@ -46,23 +48,44 @@ def scan_inventory(spark: SparkSession, root: str, glob: str | None = None) -> D
     )
 
 
-def _list_folders(folders: Iterator[str], hidden: bool) -> Iterator[pd.DataFrame]:
+def _list_folders(folders: Iterator[str], root: str, hidden: bool) -> Iterator[pd.DataFrame]:
+    """Frames of entries; folders are streamed, so a huge one needs no memory."""
+    listing = _list_posix if posix_path(root) else _list_remote(root)
     rows: list[tuple] = []
     for folder in folders:
         try:
-            with os.scandir(folder) as entries:
-                for e in entries:
-                    if e.name.startswith(".") and not hidden:
-                        continue
-                    rows.append(_entry(e))
-                    if len(rows) >= _EMIT_ROWS:
-                        yield _frame(rows)
-                        rows = []
+            for name, row in listing(folder):
+                if hidden or not name.startswith("."):
+                    rows.append(row)
+                if len(rows) >= _EMIT_ROWS:
+                    yield _frame(rows)
+                    rows = []
         except OSError as err:
             rows.append((folder, False, None, None, f"{type(err).__name__}: {err}"))
     yield _frame(rows)
 
 
+def _list_posix(folder: str) -> Iterator[tuple[str, tuple]]:
+    with os.scandir(folder) as entries:
+        for e in entries:
+            yield e.name, _entry(e)
+
+
+def _list_remote(root: str):
+    """Listing of one folder on the filesystem that ``root`` names."""
+    filesystem, path, prefix = remote_filesystem(root)
+
+    def listing(folder: str) -> Iterator[tuple[str, tuple]]:
+        inside = folder[len(prefix):]
+        for info in filesystem.get_file_info(FileSelector(inside)):
+            is_dir = info.type == FileType.Directory
+            stamp = None if is_dir or info.mtime_ns is None else info.mtime_ns // 1000
+            size = None if is_dir else info.size
+            yield info.base_name, (prefix + info.path, is_dir, size, stamp, None)
+
+    return listing
+
+
 def _entry(e: os.DirEntry) -> tuple:
     try:
         e.path.encode("utf-8")
@@ -89,19 +112,20 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 def walk_inventory(
     spark: SparkSession, root: str, hidden: bool = False, tasks: int | None = None
 ) -> DataFrame:
-    """uri, path, size, mtime, error for a folder all executors can see.
+    """uri, path, size, mtime, error for all files below a folder or URI.
 
     One job per folder level lists all folders of that level in parallel;
     hidden folders are never entered unless ``hidden``. What cannot be read is
     a row with ``error`` and no size.
     """
-    top = os.path.abspath(posix_path(root))
+    plain = posix_path(root)
+    top = root.rstrip("/") if plain is None else os.path.abspath(plain)
     work = new_dir(spark, "walk")
     tasks = tasks or spark.sparkContext.defaultParallelism * 4
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield from _list_folders(iter(batch["path"]), hidden)
+            yield from _list_folders(iter(batch["path"]), top, hidden)
 
     folders, level = spark.createDataFrame([(top,)], "path string"), 0
     while True:

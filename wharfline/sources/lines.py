@@ -72,8 +72,8 @@ def split_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             F.col(id_col),
             F.posexplode(F.split(F.col(text_col), LINE_END)).alias("line_no", "raw"),
         )
+        .filter(~is_blank("raw"))
         .select(id_col, F.col("line_no").cast("bigint").alias("line_no"), strip("raw").alias("value"))
-        .filter(F.col("value") != "")
     )
 
 
