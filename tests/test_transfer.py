@@ -80,6 +80,20 @@ def test_copy_detects_a_source_of_another_size(spark, tmp_path):
     assert visible(tmp_path / "out") == {}
 
 
+def test_unknown_size_is_an_error_row(spark, tmp_path):
+    src = write(tmp_path / "in", "f", b"12345")
+    plan = spark.createDataFrame([(src, str(tmp_path / "out/f"), None)], "src string, dst string, size long")
+    assert [r["status"] for r in T.copy_job(plan).collect()] == ["error"]
+    assert visible(tmp_path / "out") == {}
+
+
+def test_two_sources_of_one_target_never_mix(spark, tmp_path):
+    bodies = [bytes([65 + i]) * 5000 for i in range(2)]
+    rows = [(write(tmp_path / "in", f"f{i}", b), str(tmp_path / "out/f"), 5000) for i, b in enumerate(bodies)]
+    T.copy_job(spark.createDataFrame(rows, "src string, dst string, size long"), part_bytes=100)
+    assert visible(tmp_path / "out")["f"] in bodies
+
+
 def test_copy_between_file_uris_and_streamed(spark, tmp_path, monkeypatch):
     plan = spark.createDataFrame(
         [(f"file://{write(tmp_path / 'in', 'a', b'abc')}", f"file://{tmp_path}/out/a", 3)], "src string, dst string, size long")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import time
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 import wharfline
 from wharfline.operators.sync import ERROR, SKIPPED, UPLOADED
 from wharfline.sources import files as IO
-from wharfline.workdir import new_dir
+from wharfline.workdir import ensure_checkpoint_dir, new_dir
 
 # Task functions travel with the job, so executors need no installed package.
 cloudpickle.register_pickle_by_value(wharfline)
@@ -33,6 +34,7 @@ OUTCOME_SCHEMA = (
     "compressed_source string, started timestamp, ended timestamp"
 )
 _ROW = "src string, dst string, bytes bigint, error string, started_us bigint, ended_us bigint"
+_ROW_NAMES = ["src", "dst", "bytes", "error", "started_us", "ended_us"]
 
 
 class TransferError(RuntimeError):
@@ -57,8 +59,13 @@ def _task_token(run: str) -> str:
     return f"{run}-{ctx.taskAttemptId() if ctx else 0}"
 
 
+def _staged(src: str, dst: str, run: str) -> str:
+    """Staging name of one copy; it differs for two sources of one target."""
+    return IO.staging_name(IO.posix_path(dst), f"{run}-{zlib.crc32(src.encode()):08x}")
+
+
 def _default_tasks(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism * 4
+    return spark.sparkContext.defaultParallelism * 2
 
 
 def _outcomes(rows: DataFrame, status: Column, compressed: Column) -> DataFrame:
@@ -95,58 +102,58 @@ def _store(outcomes: DataFrame, out: str | None, run: str, on_error: str) -> Dat
     return stored
 
 
-def _stream_rows(plan: DataFrame, tasks: int, run: str, unpack: bool) -> DataFrame:
-    """One file per row, each streamed whole by one task."""
+def _unpack_rows(plan: DataFrame, tasks: int, run: str) -> DataFrame:
+    """One compressed file per row, each streamed whole by one task."""
 
-    def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         token = _task_token(run)
         for batch in batches:
             rows = [
-                (s, d, *_attempt(lambda s=s, d=d: IO.stream_to(s, d, token, unpack)))
+                (s, d, *_attempt(lambda s=s, d=d: IO.stream_to(s, d, token, unpack=True)))
                 for s, d in zip(batch["src"], batch["dst"])
             ]
-            yield pd.DataFrame(
-                rows, columns=["src", "dst", "bytes", "error", "started_us", "ended_us"]
-            )
+            yield pd.DataFrame(rows, columns=_ROW_NAMES)
 
-    return plan.select("src", "dst").repartition(tasks, "src", "dst").mapInPandas(move, _ROW)
+    return plan.select("src", "dst").repartition(tasks, "src", "dst").mapInPandas(unpack, _ROW)
 
 
 def _part_rows(plan: DataFrame, part_bytes: int) -> DataFrame:
-    last = F.greatest(F.ceil(F.col("size") / F.lit(part_bytes)), F.lit(1)) - 1
-    return plan.select(
-        "src", "dst", "size", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("part")
-    ).select(
-        "src",
-        "dst",
-        "size",
-        (F.col("part") * part_bytes).alias("offset"),
-        F.least(F.col("size") - F.col("part") * part_bytes, F.lit(part_bytes)).alias("length"),
+    """Byte ranges of all files as rows, so one huge file uses many tasks.
+
+    Ranges need a shared folder at both ends; any other file is one range.
+    """
+    ranged = _on_shared_folder("src") & _on_shared_folder("dst")
+    step = F.when(ranged, F.lit(part_bytes)).otherwise(F.greatest("size", F.lit(1))).cast("bigint")
+    last = F.greatest(F.ceil(F.col("size") / F.col("step")), F.lit(1)) - 1
+    return (
+        plan.withColumns({"ranged": ranged, "step": step})
+        .withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+        .withColumn("offset", F.col("part") * F.col("step"))
+        .withColumn("length", F.least(F.col("size") - F.col("offset"), F.col("step")))
+        .drop("part", "step")
     )
 
 
 def _copy_parts(plan: DataFrame, part_bytes: int, tasks: int, run: str) -> DataFrame:
-    """Byte ranges of all files as rows, so one huge file uses many tasks."""
+    def copy_one(r, token: str) -> int:
+        if not r.ranged:
+            return IO.stream_to(r.src, r.dst, token, unpack=False)
+        staged = _staged(r.src, r.dst, run)
+        return IO.copy_range(IO.posix_path(r.src), staged, int(r.offset), int(r.length))
 
-    def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        token = _task_token(run)
         for batch in batches:
-            rows = []
-            for r in batch.itertuples(index=False):
-                staged = IO.staging_name(IO.posix_path(r.dst), run)
-                got = _attempt(
-                    lambda r=r, staged=staged: IO.copy_range(
-                        IO.posix_path(r.src), staged, int(r.offset), int(r.length)
-                    )
-                )
-                rows.append((r.src, r.dst, r.size, *got))
-            yield pd.DataFrame(
-                rows, columns=["src", "dst", "size", "bytes", "error", "started_us", "ended_us"]
-            )
+            rows = [
+                (r.src, r.dst, *_attempt(lambda r=r: copy_one(r, token)), r.size, r.ranged)
+                for r in batch.itertuples(index=False)
+            ]
+            yield pd.DataFrame(rows, columns=[*_ROW_NAMES, "size", "ranged"])
 
     return (
         _part_rows(plan, part_bytes)
         .repartition(tasks, "src", "dst", "offset")
-        .mapInPandas(move, _ROW + ", size bigint")
+        .mapInPandas(copy, _ROW + ", size bigint, ranged boolean")
     )
 
 
@@ -154,15 +161,19 @@ def _commit_parts(parts: DataFrame, tasks: int, run: str) -> DataFrame:
     """Move every file whose parts all arrived to its name."""
 
     def commit_one(r) -> int:
-        staged = IO.staging_name(IO.posix_path(r.dst), run)
-        if r.error is not None or r.bytes != r.size:
-            IO.discard_staged(staged)
-            raise OSError(r.error or f"size mismatch: source {r.size}, copied {r.bytes}")
-        now = os.path.getsize(IO.posix_path(r.src))
-        if now != r.size:
-            IO.discard_staged(staged)
-            raise OSError(f"source changed from {r.size} to {now} bytes")
-        return IO.commit_staged(staged, IO.posix_path(r.dst), int(r.size))
+        staged = _staged(r.src, r.dst, run) if r.ranged else None
+        problem = r.error
+        if problem is None and r.bytes != r.size:
+            problem = f"size mismatch: source {r.size}, copied {r.bytes}"
+        if problem is None and r.ranged:
+            now = os.path.getsize(IO.posix_path(r.src))
+            if now != r.size:
+                problem = f"source changed from {r.size} to {now} bytes"
+        if problem is not None:
+            if staged:
+                IO.discard_staged(staged)
+            raise OSError(problem)
+        return IO.commit_staged(staged, IO.posix_path(r.dst), int(r.size)) if staged else int(r.bytes)
 
     def commit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -170,11 +181,9 @@ def _commit_parts(parts: DataFrame, tasks: int, run: str) -> DataFrame:
             for r in batch.itertuples(index=False):
                 n, error, _, ended = _attempt(lambda r=r: commit_one(r))
                 rows.append((r.src, r.dst, n, error, r.started_us, ended))
-            yield pd.DataFrame(
-                rows, columns=["src", "dst", "bytes", "error", "started_us", "ended_us"]
-            )
+            yield pd.DataFrame(rows, columns=_ROW_NAMES)
 
-    whole = parts.groupBy("src", "dst", "size").agg(
+    whole = parts.groupBy("src", "dst", "size", "ranged").agg(
         F.sum("bytes").alias("bytes"),
         F.min("error").alias("error"),
         F.min("started_us").alias("started_us"),
@@ -182,33 +191,25 @@ def _commit_parts(parts: DataFrame, tasks: int, run: str) -> DataFrame:
     return whole.repartition(tasks, "dst").mapInPandas(commit, _ROW)
 
 
+def _on_shared_folder(name: str) -> Column:
+    return F.startswith(F.col(name), F.lit("file:")) | ~F.contains(F.col(name), F.lit("://"))
+
+
 def _copy_outcomes(plan: DataFrame, run: str, part_bytes: int, tasks: int) -> DataFrame:
     spark = plan.sparkSession
-    plan = plan.select("src", "dst", F.col("size").cast("bigint").alias("size"))
-    shared = _on_shared_folder("src") & _on_shared_folder("dst")
+    # An unknown size cannot be verified; -1 makes it an error row.
+    size = F.coalesce(F.col("size").cast("bigint"), F.lit(-1))
+    plan = plan.select("src", "dst", size.alias("size"))
+    # Stored before anything is renamed: redoing lost parts afterwards could
+    # put an incomplete file in place of a finished one.
     parts_table = new_dir(spark, "parts")
-    _copy_parts(plan.filter(shared), part_bytes, tasks, run).write.parquet(parts_table)
-    committed = _commit_parts(spark.read.parquet(parts_table), tasks, run)
-    streamed = _stream_rows(plan.filter(~shared), tasks, run, unpack=False)
-    rows = committed.unionByName(_check_sizes(streamed, plan))
+    _copy_parts(plan, part_bytes, tasks, run).write.parquet(parts_table)
+    rows = _commit_parts(spark.read.parquet(parts_table), tasks, run)
     return _outcomes(rows, _status(), F.lit(None))
 
 
 def _unpack_outcomes(plan: DataFrame, run: str, tasks: int) -> DataFrame:
-    rows = _stream_rows(plan, tasks, run, unpack=True)
-    return _outcomes(rows, _status(), F.lit("yes"))
-
-
-def _on_shared_folder(name: str) -> Column:
-    return F.startswith(F.col(name), F.lit("file:")) | ~F.contains(F.col(name), F.lit("://"))
-
-
-def _check_sizes(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """A streamed copy with another byte count than planned is an error."""
-    sized = rows.join(plan, ["src", "dst"])
-    wrong = F.col("error").isNull() & (F.col("bytes") != F.col("size"))
-    text = F.format_string("OSError: size mismatch: source %d, copied %d", "size", "bytes")
-    return sized.withColumn("error", F.when(wrong, text).otherwise(F.col("error"))).drop("size")
+    return _outcomes(_unpack_rows(plan, tasks, run), _status(), F.lit("yes"))
 
 
 def copy_job(
@@ -251,6 +252,9 @@ def sync_job(
     """Carry out a plan with ``src, dst, size, action, compressed_source``:
     copy plain files, unpack compressed ones, record the skipped ones."""
     run, tasks = uuid.uuid4().hex, tasks or _default_tasks(plan.sparkSession)
+    # Fixed first: the moves below change what the plan was derived from.
+    ensure_checkpoint_dir(plan.sparkSession)
+    plan = plan.select("src", "dst", "size", "action", "compressed_source").checkpoint()
     todo = plan.filter(F.col("action") != SKIPPED)
     packed = F.coalesce(F.col("compressed_source") == "yes", F.lit(False))
     now = F.current_timestamp()

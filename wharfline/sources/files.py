@@ -27,6 +27,8 @@ def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     path = posix_path(uri)
     if path is not None:
         return pafs.LocalFileSystem(), os.path.abspath(path)
+    if uri.startswith("s3a://"):
+        uri = "s3://" + uri.removeprefix("s3a://")
     return pafs.FileSystem.from_uri(uri)
 
 
@@ -69,12 +71,6 @@ def stream_to(src: str, dst: str, token: str, unpack: bool) -> int:
     return done
 
 
-def size_of(uri: str) -> int | None:
-    filesystem, path = _filesystem(uri)
-    info = filesystem.get_file_info(path)
-    return None if info.type == pafs.FileType.NotFound else info.size
-
-
 def copy_range(src: str, staged: str, offset: int, length: int) -> int:
     """Copy one byte range into the same place of a staged file.
 

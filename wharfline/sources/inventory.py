@@ -121,7 +121,7 @@ def walk_inventory(
     plain = posix_path(root)
     top = root.rstrip("/") if plain is None else os.path.abspath(plain)
     work = new_dir(spark, "walk")
-    tasks = tasks or spark.sparkContext.defaultParallelism * 4
+    tasks = tasks or spark.sparkContext.defaultParallelism * 2
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -20,6 +20,8 @@ from wharfline.functions.text import (
     strip,
     whole_line_key,
 )
+from wharfline.operators.lookup import lookup_join
+from wharfline.workdir import ensure_checkpoint_dir
 
 LINE_END = r"\r\n|\r|\n"
 
@@ -48,18 +50,20 @@ def number_lines(lines: DataFrame) -> DataFrame:
     """Adds ``line_no``, 1-based within each file, to lines with positions.
 
     The rows of a file split follow one another in one partition, so a count
-    and a first row id per split are enough; the lines themselves are never
-    shuffled or sorted, only joined to one small row per split.
+    and a first row id per split are enough. That table is stored and, if it
+    fits, broadcast: the lines themselves are neither sorted nor shuffled.
     """
-    split = ["pos.file", "pos.block"]
-    per_split = lines.groupBy(
-        F.col("pos.file").alias("file"), F.col("pos.block").alias("block")
-    ).agg(F.min("pos.row").alias("first_row"), F.count(F.lit(1)).alias("n"))
+    ensure_checkpoint_dir(lines.sparkSession)
+    per_split = (
+        lines.groupBy(F.col("pos.file").alias("file"), F.col("pos.block").alias("block"))
+        .agg(F.min("pos.row").alias("first_row"), F.count(F.lit(1)).alias("n"))
+        .checkpoint()
+    )
     before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     starts = per_split.withColumn("skip", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    placed = lines.withColumns({"file": F.col("pos.file"), "block": F.col("pos.block")})
     return (
-        lines.withColumns({"file": F.col(split[0]), "block": F.col(split[1])})
-        .join(starts, ["file", "block"])
+        lookup_join(placed, starts, ["file", "block"], "left")
         .withColumn("line_no", F.col("pos.row") - F.col("first_row") + F.col("skip") + 1)
         .drop("file", "block", "first_row", "skip")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: name of the result beside the data file.
 OUTPUT_NAME = "matches_output.csv"
-SINGLE_FILE_BYTES = 1024 * 1024 * 1024
+SINGLE_FILE_BYTES = 64 * 1024 * 1024
 
 
 def output_path(data_path: str) -> str:
@@ -22,7 +22,8 @@ def write_matches(
     """Write ``value`` in input order, replacing ``path``, a folder of parts.
 
     Parts in name order hold the lines in input order. A result of at most
-    ``single_file_bytes`` is one part. ``matches`` is read more than once, so
+    ``single_file_bytes`` is sorted and written as one part by one task; a
+    larger one is range-partitioned. ``matches`` is read more than once, so
     hand over a stored result.
     """
     size = matches.agg(F.sum(F.octet_length("value") + 1).alias("n")).first()["n"] or 0
