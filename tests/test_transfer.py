@@ -148,6 +148,15 @@ GZ = {
 UNPACKED = {"plain": b"hello\n", "two": b"a\nb\n", "zero": b"", "nothing": b""}
 
 
+def test_unpack_tasks_get_even_shares(spark):
+    sizes = [1000, 990, 980, 970] + [10] * 36
+    plan = spark.createDataFrame([(f"s{i:02}", f"d{i}", n) for i, n in enumerate(sizes)], "src string, dst string, size long")
+    spread = T._by_size(plan, 4).groupBy(F.spark_partition_id().alias("p")).agg(F.sum("size").alias("n"), F.count("*").alias("c"))
+    rows = spread.collect()
+    assert len(rows) == 4 and sum(r["c"] for r in rows) == len(sizes)
+    assert max(r["n"] for r in rows) - min(r["n"] for r in rows) <= 30
+
+
 def test_unpack_records_bad_files_and_goes_on(spark, tmp_path):
     for n, b in GZ.items():
         write(tmp_path / "in", n, b)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -83,36 +85,34 @@ def key_variants(
 def key_overlap(columns: dict[str, DataFrame], pairs: list[tuple[str, str]]) -> DataFrame:
     """How many distinct keys two columns share, for each named pair.
 
-    ``columns`` maps a label to a DataFrame with the key in ``k``. One shuffle
-    for all pairs, combined before it, and no join: a value that fills a
-    column is a single row after the partial aggregation.
+    ``columns`` maps a label to a DataFrame with the key in ``k``. Both
+    columns of a pair are stacked and combined before one shuffle; there is no
+    join, and a value that fills a column is a single row by then. Keys of one
+    type are compared as they are, others as text.
     """
-    sides = []
-    for a, b in pairs:
-        for label, in_left in ((a, 1), (b, 0)):
-            sides.append(
-                columns[label].select(
-                    F.lit(a).alias("left_col"),
-                    F.lit(b).alias("right_col"),
-                    F.col("k").cast("string").alias("k"),
-                    F.lit(in_left).alias("l"),
-                    F.lit(1 - in_left).alias("r"),
-                )
-            )
-    stacked = sides[0]
-    for s in sides[1:]:
-        stacked = stacked.unionByName(s)
-    return (
-        stacked.filter(F.col("k").isNotNull())
-        .groupBy("left_col", "right_col", "k")
+    return reduce(DataFrame.unionByName, [_overlap(columns, a, b) for a, b in pairs])
+
+
+def _overlap(columns: dict[str, DataFrame], a: str, b: str) -> DataFrame:
+    types = {columns[label].schema["k"].dataType.simpleString() for label in (a, b)}
+    kind = types.pop() if len(types) == 1 else "string"
+
+    def side(label: str, left: int) -> DataFrame:
+        k = F.col("k").cast(kind)
+        return columns[label].select(k.alias("k"), F.lit(left).alias("l"), F.lit(1 - left).alias("r"))
+
+    per_key = (
+        side(a, 1)
+        .unionByName(side(b, 0))
+        .filter(F.col("k").isNotNull())
+        .groupBy("k")
         .agg(F.max("l").alias("l"), F.max("r").alias("r"))
-        .groupBy("left_col", "right_col")
-        .agg(
-            F.sum("l").alias("n_left"),
-            F.sum("r").alias("n_right"),
-            F.sum(F.col("l") * F.col("r")).alias("n_common"),
-        )
     )
+    return per_key.agg(
+        F.coalesce(F.sum("l"), F.lit(0)).alias("n_left"),
+        F.coalesce(F.sum("r"), F.lit(0)).alias("n_right"),
+        F.coalesce(F.sum(F.col("l") * F.col("r")), F.lit(0)).alias("n_common"),
+    ).select(F.lit(a).alias("left_col"), F.lit(b).alias("right_col"), "n_left", "n_right", "n_common")
 
 
 def key_catalog(overlap: DataFrame) -> DataFrame:

@@ -38,23 +38,23 @@ def match_counts(
     it, so a hot key is a single row by then.
     """
     bad = ~is_decodable("value")
-    tagged = lines.select(
-        F.when(~bad, first_field_key("value") if key is None else key).alias("k"),
-        F.when(bad, F.lit("bad")).when(is_blank("value"), F.lit("blank")).otherwise(F.lit("data")).alias("kind"),
-    ).filter(F.col("kind") != "blank")
+    k = first_field_key("value") if key is None else key
+    tagged = lines.filter(bad | ~is_blank("value")).select(
+        F.when(~bad, k).alias("k"), (~bad).cast("int").alias("data"), bad.cast("int").alias("bad")
+    )
     listed = unique_keys(keys.select("k"), ["k"]).withColumn("listed", F.lit(1))
     if measure(keys.select("k")).relation_bytes <= max_broadcast_bytes:
-        counted = tagged.withColumn("n", F.lit(1)).join(F.broadcast(listed), "k", "left")
+        counted = tagged.join(F.broadcast(listed), "k", "left")
     else:
-        counted = tagged.groupBy("k", "kind").agg(F.count(F.lit(1)).alias("n")).join(listed, "k", "left")
+        per_key = tagged.groupBy("k").agg(F.sum("data").alias("data"), F.sum("bad").alias("bad"))
+        counted = per_key.join(listed, "k", "left")
 
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("bigint")
+    def total(n: Column) -> Column:
+        return F.coalesce(F.sum(n), F.lit(0)).cast("bigint")
 
-    data = F.col("kind") == "data"
     n_keys = keys.agg(F.count_distinct("k").alias("n_keys")).scalar()
     return counted.agg(
-        total(data).alias("n_processed"),
-        total(data & (F.col("listed") == 1)).alias("n_matches"),
-        total(~data).alias("n_errors"),
+        total(F.col("data")).alias("n_processed"),
+        total(F.when(F.col("listed") == 1, F.col("data"))).alias("n_matches"),
+        total(F.col("bad")).alias("n_errors"),
     ).withColumn("n_keys", n_keys)

@@ -1,6 +1,6 @@
 """Copying and unpacking many files as Spark jobs.
 
-A plan has ``src``, ``dst`` and, for copies, ``size``. Every job stores its
+A plan has ``src``, ``dst`` and ``size``. Every job stores its
 outcomes (OUTCOME_SCHEMA) as a table, since a second evaluation would move the
 files again, and returns that table.
 """
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import wharfline
+from wharfline.operators.numbering import number_rows
 from wharfline.operators.sync import ERROR, SKIPPED, UPLOADED
 from wharfline.sources import files as IO
 from wharfline.workdir import ensure_checkpoint_dir, new_dir
@@ -114,7 +115,16 @@ def _unpack_rows(plan: DataFrame, tasks: int, run: str) -> DataFrame:
             ]
             yield pd.DataFrame(rows, columns=_ROW_NAMES)
 
-    return plan.select("src", "dst").repartition(tasks, "src", "dst").mapInPandas(unpack, _ROW)
+    return _by_size(plan, tasks).select("src", "dst").mapInPandas(unpack, _ROW)
+
+
+def _by_size(plan: DataFrame, tasks: int) -> DataFrame:
+    """Files dealt out from the largest down, forth and back over the tasks, so
+    that tasks get about the same bytes and no two giants share one."""
+    sized = plan.withColumn("_less", -F.coalesce(F.col("size"), F.lit(0)))
+    turn = (F.col("_turn") - 1) % (2 * tasks)
+    task = F.when(turn < tasks, turn).otherwise(2 * tasks - 1 - turn)
+    return number_rows(sized, ["_less", "src"], "_turn").repartitionById(tasks, task.cast("int"))
 
 
 def _part_rows(plan: DataFrame, part_bytes: int) -> DataFrame:
@@ -237,7 +247,8 @@ def unpack_job(
     on_error: str = "record",
 ) -> DataFrame:
     """Gunzip ``src`` to ``dst``. A gzip stream cannot be cut, so each file is
-    streamed by one task; a corrupt file gives an error row and no target."""
+    streamed by one task, and ``size`` (compressed) serves to balance the tasks;
+    a corrupt file gives an error row and no target."""
     run, tasks = uuid.uuid4().hex, tasks or _default_tasks(plan.sparkSession)
     return _store(_unpack_outcomes(plan, run, tasks), out, run, on_error)
 

@@ -14,13 +14,13 @@ from wharfline.workdir import ensure_checkpoint_dir
 
 
 def unpack_targets(files: DataFrame, everywhere: bool = False) -> DataFrame:
-    """src, dst, key for the ``.gz`` rows of an inventory with ``uri``.
+    """src, dst, key, size for the ``.gz`` rows of an inventory with ``uri, size``.
 
     ``everywhere`` removes each ``.gz`` in the name, not only the last.
     """
     dst = P.drop_gz_everywhere("uri") if everywhere else P.drop_gz_suffix("uri")
     return files.filter(P.is_gz("uri")).select(
-        F.col("uri").alias("src"), dst.alias("dst"), F.col("uri").alias("key")
+        F.col("uri").alias("src"), dst.alias("dst"), F.col("uri").alias("key"), "size"
     )
 
 

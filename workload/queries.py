@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wharfline.functions import paths as P
+from wharfline.functions.text import first_field_key
 from wharfline.operators import diagnose as D
 from wharfline.operators import folders as FO
 from wharfline.operators import match as M
@@ -59,15 +60,14 @@ def split_lines(spark, d):
 
 def match_document_lines(spark, d):
     keys = L.key_lines(V.benchmark_lines(spark, d))
-    return M.match_lines(L.data_lines(V.document_lines(spark, d)), keys).select(
-        "doc_id", "line_no", "value"
-    )
+    probe = V.document_lines(spark, d).withColumn("k", first_field_key("value"))
+    return M.match_lines(probe, keys).select("doc_id", "line_no", "value")
 
 
 def match_whole_lines(spark, d):
     """Document lines that occur whole in the benchmark: another probe key."""
     keys = L.key_lines(V.benchmark_lines(spark, d))
-    probe = L.data_lines(V.document_lines(spark, d), key=F.col("value"))
+    probe = V.document_lines(spark, d).withColumn("k", F.col("value"))
     return M.match_lines(probe, keys).select("doc_id", "line_no", "value")
 
 
