@@ -81,6 +81,15 @@ def test_gzip_members(spark, tmp_path):
     assert sorted(r["value"] for r in got.collect()) == ["a", "b", "c"]
 
 
+def test_spread_gzip_keeps_positions(spark, tmp_path):
+    lines = [f"line{i}" for i in range(500)]
+    (tmp_path / "f.gz").write_bytes(gzip.compress("\n".join(lines).encode()))
+    df = L.read_lines(spark, str(tmp_path / "f.gz"), positions=True, spread=6)
+    assert df.select(F.spark_partition_id()).distinct().count() == 6
+    got = in_order(L.number_lines(df)).collect()
+    assert [(r["value"], r["line_no"]) for r in got] == [(v, i) for i, v in enumerate(lines, 1)]
+
+
 @pytest.mark.parametrize("split", ["64", "1000"])
 def test_positions_and_numbers_over_many_splits(spark, conf, tmp_path, split):
     conf("spark.sql.files.maxPartitionBytes", split)

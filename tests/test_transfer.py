@@ -80,6 +80,19 @@ def test_copy_detects_a_source_of_another_size(spark, tmp_path):
     assert visible(tmp_path / "out") == {}
 
 
+def test_names_as_long_as_names_can_be(tmp_path, plan_of):
+    name = "n" * 255
+    assert T.copy_job(plan_of({name: b"x"})).first()["status"] == "uploaded"
+    assert visible(tmp_path / "out") == {name: b"x"}
+
+
+def test_task_count_follows_the_plan(spark):
+    plan = spark.createDataFrame([("a", 40 * T.TASK_BYTES), ("b", None)], "src string, size long")
+    assert T._task_count(plan, None) == 40
+    assert T._task_count(plan, 3) == 3
+    assert T._task_count(plan.limit(0), None) == 2 * spark.sparkContext.defaultParallelism
+
+
 def test_unknown_size_is_an_error_row(spark, tmp_path):
     src = write(tmp_path / "in", "f", b"12345")
     plan = spark.createDataFrame([(src, str(tmp_path / "out/f"), None)], "src string, dst string, size long")

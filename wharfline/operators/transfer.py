@@ -7,6 +7,7 @@ files again, and returns that table.
 
 from __future__ import annotations
 
+import math
 import os
 import time
 import uuid
@@ -30,6 +31,10 @@ cloudpickle.register_pickle_by_value(wharfline)
 # Fixed value: bytes per copied part.
 PART_BYTES = 100 * 1024 * 1024
 
+TASK_BYTES = 2 * 1024 * 1024 * 1024
+TASK_FILES = 2_000
+MAX_TASKS = 100_000
+
 OUTCOME_SCHEMA = (
     "src string, dst string, status string, bytes bigint, error string, "
     "compressed_source string, started timestamp, ended timestamp"
@@ -65,8 +70,16 @@ def _staged(src: str, dst: str, run: str) -> str:
     return IO.staging_name(IO.posix_path(dst), f"{run}-{zlib.crc32(src.encode()):08x}")
 
 
-def _default_tasks(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism * 2
+def _task_count(plan: DataFrame, tasks: int | None) -> int:
+    """Enough tasks for the cluster as it is now and for the plan's size; with
+    dynamic allocation a session may start with very few cores."""
+    if tasks:
+        return tasks
+    got = plan.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).first()
+    by_size = math.ceil((got["size"] or 0) / TASK_BYTES)
+    by_count = math.ceil(got["n"] / TASK_FILES)
+    cores = plan.sparkSession.sparkContext.defaultParallelism
+    return min(max(2 * cores, by_size, by_count), MAX_TASKS)
 
 
 def _outcomes(rows: DataFrame, status: Column, compressed: Column) -> DataFrame:
@@ -236,7 +249,7 @@ def copy_job(
     half-written target. Files with another scheme are streamed one per task.
     Existing targets are replaced; a zero-byte file is copied as such.
     """
-    run, tasks = uuid.uuid4().hex, tasks or _default_tasks(plan.sparkSession)
+    run, tasks = uuid.uuid4().hex, _task_count(plan, tasks)
     return _store(_copy_outcomes(plan, run, part_bytes, tasks), out, run, on_error)
 
 
@@ -249,7 +262,7 @@ def unpack_job(
     """Gunzip ``src`` to ``dst``. A gzip stream cannot be cut, so each file is
     streamed by one task, and ``size`` (compressed) serves to balance the tasks;
     a corrupt file gives an error row and no target."""
-    run, tasks = uuid.uuid4().hex, tasks or _default_tasks(plan.sparkSession)
+    run, tasks = uuid.uuid4().hex, _task_count(plan, tasks)
     return _store(_unpack_outcomes(plan, run, tasks), out, run, on_error)
 
 
@@ -262,11 +275,12 @@ def sync_job(
 ) -> DataFrame:
     """Carry out a plan with ``src, dst, size, action, compressed_source``:
     copy plain files, unpack compressed ones, record the skipped ones."""
-    run, tasks = uuid.uuid4().hex, tasks or _default_tasks(plan.sparkSession)
+    run = uuid.uuid4().hex
     # Fixed first: the moves below change what the plan was derived from.
     ensure_checkpoint_dir(plan.sparkSession)
     plan = plan.select("src", "dst", "size", "action", "compressed_source").checkpoint()
     todo = plan.filter(F.col("action") != SKIPPED)
+    tasks = _task_count(todo, tasks)
     packed = F.coalesce(F.col("compressed_source") == "yes", F.lit(False))
     now = F.current_timestamp()
     skipped = plan.filter(F.col("action") == SKIPPED).select(

@@ -7,6 +7,7 @@ URIs go through ``pyarrow.fs``.
 from __future__ import annotations
 
 import gzip
+import hashlib
 import os
 from urllib.parse import unquote, urlparse
 
@@ -39,9 +40,11 @@ def remote_filesystem(root: str) -> tuple[pafs.FileSystem, str, str]:
 
 
 def staging_name(path: str, token: str) -> str:
-    """A hidden name beside ``path``, so that inventories pass over it."""
+    """A hidden name beside ``path``, so that inventories pass over it. Its
+    length does not grow with the name, which may be as long as names can be."""
     folder, name = os.path.split(path)
-    return os.path.join(folder, f".{name}.{token}.part")
+    digest = hashlib.sha256(name.encode()).hexdigest()[:16]
+    return os.path.join(folder, f".{digest}.{token}.part")
 
 
 def stream_to(src: str, dst: str, token: str, unpack: bool) -> int:

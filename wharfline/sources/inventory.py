@@ -25,6 +25,7 @@ cloudpickle.register_pickle_by_value(wharfline)
 
 _ENTRY = "path string, is_dir boolean, size bigint, mtime_us bigint, error string"
 _EMIT_ROWS = 10_000
+_TASK_FOLDERS = 500
 
 
 def scan_inventory(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -121,21 +122,21 @@ def walk_inventory(
     plain = posix_path(root)
     top = root.rstrip("/") if plain is None else os.path.abspath(plain)
     work = new_dir(spark, "walk")
-    tasks = tasks or spark.sparkContext.defaultParallelism * 2
+    at_least = tasks or spark.sparkContext.defaultParallelism * 2
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield from _list_folders(iter(batch["path"]), top, hidden)
 
-    folders, level = spark.createDataFrame([(top,)], "path string"), 0
-    while True:
+    folders, n_folders, level = spark.createDataFrame([(top,)], "path string"), 1, -1
+    while n_folders:
+        level += 1
         here = f"{work}/level={level}"
-        spread = folders if level == 0 else folders.repartition(tasks, "path")
-        spread.mapInPandas(step, _ENTRY).write.parquet(here)
+        if level:
+            folders = folders.repartition(max(at_least, n_folders // _TASK_FOLDERS), "path")
+        folders.mapInPandas(step, _ENTRY).write.parquet(here)
         folders = spark.read.schema(_ENTRY).parquet(here).filter("is_dir").select("path")
-        if folders.isEmpty():
-            break
-        level += 1
+        n_folders = folders.count()
     return (
         spark.read.schema(_ENTRY)
         .parquet(*[f"{work}/level={n}" for n in range(level + 1)])

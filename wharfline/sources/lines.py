@@ -30,16 +30,23 @@ def split_at_line_ends(text: Column | str) -> Column:
     return F.split(unix, "\n")
 
 
-def read_lines(spark: SparkSession, path: str | list[str], positions: bool = False) -> DataFrame:
+def read_lines(
+    spark: SparkSession, path: str | list[str], positions: bool = False, spread: int | None = None
+) -> DataFrame:
     """``value`` per line, gzip files included; with ``positions`` also ``pos``,
     a struct that sorts in input order.
 
     Take positions here: row ids that are added after a filter or a shuffle
-    no longer follow the input.
+    no longer follow the input. ``spread`` deals the lines out to that many
+    partitions; use it for gzip files, which are one partition each.
     """
     df = spark.read.text(path)
-    if not positions:
-        return df
+    if positions:
+        df = _with_positions(df)
+    return df.repartition(spread) if spread else df
+
+
+def _with_positions(df: DataFrame) -> DataFrame:
     return df.select(
         "value",
         F.struct(
