@@ -4,7 +4,6 @@ import random
 
 import pytest
 
-from wharfline.operators.lookup import BROADCAST_BYTES
 from wharfline.plans.match_run import EmptyKeyList, run_match
 from wharfline.sources.lines import key_lines, read_lines
 from wharfline.streaming.match import stream_counts, stream_match, stream_rates
@@ -40,7 +39,7 @@ def brute(raw_lines, listed):
     return n, hits, bad, out
 
 
-@pytest.mark.parametrize("bound", [0, BROADCAST_BYTES])
+@pytest.mark.parametrize("bound", [0, None])
 @pytest.mark.parametrize("blank", [True, False])
 def test_run(spark, conf, tmp_path, bound, blank):
     conf("spark.sql.files.maxPartitionBytes", "500")
@@ -89,7 +88,7 @@ def test_empty_inputs(spark, tmp_path):
     assert (run.status, run.n_processed) == ("no rows", 0)
 
 
-@pytest.mark.parametrize("bound", [0, BROADCAST_BYTES])
+@pytest.mark.parametrize("bound", [0, None])
 def test_stream_equals_batch_and_restarts(spark, tmp_path, bound):
     (tmp_path / "in").mkdir()
     raw = []

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from wharfline.functions.text import key_variants as spellings
 from wharfline.functions.text import preview
-from wharfline.operators.lookup import BROADCAST_BYTES, lookup_join
+from wharfline.operators.lookup import lookup_join
 
 # How many rows each sample shows.
 SAMPLE_LINES = 5
@@ -63,7 +63,7 @@ def sample_members(keys: DataFrame, n: int = SAMPLE_MEMBERS) -> DataFrame:
 
 
 def key_variants(
-    probe: DataFrame, keys: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES
+    probe: DataFrame, keys: DataFrame, max_broadcast_bytes: int | None = None
 ) -> DataFrame:
     """For each distinct probe key the first spelling that is in the list.
 

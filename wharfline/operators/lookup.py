@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from wharfline.workdir import ensure_checkpoint_dir
 
-# A hashed relation holds the key, pointers and a row header beside the bytes.
-ROW_OVERHEAD_BYTES = 48
-BROADCAST_BYTES = 256 * 1024 * 1024
+# A hashed relation holds every key twice, with row headers and map slots.
+ROW_OVERHEAD_BYTES = 112
+# Share of the smaller of driver and executor memory that a broadcast may take.
+MEMORY_SHARE = 8
+MAX_BROADCAST_BYTES = 4 * 1024**3
 HOT_ROWS = 5_000_000
 NULL_SALTS = 4096
 SALT_SEED = 17
@@ -32,7 +34,7 @@ class Extent:
 
     @property
     def relation_bytes(self) -> int:
-        return self.data_bytes + self.rows * ROW_OVERHEAD_BYTES
+        return 2 * self.data_bytes + self.rows * ROW_OVERHEAD_BYTES
 
 
 def measure(df: DataFrame) -> Extent:
@@ -45,6 +47,30 @@ def measure(df: DataFrame) -> Extent:
     return Extent(got["rows"], got["data"] or 0)
 
 
+def memory_bytes(text: str) -> int:
+    """A memory setting such as ``8g``; a bare number is in MiB."""
+    text = text.strip().lower().removesuffix("b")
+    power = {"k": 1, "m": 2, "g": 3, "t": 4}
+    if text[-1:] in power:
+        return int(text[:-1]) * 1024 ** power[text[-1]]
+    return int(text) * 1024**2
+
+
+def broadcast_bound(spark: SparkSession) -> int:
+    """Bytes a broadcast may take in this session."""
+    conf = spark.sparkContext.getConf()
+    memory = [memory_bytes(conf.get("spark.driver.memory", "1g"))]
+    if not conf.get("spark.master", "").startswith("local"):
+        memory.append(memory_bytes(conf.get("spark.executor.memory", "1g")))
+    return min(min(memory) // MEMORY_SHARE, MAX_BROADCAST_BYTES)
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether ``df``, measured, is within the bound (the session's if none)."""
+    bound = broadcast_bound(df.sparkSession) if max_bytes is None else max_bytes
+    return measure(df).relation_bytes <= bound
+
+
 def unique_keys(keys: DataFrame, on: list[str]) -> DataFrame:
     """One row per key. Extra columns keep their greatest value, so the result
     does not depend on the order of duplicates."""
@@ -120,7 +146,7 @@ def lookup_join(
     right: DataFrame,
     on: str | list[str],
     how: str = "left_semi",
-    max_broadcast_bytes: int = BROADCAST_BYTES,
+    max_broadcast_bytes: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``left`` to ``right`` without ever multiplying left rows.
@@ -131,7 +157,7 @@ def lookup_join(
     spark = left.sparkSession
     needed = right.select(*on) if how in ("left_semi", "left_anti") else right
     unique = unique_keys(needed, on)
-    if measure(needed).relation_bytes <= max_broadcast_bytes:
+    if fits_broadcast(needed, max_broadcast_bytes):
         # Repeated keys cannot multiply rows of a semi or anti join.
         small = needed if needed is not right else unique
         return left.join(F.broadcast(small), on, how)
@@ -139,7 +165,7 @@ def lookup_join(
     # where nothing stands between the exchange and the join.
     ensure_checkpoint_dir(spark)
     unique = unique.checkpoint()
-    if measure(unique).relation_bytes <= max_broadcast_bytes:
+    if fits_broadcast(unique, max_broadcast_bytes):
         return left.join(F.broadcast(unique), on, how)
     if aqe_splits_skew(spark):
         return left.join(unique.hint("merge"), on, how)
@@ -147,6 +173,6 @@ def lookup_join(
     return salted_join(left, unique, on, how, _bounded(hot, max_broadcast_bytes))
 
 
-def _bounded(hot: DataFrame, max_bytes: int) -> DataFrame:
+def _bounded(hot: DataFrame, max_bytes: int | None) -> DataFrame:
     """Broadcast the hot-key table if it fits; otherwise leave the join to Spark."""
-    return F.broadcast(hot) if measure(hot).relation_bytes <= max_bytes else hot
+    return F.broadcast(hot) if fits_broadcast(hot, max_bytes) else hot

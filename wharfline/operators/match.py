@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wharfline.functions.text import first_field_key, is_blank, is_decodable
-from wharfline.operators.lookup import BROADCAST_BYTES, lookup_join, measure, unique_keys
+from wharfline.operators.lookup import fits_broadcast, lookup_join, unique_keys
 
 
 def match_lines(
-    probe: DataFrame, keys: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES
+    probe: DataFrame, keys: DataFrame, max_broadcast_bytes: int | None = None
 ) -> DataFrame:
     """Probe rows whose key is in the list. Repeated probe rows stay, repeated
     keys change nothing, and '' matches ''."""
@@ -29,7 +29,7 @@ def match_counts(
     lines: DataFrame,
     keys: DataFrame,
     key: Column | None = None,
-    max_broadcast_bytes: int = BROADCAST_BYTES,
+    max_broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """One row: n_processed, n_matches, n_errors, n_keys.
 
@@ -43,7 +43,7 @@ def match_counts(
         F.when(~bad, k).alias("k"), (~bad).cast("int").alias("data"), bad.cast("int").alias("bad")
     )
     listed = unique_keys(keys.select("k"), ["k"]).withColumn("listed", F.lit(1))
-    if measure(keys.select("k")).relation_bytes <= max_broadcast_bytes:
+    if fits_broadcast(keys.select("k"), max_broadcast_bytes):
         counted = tagged.join(F.broadcast(listed), "k", "left")
     else:
         per_key = tagged.groupBy("k").agg(F.sum("data").alias("data"), F.sum("bad").alias("bad"))

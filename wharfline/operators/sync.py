@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wharfline.functions import paths as P
-from wharfline.operators.lookup import BROADCAST_BYTES, lookup_join
+from wharfline.operators.lookup import lookup_join
 
 # Fixed values.
 UPLOADED, SKIPPED, ERROR = "uploaded", "skipped", "error"
@@ -23,7 +23,7 @@ def visible_files(files: DataFrame, path: str = "path") -> DataFrame:
     return files.filter(~P.is_hidden(path))
 
 
-def gz_twins(files: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def gz_twins(files: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
     """Drops ``x`` where ``x.gz`` is there too; the compressed file wins."""
     packed = files.filter(P.is_gz("path")).select(F.col("path").alias("_twin"))
     # A .gz row looks up a name that no .gz file has, and a distinct one, so
@@ -40,7 +40,7 @@ def sync_plan(
     files: DataFrame,
     present: DataFrame,
     prefix: str = "",
-    max_broadcast_bytes: int = BROADCAST_BYTES,
+    max_broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """path, size, dst, action, compressed_source, shown for each source file.
 
@@ -75,14 +75,14 @@ def done_keys(ledger: DataFrame) -> DataFrame:
 
 
 def ledger_pending(
-    files: DataFrame, ledger: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES
+    files: DataFrame, ledger: DataFrame, max_broadcast_bytes: int | None = None
 ) -> DataFrame:
     """Files whose ``key`` the ledger does not mark as done."""
     return lookup_join(files, done_keys(ledger), "key", "left_anti", max_broadcast_bytes)
 
 
 def reconcile_sizes(
-    expected: DataFrame, present: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES
+    expected: DataFrame, present: DataFrame, max_broadcast_bytes: int | None = None
 ) -> DataFrame:
     """src, dst, size, dst_size, check: verified, mismatch or missing."""
     there = present.select(F.col("key").alias("dst"), F.col("size").alias("dst_size"))
@@ -112,7 +112,7 @@ def outcome_summary(outcomes: DataFrame) -> DataFrame:
 
 
 def completed(
-    plan: DataFrame, outcomes: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES
+    plan: DataFrame, outcomes: DataFrame, max_broadcast_bytes: int | None = None
 ) -> DataFrame:
     """One row: n_done of n_total planned rows, as after an interruption."""
     got = outcomes.select("dst", F.lit(1).alias("_got"))

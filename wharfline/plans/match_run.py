@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from wharfline.functions.text import is_blank, is_decodable
 from wharfline.operators.diagnose import key_variants, sample_keys, sample_lines, sample_members
-from wharfline.operators.lookup import BROADCAST_BYTES
 from wharfline.operators.match import match_lines
 from wharfline.sources.lines import data_lines, first_rejects, key_lines, read_lines
 from wharfline.sources.matches import SINGLE_FILE_BYTES, output_path, write_matches
@@ -49,7 +48,7 @@ def run_match(
     data_path: str,
     key_path: str,
     out: str | None = None,
-    max_broadcast_bytes: int = BROADCAST_BYTES,
+    max_broadcast_bytes: int | None = None,
     single_file_bytes: int = SINGLE_FILE_BYTES,
 ) -> MatchRun:
     """Read both files, keep the matching lines and write them in input order.

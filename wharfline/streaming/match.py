@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wharfline.functions.text import is_blank, is_decodable
-from wharfline.operators.lookup import BROADCAST_BYTES, measure, salted_join, unique_keys
+from wharfline.operators.lookup import fits_broadcast, salted_join, unique_keys
 from wharfline.sources.lines import data_lines
 from wharfline.workdir import ensure_checkpoint_dir
 
@@ -17,7 +17,7 @@ LINES_METRICS, MATCH_METRICS = "lines", "matches"
 def matched_stream(
     lines: DataFrame,
     keys: DataFrame,
-    max_broadcast_bytes: int = BROADCAST_BYTES,
+    max_broadcast_bytes: int | None = None,
     salts: int = 16,
 ) -> DataFrame:
     """Streaming lines (``value``) whose first field is in ``keys`` (``k``).
@@ -35,7 +35,7 @@ def matched_stream(
         F.count_if(~is_decodable("value")).alias("n_errors"),
     )
     probe = data_lines(observed)
-    if measure(stored).relation_bytes <= max_broadcast_bytes:
+    if fits_broadcast(stored, max_broadcast_bytes):
         found = probe.join(F.broadcast(stored), "k", "left_semi")
     else:
         found = salted_join(probe, stored, ["k"], "left_semi", salts=salts)
@@ -50,7 +50,7 @@ def stream_match(
     checkpoint_dir: str,
     files_per_batch: int | None = None,
     continuous_every: str | None = None,
-    max_broadcast_bytes: int = BROADCAST_BYTES,
+    max_broadcast_bytes: int | None = None,
 ) -> StreamingQuery:
     """Start the match: text files in, text files out, each input file once.
 
