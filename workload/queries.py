@@ -193,10 +193,8 @@ def match_files(spark, d):
 
 def stream_match(spark, d):
     base = new_dir(spark, "stream")
-    _write_lines(V.order_lines(spark, d).repartition(4, "pos"), f"{base}/in")
-    query = start_stream(
-        spark, f"{base}/in", _keys(spark, d), f"{base}/out", f"{base}/state", files_per_batch=2
-    )
+    _write_lines(V.order_lines(spark, d), f"{base}/in")
+    query = start_stream(spark, f"{base}/in", _keys(spark, d), f"{base}/out", f"{base}/state")
     query.awaitTermination()
     return spark.read.text(f"{base}/out")
 
@@ -360,7 +358,7 @@ def copy_volume(spark, d):
 def _line_files(spark, d, path, **options):
     """Order lines in one folder per key bucket."""
     lines = V.order_lines(spark, d).select("value", (F.col("pos") % BUCKETS).alias("bucket"))
-    lines.repartition(BUCKETS, "bucket").write.partitionBy("bucket").options(**options).text(path)
+    lines.write.partitionBy("bucket").options(**options).text(path)
     return path
 
 
@@ -410,9 +408,9 @@ def upload_job(spark, d):
     lines = V.order_lines(spark, d).select("value", (F.col("pos") % BUCKETS).alias("bucket"))
     odd = F.col("bucket") % 2 == 1
     for part, compression in ((lines.filter(odd), "gzip"), (lines.filter(~odd), "none")):
-        part.repartition(BUCKETS, "bucket").write.mode("append").partitionBy("bucket").option(
-            "compression", compression
-        ).text(f"{base}/in")
+        part.write.mode("append").partitionBy("bucket").option("compression", compression).text(
+            f"{base}/in"
+        )
     nothing = spark.createDataFrame([], "key string, size bigint")
     # Spark's own marker files are no data.
     plan = plan_upload(spark, f"{base}/in", nothing).filter(P.base_name("path") != "_SUCCESS")
