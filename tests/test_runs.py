@@ -54,7 +54,7 @@ def test_run(spark, conf, tmp_path, bound, blank):
     parts = sorted((tmp_path / "matches_output.csv").glob("part-*"))
     assert len(parts) == 1 and parts[0].read_text().splitlines() == out
     assert run.rows_per_second == pytest.approx(n / run.seconds)
-    assert run.samples.count() == 5 and run.rejects.count() == bad
+    assert run.samples().count() == 5 and run.rejects.count() == bad
 
 
 def test_big_results_are_parts_in_order(spark, tmp_path):

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from wharfline.functions.text import key_variants as spellings
 from wharfline.functions.text import preview
 from wharfline.operators.lookup import lookup_join
+from wharfline.workdir import ensure_checkpoint_dir
 
 # How many rows each sample shows.
 SAMPLE_LINES = 5
@@ -22,8 +23,11 @@ def _flag_members(sample: DataFrame, keys: DataFrame) -> DataFrame:
     """Adds ``in_list`` to a sample of a few rows.
 
     The sample is what gets broadcast: the key list is read once and only the
-    keys that occur in the sample go on.
+    keys that occur in the sample go on. It is used twice, so it is stored
+    first; otherwise the data would be read twice for it.
     """
+    ensure_checkpoint_dir(sample.sparkSession)
+    sample = sample.checkpoint()
     hits = (
         keys.select("k")
         .join(F.broadcast(sample.select("k").distinct()), "k", "left_semi")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,7 +26,10 @@ class EmptyKeyList(ValueError):
 
 @dataclass
 class MatchRun:
-    """Counters of a run, where its result is, and what to look at next."""
+    """Counters of a run, where its result is, and what to look at next.
+
+    ``samples()`` and ``rejects`` read the data file again when asked for.
+    """
 
     status: str
     n_processed: int
@@ -34,7 +38,7 @@ class MatchRun:
     seconds: float
     output: str | None
     matches: DataFrame
-    samples: DataFrame
+    samples: Callable[[], DataFrame]
     rejects: DataFrame
     diagnosis: dict[str, DataFrame] = field(default_factory=dict)
 
@@ -89,7 +93,7 @@ def run_match(
         seconds=time.monotonic() - started,
         output=output,
         matches=matches,
-        samples=sample_lines(probe, keys),
+        samples=lambda: sample_lines(probe, keys),
         rejects=first_rejects(lines),
     )
     if status == "no matches":
