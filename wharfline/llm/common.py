@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from wharfline.workdir import new_dir
 
+_TYPES = {"string": StringType(), "double": DoubleType(), "long": LongType()}
+
 
 def store(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
@@ -31,3 +34,16 @@ def row_tag(df: DataFrame, *names: str) -> None:
     for name in names:
         if df.columns.count(name) != 1:
             raise ValueError(f"column {name} must occur exactly once, columns are {df.columns}")
+
+
+def with_fields(df: DataFrame, **types: str) -> StructType:
+    """The schema of ``df`` followed by new fields; ``df`` has none of these names."""
+    return StructType([*df.schema.fields, *(StructField(n, _TYPES[t]) for n, t in types.items())])
+
+
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, lengthened until no column of ``df`` has that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base

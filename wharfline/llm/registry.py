@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import url_templates, warc
+from . import language_id, toxicity, url_templates, warc
 
 QUERIES = {
     "op2_url_templates": url_templates.op2_url_templates,
     "op4_warc_chunks": warc.op4_warc_chunks,
+    "op6_language_id": language_id.op6_language_id,
+    "op7_toxicity": toxicity.op7_toxicity,
 }
 
 ORACLE_SQL = {

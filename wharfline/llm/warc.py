@@ -45,8 +45,8 @@ def base32_sha1(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
-def record_types(rows: DataFrame, id_col: str, payload: str) -> DataFrame:
-    """Add ``digest_``, ``record_type`` and ``refers_to``.
+def record_types(rows: DataFrame) -> DataFrame:
+    """Add ``digest``, ``record_type`` and ``refers_to`` to row_id, uri, payload.
 
     Among rows with equal payloads (a null one equals an empty one) those with
     the smallest id are responses, the others revisit that id. Rows without an
@@ -54,18 +54,15 @@ def record_types(rows: DataFrame, id_col: str, payload: str) -> DataFrame:
     Payloads that occur once are not looked up, and those that occur often
     shuffle one partial row per task.
     """
-    keyed = rows.withColumn("digest_", F.sha1(F.coalesce(F.col(payload), F.lit("")).cast("binary")))
+    keyed = rows.withColumn("digest", F.sha1(F.coalesce("payload", F.lit("").cast("binary"))))
     first = (
-        keyed.groupBy("digest_").agg(F.min(id_col).alias("first_"), F.count(F.lit(1)).alias("n_"))
-        .where("n_ > 1").drop("n_")
-    )
-    out = keyed.join(first, "digest_", "left")
-    again = F.col("first_").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("first_"))
-    return (
-        out.withColumn("record_type", F.when(again, "revisit").otherwise("response"))
-        .withColumn("refers_to", F.when(again, F.col("first_")))
-        .drop("first_")
+        keyed.groupBy("digest").agg(F.min("row_id").alias("first"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1").drop("n")
     )
+    again = F.col("first").isNotNull() & ~F.col("row_id").eqNullSafe(F.col("first"))
+    return keyed.join(first, "digest", "left").select(
+        "row_id", F.when(again, "revisit").otherwise("response").alias("record_type"),
+        F.when(again, F.col("first")).alias("refers_to"), "digest", "uri", "payload")
 
 
 def _record(row_id, uri, digest: str, kind: str, refers_to, payload: memoryview) -> bytes:
@@ -95,7 +92,7 @@ def _record(row_id, uri, digest: str, kind: str, refers_to, payload: memoryview)
     return b"".join(parts)
 
 
-def write_archives(typed: DataFrame, out_dir: str, id_col: str, payload: str, uri: str | None) -> DataFrame:
+def write_archives(typed: DataFrame, out_dir: str) -> DataFrame:
     """Write rows of ``record_types`` below ``out_dir``; returns the archives written."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,11 +123,7 @@ def write_archives(typed: DataFrame, out_dir: str, id_col: str, payload: str, ur
         if sink is not None:
             yield done()
 
-    cols = typed.select(
-        F.col(id_col).cast("long").alias("row_id"), "record_type", F.col("refers_to").cast("long"), "digest_",
-        (F.col(uri).cast("string") if uri else F.lit(None).cast("string")).alias("uri"),
-        F.col(payload).cast("binary").alias("payload"))
-    return cols.mapInArrow(work, ARCHIVE_SCHEMA)
+    return typed.mapInArrow(work, ARCHIVE_SCHEMA)
 
 
 def _pieces(source) -> Iterator[tuple[bytes, bool]]:
@@ -263,7 +256,11 @@ def archive_table(rows: DataFrame, id_col: str, payload: str, uri: str | None =
     out_dir = out_dir or new_dir(rows.sparkSession, "warc")
     if "://" not in out_dir and not out_dir.startswith("file:"):
         out_dir = f"file://{out_dir}"
-    archives = store(write_archives(record_types(rows, id_col, payload), out_dir, id_col, payload, uri), "archives")
+    own = rows.select(
+        F.col(id_col).cast("long").alias("row_id"),
+        (F.col(uri).cast("string") if uri else F.lit(None).cast("string")).alias("uri"),
+        F.col(payload).cast("binary").alias("payload"))
+    archives = store(write_archives(record_types(own), out_dir), "archives")
     return archives, read_chunks(archives, out_dir, keep_data=False)
 
 
