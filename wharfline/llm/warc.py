@@ -131,54 +131,53 @@ def _pieces(source) -> Iterator[tuple[bytes, bool]]:
     raw = source.read(INPUT_BYTES)
     while raw:
         member = zlib.decompressobj(31)
-        while not member.eof:
+        while True:
             piece = member.decompress(raw, CHUNK_BYTES)
-            raw = member.unconsumed_tail or (member.unused_data if member.eof else b"")
-            if not raw and not member.eof:
-                raw = source.read(INPUT_BYTES)
-                if not raw and not piece:
-                    raise ValueError("archive ends within a record")
             yield piece, member.eof
-        raw = raw or source.read(INPUT_BYTES)
+            if member.eof:
+                raw = member.unused_data or source.read(INPUT_BYTES)
+                break
+            raw = member.unconsumed_tail or source.read(INPUT_BYTES)
+            if not raw and not piece:
+                raise ValueError("archive ends within a record")
 
 
 def iter_chunks(source, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple]:
     """Chunk rows (see CHUNK_SCHEMA) of an open archive, in order."""
-    buffer, header, left = b"", None, 0
-    sha, n_bytes, chunk_no = None, 0, 0
-    for piece, ends in _pieces(source):
+    buffer, header, ended = b"", None, False  # ended: the payload is read, the member's end is not
+    left, sha, n_bytes, chunk_no = 0, hashlib.sha1(), 0, 0
+    for piece, last in _pieces(source):
         buffer += piece
-        while True:
-            if header is None:
-                cut = buffer.find(b"\r\n\r\n")
-                if cut < 0:
-                    if len(buffer) > HEADER_LIMIT + CHUNK_BYTES:
-                        raise ValueError("record header without an end")
-                    break
-                version, *fields = buffer[:cut].decode("utf-8").split("\r\n")
-                if not version.startswith("WARC/"):
-                    raise ValueError(f"not a record: {version[:40]!r}")
-                header = dict(f.split(": ", 1) if ": " in f else (f.rstrip(": "), "") for f in fields)
+        if header is None:
+            cut = buffer.find(b"\r\n\r\n")
+            if cut >= 0:
+                header = _header(buffer[:cut])
                 left, buffer = int(header["Content-Length"]), buffer[cut + 4:]
                 sha, n_bytes, chunk_no = hashlib.sha1(), 0, 0
-            if left > 0 and len(buffer) < min(left, chunk_bytes):
-                break
+            elif last or len(buffer) > HEADER_LIMIT + CHUNK_BYTES:
+                raise ValueError("record header without an end")
+        while header is not None and not ended and len(buffer) >= min(left, chunk_bytes):
             data, buffer = buffer[:min(left, chunk_bytes)], buffer[min(left, chunk_bytes):]
             left -= len(data)
             sha.update(data)
             n_bytes += len(data)
+            ended = left == 0
             yield (header["WARC-Record-ID"], _number(header.get("X-Row-ID")), header["WARC-Type"],
                    _number(header.get("X-Refers-To-Row")), header.get("WARC-Target-URI"),
-                   header["WARC-Payload-Digest"].removeprefix("sha1:"), chunk_no, left == 0, n_bytes,
+                   header["WARC-Payload-Digest"].removeprefix("sha1:"), chunk_no, ended, n_bytes,
                    base32_sha1(sha.digest()), data)
             chunk_no += 1
-            if left == 0:
-                header = False
-                break
-        if ends:
-            if header is not False:
+        if last:
+            if not ended:
                 raise ValueError("member ends within a record")
-            buffer, header = b"", None
+            buffer, header, ended = b"", None, False
+
+
+def _header(raw: bytes) -> dict[str, str]:
+    version, *fields = raw.decode("utf-8").split("\r\n")
+    if not version.startswith("WARC/"):
+        raise ValueError(f"not a record: {version[:40]!r}")
+    return {name: value for name, _, value in (f.partition(": ") for f in fields)}
 
 
 def _number(text: str | None) -> int | None:
