@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import language_id, toxicity, url_templates, warc
+from . import decontaminate, language_id, toxicity, url_templates, warc
 
 QUERIES = {
     "op2_url_templates": url_templates.op2_url_templates,
     "op4_warc_chunks": warc.op4_warc_chunks,
     "op6_language_id": language_id.op6_language_id,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 
 ORACLE_SQL = {
     "op2_url_templates": url_templates.oracle(),
     "op4_warc_chunks": warc.oracle(),
+    "op9_decontaminate": decontaminate.oracle(),
 }
