@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, toxicity, url_templates, warc
+from . import decontaminate, language_id, packing, toxicity, url_templates, warc
 
 QUERIES = {
     "op2_url_templates": url_templates.op2_url_templates,
     "op4_warc_chunks": warc.op4_warc_chunks,
     "op6_language_id": language_id.op6_language_id,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_lexical_packing": packing.op8_lexical_packing,
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 
