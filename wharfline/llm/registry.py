@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, packing, toxicity, url_templates, warc
+from . import decontaminate, language_id, line_dedup, packing, toxicity, url_templates, warc
 
 QUERIES = {
     "op2_url_templates": url_templates.op2_url_templates,
@@ -11,10 +11,12 @@ QUERIES = {
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_lexical_packing": packing.op8_lexical_packing,
     "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_line_chunks": line_dedup.op10_line_chunks,
 }
 
 ORACLE_SQL = {
     "op2_url_templates": url_templates.oracle(),
     "op4_warc_chunks": warc.oracle(),
     "op9_decontaminate": decontaminate.oracle(),
+    "op10_line_chunks": line_dedup.oracle(),
 }
