@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, line_dedup, packing, toxicity, url_templates, warc
+from . import decontaminate, language_id, line_dedup, ngram_join, packing, toxicity, url_templates, warc
 
 QUERIES = {
     "op2_url_templates": url_templates.op2_url_templates,
+    "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_warc_chunks": warc.op4_warc_chunks,
     "op6_language_id": language_id.op6_language_id,
     "op7_toxicity": toxicity.op7_toxicity,
@@ -16,6 +17,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_url_templates": url_templates.oracle(),
+    "op3_ngram_join": ngram_join.oracle(),
     "op4_warc_chunks": warc.oracle(),
     "op9_decontaminate": decontaminate.oracle(),
     "op10_line_chunks": line_dedup.oracle(),
