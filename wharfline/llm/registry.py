@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, line_dedup, ngram_join, packing, toxicity, url_templates, warc
+from . import decontaminate, language_id, line_dedup, ngram_join, packing, suffix_dedup, toxicity, url_templates, warc
 
 QUERIES = {
     "op2_url_templates": url_templates.op2_url_templates,
     "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_warc_chunks": warc.op4_warc_chunks,
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_language_id": language_id.op6_language_id,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_lexical_packing": packing.op8_lexical_packing,
