@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, line_dedup, ngram_join, packing, suffix_dedup, toxicity, url_templates, warc
+from . import decontaminate, graph_dedup, language_id, line_dedup, ngram_join, packing, suffix_dedup, toxicity, url_templates, warc
 
 QUERIES = {
+    "op1_graph_dedup": graph_dedup.op1_graph_dedup,
     "op2_url_templates": url_templates.op2_url_templates,
     "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_warc_chunks": warc.op4_warc_chunks,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_graph_dedup": graph_dedup.oracle(),
     "op2_url_templates": url_templates.oracle(),
     "op3_ngram_join": ngram_join.oracle(),
     "op4_warc_chunks": warc.oracle(),
