@@ -15,8 +15,9 @@ be hot; neighbours are looked for within a shard.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,74 +26,149 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import row_tag, store
+from .exchange import members
+from .kernels import LOWERED, NOT_SPACE, blocks, word_hashes, words
 
 WINDOW = 4096
 END_ID = 2                 # follows every text, by contract
 SHARD_TOKENS = 1 << 20     # tokens of a shard; a longer text is one by itself
 QUERY_TERMS = 24           # heaviest tokens of a seed that are looked up
 K1, B = 1.2, 0.75
-CACHE_ENTRIES = 600_000    # words whose ids a worker remembers
-CACHE_WORD = 64            # longer ones are not remembered
+CACHE_WORDS = 3_000_000    # words whose ids a worker remembers
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _workers: dict[str, tuple] = {}
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where printable, else one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
 class WordTokenizer:
     """Token ids of texts, word by word.
 
-    The tokenizer must treat words between blanks independently, as one does
-    that drops white space before it splits. Each distinct word is then encoded
-    once per worker.
+    The tokenizer must treat words between blanks independently and not tell
+    upper from lower case, as one does that lowers its input and drops white
+    space before it splits. Each distinct word is then encoded once per worker;
+    the ids of a text are put together from arrays.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark = next(iter(sorted(self.tokenizer.get_added_tokens_decoder())), None)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[bytes, bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = [t.content for t in added.values()]
+        self.mark = min(added, default=None)
+        self.letters = str.maketrans(dict(enumerate(_byte_letters())))
+        probe = ["word", "straße", "été", "niño", "unhappiness"]
+        self.direct = [self._model(w) for w in probe] == [e.tolist() for e in self.encode(probe)]
+        self._forget()
+
+    def _forget(self):
+        self.keys = np.zeros(0, np.uint64)     # hashes of known words, ascending
+        self.at = np.zeros(0, np.int64)        # where their ids begin
+        self.size = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words. They are encoded in runs with a special token between them."""
-        texts = [w.decode("utf-8", "replace") for w in words]
-        out: dict[bytes, bytes] = {}
+    def _model(self, word: str) -> list[int]:
+        mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.tokenizer.model.tokenize(mapped)]
+
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of each word's). One run of Latin letters goes to the model as it is; others take
+        the whole way, in runs with a special token between them."""
+        flat: list[int] = []
+        size = np.zeros(len(words), np.int64)
+        tokenize, rest = self.tokenizer.model.tokenize, []
+        order = []  # words in the order of their ids in flat
+        for i, w in enumerate(words):
+            if self.direct and w.isalpha() and w.islower():  # ASCII letters alone
+                found = [t.id for t in tokenize(w.decode())]
+            elif self.direct and w.isascii():
+                rest.append(i)
+                continue
+            else:
+                t = w.decode("utf-8", "replace")
+                t = unicodedata.normalize("NFC", t).lower() if self.direct and max(t) < "\u0250" else ""
+                if not t.isalpha():
+                    rest.append(i)
+                    continue
+                found = self._model(t)
+            order.append(i)
+            size[i] = len(found)
+            flat += found
+        parts = [np.array(flat, np.uint32)]
+        texts = {i: words[i].decode("utf-8", "replace") for i in rest}
         between = self.tokenizer.id_to_token(self.mark) if self.mark is not None else None
-        plain = [i for i, t in enumerate(texts) if between and not any(a in t for a in self.added)]
+        plain = [i for i in rest if between and not any(a in texts[i] for a in self.added)]
         for at in range(0, len(plain), 2000):
             run = plain[at:at + 2000]
-            ids = np.array(self.tokenizer.encode(between.join(texts[i] for i in run), add_special_tokens=False).ids, np.uint32)
-            cuts = np.flatnonzero(ids == self.mark)
-            for i, part in zip(run, np.split(ids, cuts), strict=True):
-                out[words[i]] = part[part != self.mark].tobytes()
-        rest = [i for i in range(len(texts)) if words[i] not in out]
-        for i, ids in zip(rest, self.encode([texts[i] for i in rest]), strict=True):
-            out[words[i]] = ids.tobytes()
-        return out
-
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [t.split() for t in texts]
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        missing = {w for words in split for w in words if w not in self.cache}
-        # a comma or full stop after a letter is a token of its own, so the word before it is looked up without
-        stems = {w: (w[:-1], w[-1:]) for w in missing
-                 if len(w) > 1 and w[-1] in b".," and (w[-2] | 32) in range(97, 123)}
-        wanted = {s for pair in stems.values() for s in pair if s not in self.cache} | (missing - stems.keys())
-        new = self._learn(sorted(wanted))
-        known = lambda w: self.cache[w] if w in self.cache else new[w]
-        new.update({w: known(a) + known(b) for w, (a, b) in stems.items()})
-        self.cache.update((w, i) for w, i in new.items() if len(w) <= CACHE_WORD)
-        long = {w: i for w, i in new.items() if len(w) > CACHE_WORD}
-        get = self.cache.__getitem__
-        if long:
-            return [b"".join(long[w] if w in long else get(w) for w in words) for words in split]
-        return [b"".join(map(get, words)) for words in split]
+            ids = self.encode([between.join(texts[i] for i in run)])[0]
+            is_mark = ids == self.mark
+            size[run] = np.diff(np.concatenate([[-1], np.flatnonzero(is_mark), [len(ids)]])) - 1
+            parts.append(ids[~is_mark])
+            order += run
+        plain = set(plain)
+        others = [i for i in rest if i not in plain]
+        for i, ids in zip(others, self.encode([texts[i] for i in others]) if others else [], strict=True):
+            size[i] = len(ids)
+            parts.append(ids)
+        order = np.array(order + others, np.int64)
+        # back to the order of the words
+        begin = np.zeros(len(words), np.int64)
+        begin[order] = np.cumsum(size[order]) - size[order]
+        pick = np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)
+        return np.concatenate(parts)[pick], size
+
+    def _places(self, keys: np.ndarray, words_at: Callable[[np.ndarray], list[bytes]]) -> np.ndarray:
+        """Places of distinct keys among the known words; unknown ones are learned first."""
+        known, _ = members(keys, self.keys)
+        new = np.flatnonzero(~known)
+        if len(new):
+            if len(self.keys) + len(new) > CACHE_WORDS:
+                self._forget()
+                new = np.arange(len(keys))
+            found, size = self.learn(words_at(new))
+            at = len(self.pool) + np.cumsum(size) - size
+            self.pool = np.concatenate([self.pool, found])
+            every = np.concatenate([self.keys, keys[new]])
+            order = np.argsort(every)
+            self.keys, self.at, self.size = every[order], np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
+        return np.searchsorted(self.keys, keys)
+
+    def ids(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids before each text)."""
+        low = LOWERED[buf]
+        starts, ends, counts = words(buf, offsets, NOT_SPACE)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        # special tokens differ by case, so words that may hold one stay as they are
+        for i in np.unique(np.searchsorted(starts, np.flatnonzero(buf == 0x3C), "right") - 1):
+            low[starts[i]:ends[i]] = buf[starts[i]:ends[i]]
+        # a comma or full stop after a letter is a word by itself
+        last = low[ends - 1]
+        before = low[np.maximum(ends - 2, 0)]
+        stop = (ends - starts > 1) & ((last == 0x2C) | (last == 0x2E)) & (before >= 0x61) & (before <= 0x7A)
+        owner = np.repeat(np.arange(len(starts)), 1 + stop)
+        tail = np.concatenate([[False], owner[1:] == owner[:-1]])
+        begin = np.where(tail, ends[owner] - 1, starts[owner])
+        end = np.where(tail | ~stop[owner], ends[owner], ends[owner] - 1)
+        hashes = word_hashes(low, begin, end)
+        keys, one, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        raw = low.tobytes()
+        cut = lambda new: [raw[a:b] for a, b in zip(begin[one[new]].tolist(), end[one[new]].tolist(), strict=True)]
+        place = self._places(keys, cut)[inverse]
+        size = self.size[place]
+        total = np.concatenate([[0], np.cumsum(size)])
+        pick = np.arange(total[-1]) + np.repeat(self.at[place] - total[:-1], size)
+        return self.pool[pick], total[np.searchsorted(owner, counts)]
 
 
 def _tokenizer(path: str) -> WordTokenizer:
@@ -110,15 +186,12 @@ def token_table(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", te
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_path)
-        end = np.uint32(end_id)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                packed = []
-                for ids in tokenizer.ids([t or b"" for t in part.column(1).to_pylist()]):
-                    own = np.append(np.frombuffer(ids, np.uint32), end)
-                    packed.append(pack_ids(own))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary())], ["doc_id", "ids"])
+            for first, buf, offsets in blocks(batch.column(1)):
+                ids, at = tokenizer.ids(buf, offsets)
+                packed = [pack_ids(np.append(ids[a:b], np.uint32(end_id))) for a, b in zip(at[:-1], at[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, len(packed)), pa.array(packed, pa.binary())], ["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("binary"))
     return rows.mapInArrow(work, "doc_id long, ids binary")
