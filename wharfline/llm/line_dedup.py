@@ -3,11 +3,12 @@
 A rolling hash over two line hashes runs along each text; a chunk ends after
 every line whose value is below those of both neighbours. Such cuts depend on
 four lines only, so an insertion elsewhere doesn't move them, and no two follow
-each other, so all chunks but those at the ends have two lines or more.
+each other nor is there one before the last line, so every chunk of a text of
+several lines has two or more.
 
 A chunk of two lines or more that occurs more than once in the corpus, compared
 byte by byte, stays at its first place (smallest id, then place in the text) and
-is removed elsewhere. Chunks of one line and blank ones always stay.
+is removed elsewhere. Texts of one line and blank chunks always stay.
 
 The count of a chunk combines within tasks before it is shuffled; looking up the
 repeated ones is an equi-join that AQE splits where a chunk is very frequent.
@@ -25,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_name, row_tag
+from .common import free_name, row_tag, store
 
 _MASK = (1 << 32) - 1
 _BLANK = b" \t\n\r\x0b\x0c"
@@ -42,7 +43,7 @@ def cut(lines: list[bytes]) -> list[tuple[int, int]]:
         return [(0, n)]
     h = np.array([line_hash(x) for x in lines], np.uint64)
     rolled = (np.concatenate([[0], h[:-1]]).astype(np.uint64) * np.uint64(31) + h) & np.uint64(_MASK)
-    low = (rolled[1:-1] < rolled[:-2]) & (rolled[1:-1] < rolled[2:])
+    low = (rolled[1:-2] < rolled[:-3]) & (rolled[1:-2] < rolled[2:-1])  # never before the last line
     ends = [*(np.flatnonzero(low) + 2).tolist(), n]
     return list(zip([0, *ends[:-1]], ends, strict=True))
 
@@ -95,7 +96,8 @@ def removed_chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         keys.groupBy("chunk_key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1").drop("n")
     )
-    found = chunk_table(docs, id_col, text_col).join(first, "chunk_key")
+    # read twice; with the repeated ones stored, all others are shuffled once
+    found = store(chunk_table(docs, id_col, text_col).join(first, "chunk_key"), "chunks")
     is_first = F.col("first").eqNullSafe(place)
     original = found.where(is_first).groupBy("chunk_key").agg(F.min("data").alias("original"))
     copies = found.where(~is_first).join(original, "chunk_key").where("data = original")
@@ -150,6 +152,22 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return out if stats else out.drop(report)
 
 
+def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str = "n_chars") -> DataFrame:
+    """``docs`` with what ``drop_repeated_lines`` leaves, without those of which nothing but blanks is left.
+
+    Texts that lose nothing stay whatever they are. A column ``count_col`` gets the new number of characters of
+    texts that lost any.
+    """
+    stats = free_name(docs, "found")
+    out = drop_repeated_lines(docs, id_col, text_col, stats)
+    lost = F.col(f"{stats}.n_removed") > 0
+    out = out.where(~lost | F.rlike(text_col, F.lit(r"[^\x09-\x0D\x20]")))
+    if count_col in docs.columns:
+        kind = docs.schema[count_col].dataType
+        out = out.withColumn(count_col, F.when(lost, F.length(text_col).cast(kind)).otherwise(F.col(count_col)))
+    return out.where(F.col(text_col).isNotNull() | ~lost).drop(stats)
+
+
 def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return drop_repeated_lines(docs, stats="found").select(
@@ -161,7 +179,7 @@ def oracle() -> str:
         generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
     h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM l),
     r AS (SELECT *, (coalesce(lag(h) OVER w, 0) * 31 + h) % 4294967296 AS r FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-    b AS (SELECT *, coalesce(r < lag(r) OVER w AND r < lead(r) OVER w, false)::INT AS ends FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+    b AS (SELECT *, coalesce(r < lag(r) OVER w AND r < lead(r) OVER w AND lead(i, 2) OVER w > 0, false)::INT AS ends FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
     c AS (SELECT *, sum(ends) OVER (PARTITION BY doc_id ORDER BY i) - ends AS chunk FROM b),
     k AS (SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n FROM c GROUP BY doc_id, chunk),
     f AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) > 1 AND n > 1
