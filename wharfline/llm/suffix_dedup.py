@@ -8,9 +8,9 @@ each with the few bytes before it that its windows cover.
 1. Equal texts become one; a copy with a larger id is removed as a whole.
 2. Anchors that only one text holds are dropped (a key exchange between packs).
 3. The suffixes at the other anchors are range-partitioned by their leading
-   bytes; Spark samples the splitters and never parts equal leading bytes, so a
+   bytes with sampled splitters. Equal leading bytes are never parted, so a
    match can't lie across a boundary. A frequent suffix is sent once per pack.
-4. A partition goes through its suffixes in order. Runs of them are sorted by
+4. A range goes through its suffixes in order. Runs of them are sorted by
    multikey quicksort on eight bytes at a time. The lengths that neighbours
    share, to the right and to the left of the anchor, tell which windows are
    equal and so the smallest id that holds each window.
@@ -37,6 +37,7 @@ GRAM = 20            # bytes of an anchor
 REACH = SPAN - GRAM  # bytes that a window may have before its anchor
 WIDTH = REACH + SPAN
 RUN_ROWS = 40_000    # suffixes sorted at a time; more where their leading bytes are equal
+SAMPLE_PACKS, SAMPLE_LEADS = 16, 4096   # packs sampled for splitters, suffixes of each
 
 _OCCURRENCE = np.dtype([("row", "<i4"), ("place", "<i8"), ("doc", "<i8")])
 
@@ -89,7 +90,7 @@ def anchors(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _pieces(row: dict) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(rows, ids, bytes, offsets) of blocks of the chosen texts of a pack."""
     ids, offsets, data = open_pack(row)
-    chosen = np.array(row["rows"], np.int64)
+    chosen = np.arange(len(ids)) if "rows" not in row else np.array(row["rows"], np.int64)
     first = 0
     size = np.cumsum(offsets[chosen + 1] - offsets[chosen])
     while first < len(chosen):
@@ -130,23 +131,34 @@ def _anchor_keys(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(found), return_counts=True)
 
 
-def _cells(values: np.ndarray, counts: np.ndarray) -> pa.Array:
-    """Binary cells of ``counts`` bytes each from consecutive bytes."""
-    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+_SUFFIX = "part long, pack long, body binary, before binary, windows binary, seen binary, places binary"
 
 
-_SUFFIX = "lead binary, body binary, before int, windows int, doc long, pack long, places binary"
+def splitters(packs: DataFrame, parts: int) -> np.ndarray:
+    """Leading bytes that part all suffixes about evenly, from a bounded sample of packs."""
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                _, offsets, data = open_pack(row)
+                at = anchors(data, offsets)[2]
+                at = at[:: max(1, len(at) // SAMPLE_LEADS)]
+                yield pa.RecordBatch.from_pydict({"lead": pa.array([data[i:i + GRAM].tobytes() for i in at], pa.binary())})
 
-def _suffixes(buckets: int):
-    """A pack's suffixes at shared anchors, equal ones as one row with all their places."""
+    some = packs.orderBy(F.xxhash64("pack"), "pack").limit(SAMPLE_PACKS)
+    leads = np.sort(np.array(some.mapInArrow(work, "lead binary").toArrow().column(0).to_pylist(), f"S{GRAM}"))
+    at = np.linspace(0, len(leads), parts + 1)[1:-1].astype(int)
+    return np.unique(leads[at]) if len(leads) else leads
+
+
+def _suffixes(buckets: int, bounds: np.ndarray):
+    """A pack's suffixes at shared anchors, equal ones as one with all their places; one cell per range of leading bytes."""
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        bodies, before, windows, seen = [], [], [], []
+        bodies, before, windows, seen, cells = [], [], [], [], []
         shared, _ = shared_codes(right)
-        if left.num_rows and len(shared):
-            row = left.to_pylist()[0]
+        row = left.to_pylist()[0] if left.num_rows else {"rows": None}
+        if row["rows"] and len(shared):
             for part, ids, buf, offsets in _pieces(row):
                 first, last, anchor, value = anchors(buf, offsets)
                 keep = members(codes(value, buckets), shared)[0]
@@ -161,22 +173,24 @@ def _suffixes(buckets: int):
                 place = np.zeros(len(first), _OCCURRENCE)
                 place["row"], place["place"], place["doc"] = part[own], first - offsets[own], ids[own]
                 seen.append(place)
-        if not bodies or not sum(map(len, bodies)):
-            return pa.table([pa.array([], t) for t in (pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())],
-                            names=[c.split(" ")[0] for c in _SUFFIX.split(", ")])
-        body, b, w, place = (np.concatenate(x) for x in (bodies, before, windows, seen))
-        key = np.concatenate([body, b[:, None].astype(np.uint8), w[:, None].astype(np.uint8)], 1)
-        order = multikey_order(key)
-        key, place = key[order], place[order]
-        begin = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
-        size = np.diff(np.append(begin, len(key)))
-        n, body = len(begin), np.ascontiguousarray(key[begin, :WIDTH])
-        return pa.table([
-            _cells(body[:, REACH:REACH + GRAM], np.full(n, GRAM)), _cells(body, np.full(n, WIDTH)),
-            pa.array(key[begin, WIDTH].astype(np.int32)), pa.array(key[begin, WIDTH + 1].astype(np.int32)),
-            pa.array(np.minimum.reduceat(place["doc"], begin)), pa.array(np.full(n, row["pack"], np.int64)),
-            _cells(place.view(np.uint8), size * _OCCURRENCE.itemsize)],
-            names=[c.split(" ")[0] for c in _SUFFIX.split(", ")])
+        if sum(map(len, bodies)):
+            # ordered from the anchor on, then by what lies before it
+            key = np.concatenate([np.concatenate(bodies), np.concatenate(before)[:, None].astype(np.uint8),
+                                  np.concatenate(windows)[:, None].astype(np.uint8)], 1)
+            order = multikey_order(np.roll(key, -REACH, axis=1))
+            key, place = key[order], np.concatenate(seen)[order]
+            begin = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
+            size = np.diff(np.append(begin, len(key)))
+            key, ends = key[begin], np.cumsum(size)
+            lead = np.ascontiguousarray(key[:, REACH:REACH + GRAM]).view(f"S{GRAM}").reshape(-1)
+            where = np.searchsorted(bounds, lead, "right")
+            for a, b in zip(*runs(where), strict=True):
+                cells.append((int(where[a]), row["pack"], squeeze(key[a:b, :WIDTH]), squeeze(key[a:b, WIDTH]),
+                              squeeze(key[a:b, WIDTH + 1]), squeeze(size[a:b]), squeeze(place[ends[a] - size[a]:ends[b - 1]])))
+        kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 5)
+        columns = list(zip(*cells, strict=True)) or [[]] * 7
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+                        names=[c.split(" ")[0] for c in _SUFFIX.split(", ")])
 
     return work
 
@@ -237,19 +251,12 @@ _COVERED = "pack long, spans binary"
 _SPAN_ROW = np.dtype([("row", "<i4"), ("begin", "<i8"), ("end", "<i8")])
 
 
-def _covered(table: pa.Table) -> pa.Table:
-    """Spans of the texts of each pack that lie in windows of smaller ids."""
-    cells = lambda name, dtype: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
-    body = cells("body", np.uint8).reshape(-1, WIDTH)
-    before, windows = (table.column(c).to_numpy().astype(np.int64) for c in ("before", "windows"))
-    least = least_holders(body, before, windows, table.column("doc").to_numpy())
-    places = table.column("places").to_pylist()
-    owner = np.repeat(np.arange(len(places)), [len(p) // _OCCURRENCE.itemsize for p in places])
-    place = np.frombuffer(b"".join(places), _OCCURRENCE)
+def _covered(body, before, windows, pack, owner, place) -> tuple[np.ndarray, np.ndarray]:
+    """(pack, span) of what lies in windows of smaller ids. ``owner``: the suffix of each place, ascending."""
+    doc = np.minimum.reduceat(place["doc"], np.searchsorted(owner, np.arange(len(body))))
+    least = least_holders(body, before, windows, doc)
     some = least.min(1)[owner] < place["doc"]  # most places have no smaller holder at all
     owner, place = owner[some], place[some]
-    if not len(owner):
-        return pa.table({"pack": pa.array([], pa.int64()), "spans": pa.array([], pa.binary())})
     # windows in text order: the first begins farthest before the anchor
     step = np.arange(REACH + 1)
     at = before[owner][:, None] - step
@@ -260,37 +267,39 @@ def _covered(table: pa.Table) -> pa.Table:
     spans = np.zeros(len(up), _SPAN_ROW)
     spans["row"], spans["begin"] = place["row"][up[:, 0]], place["place"][up[:, 0]] + up[:, 1]
     spans["end"] = place["place"][down[:, 0]] + down[:, 1] - 1 + SPAN
-    pack = table.column("pack").to_numpy()[owner[up[:, 0]]]
+    return pack[owner[up[:, 0]]], spans
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """Goes through the suffixes of a range of leading bytes in their order."""
+    opened = lambda name, dtype: [expand(c, dtype) for c in table.column(name).to_pylist()]
+    body = np.concatenate(opened("body", np.uint8)).reshape(-1, WIDTH)
+    before, windows = (np.concatenate(opened(c, np.uint8)).astype(np.int64) for c in ("before", "windows"))
+    seen = opened("seen", np.int64)
+    pack = np.repeat(table.column("pack").to_numpy(), [len(x) for x in seen])
+    seen, places = np.concatenate(seen), np.concatenate(opened("places", _OCCURRENCE))
+    ends = np.cumsum(seen)
+    order = multikey_order(body[:, REACH:REACH + GRAM])
+    lead = body[order, REACH:REACH + GRAM]
+    new = np.append(np.flatnonzero((lead[1:] != lead[:-1]).any(1)) + 1, len(order))
+    packs, spans, start = [np.zeros(0, np.int64)], [np.zeros(0, _SPAN_ROW)], 0
+    while start < len(order):
+        # a run ends where the leading bytes change
+        stop = int(new[min(np.searchsorted(new, start + RUN_ROWS), len(new) - 1)])
+        own = order[start:stop]
+        owner = np.repeat(np.arange(len(own)), seen[own])
+        pick = np.arange(len(owner)) + np.repeat((ends - seen)[own] - (np.cumsum(seen[own]) - seen[own]), seen[own])
+        p, found = _covered(body[own], before[own], windows[own], pack[own], owner, places[pick])
+        packs.append(p)
+        spans.append(found)
+        start = stop
+    pack, spans = np.concatenate(packs), np.concatenate(spans)
     order = np.argsort(pack, kind="stable")
     pack, spans = pack[order], spans[order]
     return pa.table({"pack": pa.array([int(pack[a]) for a, _ in zip(*runs(pack), strict=True)], pa.int64()),
                      "spans": pa.array([squeeze(spans[a:b]) for a, b in zip(*runs(pack), strict=True)], pa.binary())})
 
 
-def covered_spans(suffixes: DataFrame) -> DataFrame:
-    """(pack, spans): what the windows of smaller ids cover; several rows per pack."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            lead = batch.column(0)
-            start = 0
-            if sum(b.num_rows for b in held) >= RUN_ROWS:
-                # a run ends where the leading bytes change
-                last = held[-1].column(0)[-1].as_py()
-                while start < batch.num_rows and lead[start].as_py() == last:
-                    start += 1
-                if start < batch.num_rows:
-                    held.append(batch.slice(0, start))
-                    yield from _covered(pa.Table.from_batches(held)).to_batches()
-                    held, batch = [], batch.slice(start)
-            held.append(batch)
-        if held:
-            yield from _covered(pa.Table.from_batches(held)).to_batches()
-
-    return suffixes.repartitionByRange("lead").sortWithinPartitions("lead").mapInArrow(work, _COVERED)
-
-
 _RESULT = "pack long, row int, n_removed long, spans array<long>, kept_sha256 string"
 
 
@@ -343,11 +352,14 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     packs = store(text_packs(docs, id_col, text_col), "packs")
     table = store(text_table(packs), "texts")
     reps = table.groupBy("text_key").agg(F.min(F.struct("doc", "pack", "row")).alias("r"))
-    chosen = packs.join(reps.groupBy("r.pack").agg(F.sort_array(F.collect_list("r.row")).alias("rows")), "pack")
-    shared = shared_keys(chosen, _anchor_keys, buckets)
-    suffixes = chosen.groupBy("pack").cogroup(shared.groupBy("pack")).applyInArrow(_suffixes(buckets), _SUFFIX)
-    spans = store(covered_spans(store(suffixes, "suffixes")), "spans")
+    rows = reps.groupBy("r.pack").agg(F.sort_array(F.collect_list("r.row")).alias("rows"))
+    chosen = packs.join(rows, "pack")
+    shared = shared_keys(packs, _anchor_keys, buckets)
+    suffixes = chosen.groupBy("pack").cogroup(shared.groupBy("pack")).applyInArrow(
+        _suffixes(buckets, splitters(packs, buckets)), _SUFFIX)
+    spans = suffixes.groupBy("part").applyInArrow(_meet, _COVERED)
     schema = _RESULT + (", kept binary" if with_kept else "")
+    # nothing is stored in between, so that both cogroups read one shuffle of the packs
     result = chosen.groupBy("pack").cogroup(spans.groupBy("pack")).applyInArrow(_cut(with_kept), schema)
     by_text = reps.select("text_key", F.col("r.doc").alias("first"), F.col("r.pack").alias("pack"), F.col("r.row").alias("row")) \
         .join(result, ["pack", "row"]).drop("pack", "row")
