@@ -2,8 +2,9 @@
 
 1. Texts become packs; each text's n-grams are hashed to 64 bits. Texts with
    equal sets are one set from here on, named by a hash of the set.
-2. Two sets this similar share one of the smallest hashes of either (a prefix).
-   Sets that share none with any other are done.
+2. A set with a similar one shares most of its members, so at least about half
+   of any few of them. Sets of which fewer of the smallest hashes occur
+   elsewhere are done.
 3. Document frequencies of all n-grams of the remaining sets give the global
    order, rare ones first. N-grams that occur once match nothing and only count.
 4. Sets that share an n-gram of their rare prefixes are candidates if bounds on
@@ -88,22 +89,22 @@ def _with_parts(packs: DataFrame, shared: DataFrame, work, schema: str) -> DataF
     return packs.groupBy("pack").cogroup(shared.groupBy("pack")).applyInArrow(work, schema)
 
 
-def _chosen(packs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Packs with the rows that represent their sets."""
-    rows = reps.groupBy("pack").agg(F.sort_array(F.collect_list("row")).alias("rows"))
-    return packs.join(rows, "pack")
+def probe_size(n, num: int, den: int):
+    """(members probed, how many of them any similar set shares at least), in any one order."""
+    spare = n - -(-num * n // den)
+    probed = min(n, 2 * spare + 1)
+    return probed, probed - spare
 
 
-def candidate_sets(packs: DataFrame, k: int, num: int, den: int, buckets: int) -> DataFrame:
-    """(pack, sids, sizes, grams): sets that share a prefix member with another one."""
+def candidate_sets(packs: DataFrame, rows: DataFrame, k: int, num: int, den: int, buckets: int) -> DataFrame:
+    """(pack, sids, sizes, grams): sets of the chosen ``rows`` that share enough of their smallest hashes with others.
 
-    def own_sets(row):
-        ids, offsets, data = open_pack(row)
-        rows = set(row["rows"])
-        return [g for i, g in sets_of(ids, offsets, data, k) if i in rows]
+    A similar set lacks few members, so that of about twice as many probed ones
+    at least half occur elsewhere.
+    """
 
-    def prefix_keys(row):
-        parts = [g[:prefix_size(len(g), num, den)] for g in own_sets(row)]
+    def probe_keys(row):
+        parts = [g[:probe_size(len(g), num, den)[0]] for _, g in sets_of(*open_pack(row), k)]
         return np.unique(np.concatenate(parts or [np.zeros(0, np.uint64)]), return_counts=True)
 
     def keep(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -111,16 +112,20 @@ def candidate_sets(packs: DataFrame, k: int, num: int, den: int, buckets: int) -
         if left.num_rows:
             shared, _ = shared_codes(right)
             row = left.to_pylist()[0]
-            kept = [g for g in own_sets(row)
-                    if members(codes(g[:prefix_size(len(g), num, den)], buckets), shared)[0].any()]
+            own = set(row["rows"])
+            for i, g in sets_of(*open_pack(row), k):
+                if i in own and len(g):
+                    probed, least = probe_size(len(g), num, den)
+                    if members(codes(g[:probed], buckets), shared)[0].sum() >= least:
+                        kept.append(g)
         return pa.table({
             "pack": pa.array([row["pack"]] if kept else [], pa.int64()),
             "sids": pa.array([squeeze(np.array([_set_id(g) for g in kept], np.int64))] if kept else [], pa.binary()),
             "sizes": pa.array([squeeze(np.array([len(g) for g in kept], np.int64))] if kept else [], pa.binary()),
             "grams": pa.array([squeeze(np.concatenate(kept))] if kept else [], pa.binary())})
 
-    shared = shared_keys(packs, prefix_keys, buckets)
-    return _with_parts(packs, shared, keep, "pack long, sids binary, sizes binary, grams binary")
+    shared = shared_keys(packs, probe_keys, buckets)
+    return _with_parts(packs.join(rows, "pack"), shared, keep, "pack long, sids binary, sizes binary, grams binary")
 
 
 def _open_sets(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -399,8 +404,8 @@ def classes(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den:
     table = store(set_table(packs, k), "sets")
     named = table.where("sid is not null")
     reps = named.groupBy("sid").agg(F.min(F.struct("doc", "pack", "row")).alias("r"))
-    chosen = _chosen(packs, reps.select("r.pack", "r.row"))
-    some = store(candidate_sets(chosen, k, num, den, buckets), "candidates")
+    rows = reps.groupBy("r.pack").agg(F.sort_array(F.collect_list("r.row")).alias("rows"))
+    some = store(candidate_sets(packs, rows, k, num, den, buckets), "candidates")
     ordered = store(ordered_sets(some, num, den, buckets), "ordered")
     clusters = store(connected(candidate_edges(ordered, num, den, buckets)), "nodes")
     linked = connected(links(ordered, clusters, num, den))
