@@ -30,15 +30,16 @@ from .common import row_tag, store
 from .components import Union, connected
 
 THRESHOLD = 0.98
-SHARD_ROWS = 2000
+SHARD_ROWS = 400
 MAX_CENTROIDS = 65_536   # centroids that tasks receive at most; beyond, shards grow
-MARGIN = 0.12            # radians
+MARGIN = 0.09            # radians
 DEGREE = 24              # neighbours kept by pruning
 POOL = 64                # nearest vectors that pruning chooses from
 FAR = 8                  # and far ones
 ALPHA = 1.2
-BEAM = 32
-ENTRIES = 48             # medoids a search starts from
+BEAM = 16
+ENTRIES = 16             # medoids a search starts from
+SLICE = 1 << 16          # pairs compared at a time
 AUDIT_ROWS = 256         # vectors of the audit
 MIN_RECALL = 0.97
 
@@ -198,24 +199,27 @@ def range_search(x: np.ndarray, near: np.ndarray, queries: np.ndarray, threshold
         reached[query, node] = True
         reached[line, q] = True
         query, node = np.concatenate([query, line]), np.concatenate([node, q])
+        tested = reached.copy()
         while len(query):
-            a = np.repeat(query, near.shape[1])
-            b = near[node].reshape(-1)
-            new = (b >= 0) & ~reached[a, b]
-            pair = np.unique(a[new] * (n + 1) + b[new])
-            a, b = pair // (n + 1), pair % (n + 1)
-            ok = np.zeros(len(a), bool)
-            for i in range(0, len(a), 1 << 16):
-                part = slice(i, i + (1 << 16))
-                ok[part] = np.einsum("pd,pd->p", x[q[a[part]]], x[b[part]]) >= threshold
-            query, node = a[ok], b[ok]
-            reached[query, node] = True
+            found = []
+            for i in range(0, len(query), SLICE // near.shape[1]):
+                part = slice(i, i + SLICE // near.shape[1])
+                a = np.repeat(query[part], near.shape[1])
+                b = near[node[part]].reshape(-1)
+                new = (b >= 0) & ~tested[a, b]
+                pair = np.unique(a[new] * (n + 1) + b[new])
+                a, b = pair // (n + 1), pair % (n + 1)
+                tested[a, b] = True
+                ok = np.einsum("pd,pd->p", x[q[a]], x[b]) >= threshold
+                reached[a[ok], b[ok]] = True
+                found.append((a[ok], b[ok]))
+            query, node = (np.concatenate(m) for m in zip(*found, strict=True))
         hit_q, hit = np.nonzero(reached[:, :n])
         other = q[hit_q] != hit
         hit_q, hit = hit_q[other], hit[other]
         good = np.zeros(len(hit), bool)
-        for i in range(0, len(hit), 1 << 16):  # the verification
-            part = slice(i, i + (1 << 16))
+        for i in range(0, len(hit), SLICE):  # the verification
+            part = slice(i, i + SLICE)
             good[part] = np.einsum("pd,pd->p", x[q[hit_q[part]]], x[hit[part]]) >= threshold
         yield q[hit_q[good]], hit[good]
 
@@ -232,8 +236,10 @@ def search_shards(shards: DataFrame, graph: DataFrame, threshold: float) -> Data
         x = np.array([np.frombuffer(u, np.float64) for u in table.column("unit").to_pylist()])
         number = {v: i for i, v in enumerate(nodes.tolist())}
         lists = [[number[v] for v in (c or ()) if v in number] for c in table.column("near").to_pylist()]
-        near = np.full((len(nodes), max(1, max(map(len, lists)))), -1, np.int64)
+        near = np.full((len(nodes), 2 * DEGREE), -1, np.int64)
         for i, own in enumerate(lists):
+            if len(own) > near.shape[1]:  # a hub keeps its nearest; the others have it in their own lists
+                own = np.array(own)[np.argsort(-(x[own] @ x[i]), kind="stable")[:near.shape[1]]]
             near[i, :len(own)] = own
         links, union, edges = np.zeros(len(nodes), np.int64), Union(len(nodes)), []
         for q, hit in range_search(x, near, home, threshold):

@@ -30,6 +30,7 @@ MAX_FEATURES = 20_000   # features of a model at most
 MIN_DOCS = 3            # sampled texts a feature must occur in
 L1 = 2e-3
 COUNTERFACTUAL = 1.0    # weight of the penalty on score changes
+EMPTY_WEIGHT = 0.2      # share of a clean text without features
 STEPS = 400
 GRAM = 5
 
@@ -155,7 +156,8 @@ def fit(labels: np.ndarray, own: list[np.ndarray], swapped: list[np.ndarray | No
         if pairs:
             d = np.bincount(dr, weights=dv * (w * scale)[dc], minlength=len(pairs))
             gw = gw + 2 * counterfactual / m * np.bincount(dc, weights=dv * d[dr], minlength=k)
-        return gw * scale, g.sum()
+        # a text without features counts as clean
+        return gw * scale, g.sum() + EMPTY_WEIGHT / (1 + np.exp(-b))
 
     # the step is the inverse of a bound on the curvature, found by power iteration
     v = np.ones(k)
