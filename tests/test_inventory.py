@@ -19,10 +19,7 @@ def inv(spark, keys):
 
 def test_folder_tree(spark):
     keys = ["a/b/c.csv", "a/b/", "a-x/y", "plain", "a//z", "/top", "é/ü/f", ""]
-    want = set()
-    for k in keys:
-        parts = k.rstrip("/").split("/")
-        want |= {"/".join(parts[:n]) for n in range(1, len(parts))}
+    want = {"a", "a/b", "a-x", "a/", "", "é", "é/ü"}
     rows = FO.folder_tree(inv(spark, keys)).collect()
     assert [r["path"] for r in rows] == sorted(want)
     assert {r["path"]: r["label"] for r in rows}["a/b"] == "    |-- b"
@@ -195,3 +192,13 @@ def test_scan(spark, tree):
 def test_scan_does_not_read_contents(spark, tree):
     plan = scan_inventory(spark, tree)._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1]
+
+
+def test_relative_root_and_bucket(spark, tmp_path, monkeypatch):
+    (tmp_path / "c" / "x").mkdir(parents=True)
+    (tmp_path / "c" / "x" / "y.txt").write_text("1")
+    monkeypatch.chdir(tmp_path)
+    assert [r["path"] for r in scan_inventory(spark, str(tmp_path / "c")).collect()] == ["x/y.txt"]
+    assert [r["path"] for r in walk_inventory(spark, "c").collect()] == ["x/y.txt"]
+    inv = spark.createDataFrame([("b1", "p/1", 1), ("b2", "p/2", 2)], "bucket string, key string, size long")
+    assert [r["key"] for r in FO.union_sources(inv, ["s3://b1/p"]).collect()] == ["p/1"]

@@ -10,8 +10,8 @@ from wharfline.functions import paths as P
 
 def random_paths(seed, n=600):
     rng = random.Random(seed)
-    parts = ["a", "bb", "MX", "MX2", "x.gz", ".h", "_u", "", "s3:", "é", " ", "c.csv", "\t", "日本"]
-    out = ["", "/", "//", "a", "/a", "a/", "a//b", "MX/", "MX", "MX2/x", "s3://b/k", "s3://", "x.gz.gz"]
+    parts = ["a", "bb", "in", "out", "x.gz", ".h", "_u", "", "s3:", "é", " ", "c.csv", "\t", "日本"]
+    out = ["", "/", "//", "a", "/a", "a/", "a//b", "in/", "in", "out/x", "s3://b/k", "s3://", "x.gz.gz"]
     while len(out) < n:
         out.append(rng.choice(["", "s3://", " ", "/"]) + "/".join(rng.choices(parts, k=rng.randrange(1, 6))))
     return out
@@ -22,88 +22,82 @@ def evaluate(spark, rows, schema, *columns):
     return [tuple(r)[1:] for r in df.select("i", *columns).orderBy("i").collect()]
 
 
-def py_uri(u):
-    u = u.strip().replace("s3://", "", 1)
-    bucket, _, key = u.partition("/")
-    return bucket, key.lstrip("/")
-
-
-def py_arg(bucket, prefix):
-    if "/" in bucket and not prefix:
-        bucket, _, prefix = bucket.partition("/")
-        if prefix and prefix[-1] != "/":
-            prefix += "/"
-    return bucket, prefix
-
-
-def py_ancestors(key):
-    parts = key.rstrip("/").split("/")
-    return ["/".join(parts[:n]) for n in range(1, len(parts))]
-
-
-def folder(s):
-    s = s.rstrip("/")
-    return s + "/" if s else ""
-
-
-def py_rebase(key, prefix, base, dest):
-    pre, root = prefix.rstrip("/"), base.rstrip("/")
-    sub = pre
-    if root and (pre + "/").startswith(root + "/"):
-        sub = pre[len(root):].lstrip("/")
-    rel = key[len(pre):].lstrip("/") if pre else key
-    return folder(dest) + folder(sub) + rel
+# Derived by hand from the rules: text, then bucket and key of a plain split, of an
+# address, and of an argument without and with a prefix of its own.
+PARSED = [
+    ("", ("", ""), ("", ""), ("", ""), ("", "q")),
+    ("a", ("a", ""), ("a", ""), ("a", ""), ("a", "q")),
+    ("a/", ("a", ""), ("a", ""), ("a", ""), ("a/", "q")),
+    ("a/b", ("a", "b"), ("a", "b"), ("a", "b/"), ("a/b", "q")),
+    ("a/b/", ("a", "b/"), ("a", "b/"), ("a", "b/"), ("a/b/", "q")),
+    ("a//b", ("a", "/b"), ("a", "b"), ("a", "/b/"), ("a//b", "q")),
+    ("s3://k/x/y", ("s3:", "/k/x/y"), ("k", "x/y"), ("s3:", "/k/x/y/"), ("s3://k/x/y", "q")),
+    (" s3://k/x ", (" s3:", "/k/x "), ("k", "x"), (" s3:", "/k/x /"), (" s3://k/x ", "q")),
+    ("/a", ("", "a"), ("", "a"), ("", "a/"), ("/a", "q")),
+]
 
 
 def test_parsers(spark):
-    paths = random_paths(1)
     got = evaluate(
-        spark, [(p,) for p in paths], "p string",
-        P.split_bucket("p")["bucket"], P.split_bucket("p")["key"],
-        P.split_uri("p")["bucket"], P.split_uri("p")["key"],
-        P.split_bucket_prefix("p")["bucket"], P.split_bucket_prefix("p")["prefix"],
-        P.split_bucket_prefix("p", "q")["bucket"], P.split_bucket_prefix("p", "q")["prefix"],
+        spark, [(row[0],) for row in PARSED], "p string",
+        P.split_bucket("p"), P.split_uri("p"), P.split_bucket_prefix("p"), P.split_bucket_prefix("p", "q"),
     )
-    for p, row in zip(paths, got):
-        bucket, _, key = p.partition("/")
-        assert row == (bucket, key, *py_uri(p), *py_arg(p, ""), *py_arg(p, "q")), p
+    for row, found in zip(PARSED, got):
+        assert [tuple(x) for x in found] == list(row[1:]), row[0]
 
 
 def test_suffixes_names_and_folders(spark):
     paths = random_paths(2)
     got = evaluate(
         spark, [(p,) for p in paths], "p string",
-        P.drop_gz_suffix("p"), P.drop_gz_everywhere("p"), P.parent_folder("p"), P.ancestors("p"),
+        P.drop_gz_suffix("p"), P.drop_gz_everywhere("p"), P.parent_folder("p"),
         P.folder_depth("p"), P.tree_label("p"), P.is_hidden("p"), P.is_gz("p"), P.base_name("p"),
     )
     for p, row in zip(paths, got):
         name = p.split("/")[-1]
         assert row == (
-            p.removesuffix(".gz"), p.replace(".gz", ""), p.rpartition("/")[0], py_ancestors(p),
+            p.removesuffix(".gz"), p.replace(".gz", ""), p.rpartition("/")[0],
             p.count("/"), "    " * p.count("/") + "|-- " + name,
             any(part.startswith(".") for part in p.split("/")), p.endswith(".gz"), name,
         ), p
 
 
+# Derived by hand: key, source prefix, base, destination, and where the key goes.
+REBASED = [
+    ("in/a/f", "in/a", "in", "out", "out/a/f"),
+    ("in/a/f", "in/a/", "in/", "out/", "out/a/f"),
+    ("in/a/b/f", "in/a", "in", "", "a/b/f"),
+    ("in/f", "in", "in", "out", "out/f"),
+    ("x/y/f", "x/y", "in", "out", "out/x/y/f"),
+    ("inn/f", "inn", "in", "out", "out/inn/f"),
+    ("f", "", "", "out", "out/f"),
+    ("in//f", "in", "in", "o/p//", "o/p/f"),
+    ("in/f.gz", "in", "", "", "in/f.gz"),
+]
+
+
+def test_rebase(spark):
+    got = evaluate(spark, [r[:4] for r in REBASED], "k string, p string, b string, d string",
+                   P.rebase("k", F.col("p"), F.col("b"), F.col("d")))
+    assert [g[0] for g in got] == [r[4] for r in REBASED]
+
+
 @pytest.mark.parametrize("seed", [3, 4])
-def test_rebase_and_prefixes(spark, seed):
+def test_rebasing_keeps_what_is_below_the_prefix(spark, seed):
+    """Where prefix and base agree, taking the destination away again gives the relative key."""
     rng = random.Random(seed)
-    pieces = ["", "MX", "MX/", "MX2", "MX/a", "MX/a/", "a/b", "/"]
-    rows = []
-    for p in random_paths(seed):
-        prefix, base, dest = rng.choice(pieces), rng.choice(pieces), rng.choice(["", "out", "out/", "o/p//"])
-        rows.append((folder(prefix) + p, prefix, base, dest))
-    got = evaluate(
-        spark, rows, "k string, p string, b string, d string",
-        P.rebase("k", F.col("p"), F.col("b"), F.col("d")), P.relative("k", F.col("p")), P.under("k", F.col("p")),
-    )
-    for (k, p, b, d), row in zip(rows, got):
-        rel = k[len(p.rstrip("/")):].lstrip("/") if p.rstrip("/") else k
-        assert row == (py_rebase(k, p, b, d), rel, k.startswith(folder(p))), (k, p, b, d)
+    rows = [(f"in/{p}".replace("//", "/"), rng.choice(["out", "o/p/"])) for p in random_paths(seed) if not p.startswith("/")]
+    got = evaluate(spark, rows, "k string, d string", P.rebase("k", F.lit("in"), F.lit("in"), F.col("d")), P.relative("k", "in"))
+    for (k, d), (there, rel) in zip(rows, got):
+        assert there == d.rstrip("/") + "/" + rel and k.endswith(rel), k
+
+
+def test_suffix_before_a_newline_stays(spark):
+    assert evaluate(spark, [("x.gz\n",), ("x.gz",)], "p string", P.drop_gz_suffix("p"), P.is_gz("p")) == [("x.gz\n", False), ("x", True)]
 
 
 def test_prefix_does_not_take_in_longer_names(spark):
-    assert evaluate(spark, [("MX2/a",), ("MX/a",)], "k string", P.under("k", "MX")) == [(False,), (True,)]
+    assert evaluate(spark, [("out/a",), ("in/a",)], "k string", P.under("k", "in")) == [(False,), (True,)]
 
 
 def test_target_keys(spark):

@@ -1,12 +1,16 @@
 """The match run on files and its streaming form."""
 
 import random
+from types import SimpleNamespace
 
 import pytest
 
 from wharfline.plans.match_run import EmptyKeyList, run_match
-from wharfline.sources.lines import key_lines, read_lines
-from wharfline.streaming.match import stream_counts, stream_match, stream_rates
+from wharfline.plans.upload_run import plan_upload, run_upload
+from wharfline.sources.lines import HiddenInput, key_lines, read_lines
+from wharfline.sources.matches import OutputInInput
+from wharfline.streaming.match import LostProgress, await_counts, stream_counts, stream_match, stream_rates
+from wharfline.workdir import shared_root
 
 
 def data_file(path, seed, n=400):
@@ -61,7 +65,7 @@ def test_big_results_are_parts_in_order(spark, tmp_path):
     raw = data_file(tmp_path / "d", 4, 3000)
     (tmp_path / "k").write_text("\n".join(f"k{i}" for i in range(40)))
     out = tmp_path / "out"
-    run_match(spark, str(tmp_path / "d"), str(tmp_path / "k"), out=str(out), single_file_bytes=100)
+    run_match(spark, str(tmp_path / "d"), str(tmp_path / "k"), out=str(out))
     text = "".join(p.read_text() for p in sorted(out.glob("part-*")))
     assert text.splitlines() == brute(raw, {f"k{i}" for i in range(40)})[3]
 
@@ -117,3 +121,59 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path, bound):
     raw += data_file(tmp_path / "in" / "later", 9, 50)
     run()
     assert result() == sorted(brute(raw, listed)[3])
+
+
+def test_stream_totals_beyond_the_kept_progress(spark, tmp_path, conf):
+    conf("spark.sql.streaming.numRecentProgressUpdates", "3")
+    (tmp_path / "in").mkdir()
+    for i in range(8):
+        (tmp_path / "in" / f"{i}.csv").write_text("a,1\nb,2\n")
+    keys = spark.createDataFrame([("a",)], "k string")
+    q = stream_match(spark, str(tmp_path / "in"), keys, str(tmp_path / "out"), str(tmp_path / "state"), files_per_batch=1)
+    assert await_counts(q, 0.02) == {"n_lines": 16, "n_processed": 16, "n_errors": 0, "n_matches": 8}
+    with pytest.raises(LostProgress):
+        stream_counts(q)
+
+
+def test_hidden_inputs_are_refused(spark, tmp_path):
+    for name in ("d.csv", "_e.csv", "_SUCCESS"):
+        (tmp_path / name).write_text("a,1\n")
+    for path in (str(tmp_path), str(tmp_path / "*.csv"), str(tmp_path / "_e.csv"), [str(tmp_path / "_e.csv")]):
+        with pytest.raises(HiddenInput):
+            read_lines(spark, path)
+    assert read_lines(spark, str(tmp_path / "d.csv")).count() == 1
+
+
+def test_result_is_not_written_into_the_input(spark, tmp_path):
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "d.csv").write_text("a,1\n")
+    (tmp_path / "k").write_text("a\n")
+    with pytest.raises(OutputInInput):
+        run_match(spark, str(tmp_path / "b" / "*.csv"), str(tmp_path / "k"))
+    for _ in range(2):
+        run = run_match(spark, str(tmp_path / "b" / "*.csv"), str(tmp_path / "k"), out=str(tmp_path / "out"))
+        assert (run.n_processed, run.n_matches) == (1, 1)
+
+
+def test_upload_keeps_what_cannot_be_read(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "good").write_text("x")
+    (tmp_path / "in" / "dangling").symlink_to(tmp_path / "nowhere")
+    nothing = spark.createDataFrame([], "key string, size bigint")
+    got = {r["src"].rsplit("/", 1)[1]: r for r in run_upload(plan_upload(spark, str(tmp_path / "in"), nothing), str(tmp_path / "out")).collect()}
+    assert got["good"]["status"] == "uploaded" and got["dangling"]["status"] == "error" and got["dangling"]["error"]
+    with pytest.raises(FileNotFoundError):
+        plan_upload(spark, str(tmp_path / "missing"), nothing)
+
+
+@pytest.mark.parametrize(
+    ("named", "given", "master", "root"),
+    [("/a", "/b/x", "yarn", "/a"), (None, "/b/x", "yarn", "/b/x"), (None, None, "yarn", None), (None, None, "local-cluster[1,1,1]", None)])
+def test_shared_root(named, given, master, root):
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: named), sparkContext=SimpleNamespace(getCheckpointDir=lambda: given, master=master))
+    if root:
+        assert shared_root(session) == root
+    else:
+        with pytest.raises(ValueError):
+            shared_root(session)

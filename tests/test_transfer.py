@@ -223,13 +223,13 @@ def keyed(spark, root):
 
 
 def test_copy_run(spark, tmp_path):
-    files = {"MX/a/1": b"1", "MX/b/c/2": b"22", "MX/b/e": b"", "MX2/no": b"n"}
+    files = {"in/a/1": b"1", "in/b/c/2": b"22", "in/b/e": b"", "out/no": b"n"}
     for n, b in files.items():
         write(tmp_path / "in", n, b)
-    plan = plan_copy(keyed(spark, tmp_path / "in"), ["s3://w/MX/b", "s3://w/MX"], "MX/", "N/")
+    plan = plan_copy(keyed(spark, tmp_path / "in"), ["s3://w/in/b", "s3://w/in"], "in/", "N/")
     assert [(r["task_no"], r["src"], r["dst"]) for r in plan.tasks.orderBy("task_no").collect()] == [
-        (1, "MX/b/c/2", "N/b/c/2"), (2, "MX/b/e", "N/b/e"), (3, "MX/a/1", "N/a/1"),
-        (4, "MX/b/c/2", "N/b/c/2"), (5, "MX/b/e", "N/b/e")]
+        (1, "in/b/c/2", "N/b/c/2"), (2, "in/b/e", "N/b/e"), (3, "in/a/1", "N/a/1"),
+        (4, "in/b/c/2", "N/b/c/2"), (5, "in/b/e", "N/b/e")]
     log = str(tmp_path / "log")
     run_copy(plan, str(tmp_path / "in"), str(tmp_path / "out"), log=log)
     assert visible(tmp_path / "out") == {"N/a/1": b"1", "N/b/c/2": b"22", "N/b/e": b""}
@@ -238,7 +238,7 @@ def test_copy_run(spark, tmp_path):
     assert {r["check"] for r in checks.collect()} == {"verified"}
     write(tmp_path / "out", "N/a/1", b"cut short")
     checks = verify_copy(spark, plan, keyed(spark, tmp_path / "out"))
-    assert [r["src"] for r in checks.filter("check = 'mismatch'").collect()] == ["MX/a/1"]
+    assert [r["src"] for r in checks.filter("check = 'mismatch'").collect()] == ["in/a/1"]
 
 
 def test_copy_run_refuses_empty_and_clashing_plans(spark):

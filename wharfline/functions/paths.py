@@ -88,7 +88,7 @@ def split_bucket_prefix(bucket: Column | str, prefix: Column | str = "") -> Colu
 
 
 def under(key: Column | str, prefix: Column | str) -> Column:
-    """True for keys below ``prefix``; ``MX`` does not take in ``MX2/``."""
+    """True for keys below ``prefix``; ``in`` does not take in ``in2/``."""
     return F.startswith(col(key), as_folder(prefix))
 
 
@@ -121,7 +121,8 @@ def is_gz(path: Column | str) -> Column:
 
 def drop_gz_suffix(path: Column | str) -> Column:
     """Remove one ``.gz`` at the end."""
-    return F.regexp_replace(col(path), r"\.gz$", "")
+    p = col(path)
+    return F.when(is_gz(p), F.left(p, F.length(p) - len(GZ))).otherwise(p)
 
 
 def drop_gz_everywhere(path: Column | str) -> Column:
@@ -161,20 +162,6 @@ def folders_up_to(path: Column | str) -> Column:
     )
 
 
-def ancestors(key: Column | str) -> Column:
-    """array of every folder above a key; a marker ``a/b/`` gives ``a`` only."""
-    parts = F.split(_rstrip(col(key)), "/")
-    depth = F.size(parts) - 1
-    none = F.array().cast("array<string>")
-    return F.when(
-        depth > 0,
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(depth, F.lit(1))),
-            lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"),
-        ),
-    ).otherwise(none)
-
-
 def folder_depth(path: Column | str) -> Column:
     return F.size(F.split(col(path), "/")) - 1
 

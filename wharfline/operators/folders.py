@@ -69,9 +69,12 @@ def union_sources(inventory: DataFrame, uris: list[str]) -> DataFrame:
     (inventory columns of these names are replaced).
 
     A bag union: a key under two overlapping prefixes comes out twice. The
-    inventory is scanned once, and the prefixes are also a pushed filter.
+    inventory is scanned once, and the prefixes are also a pushed filter. An
+    inventory with a column ``bucket`` gives rows of the sources' bucket only.
     """
     sources = source_list(uris)
+    if "bucket" in inventory.columns:
+        inventory = inventory.filter(F.col("bucket") == sources[0][2])
     hits = [
         F.when(
             P.under("key", prefix),

@@ -56,13 +56,21 @@ def memory_bytes(text: str) -> int:
     return int(text) * 1024**2
 
 
+def result_bytes(text: str) -> int:
+    """``spark.driver.maxResultSize``, where a bare number is in bytes and 0 means no limit."""
+    return int(text) if text.strip().isdigit() else memory_bytes(text)
+
+
 def broadcast_bound(spark: SparkSession) -> int:
     """Bytes a broadcast may take in this session."""
     conf = spark.sparkContext.getConf()
     memory = [memory_bytes(conf.get("spark.driver.memory", "1g"))]
     if not conf.get("spark.master", "").startswith("local"):
         memory.append(memory_bytes(conf.get("spark.executor.memory", "1g")))
-    return min(min(memory) // MEMORY_SHARE, MAX_BROADCAST_BYTES)
+    bound = min(min(memory) // MEMORY_SHARE, MAX_BROADCAST_BYTES)
+    # the broadcast side is collected, and rows take more than their values
+    results = result_bytes(conf.get("spark.driver.maxResultSize", "1g"))
+    return min(bound, results // 2) if results else bound
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:

@@ -33,7 +33,6 @@ PART_BYTES = 100 * 1024 * 1024
 
 TASK_BYTES = 2 * 1024 * 1024 * 1024
 TASK_FILES = 2_000
-MAX_TASKS = 100_000
 
 OUTCOME_SCHEMA = (
     "src string, dst string, status string, bytes bigint, error string, "
@@ -79,7 +78,7 @@ def _task_count(plan: DataFrame, tasks: int | None) -> int:
     by_size = math.ceil((got["size"] or 0) / TASK_BYTES)
     by_count = math.ceil(got["n"] / TASK_FILES)
     cores = plan.sparkSession.sparkContext.defaultParallelism
-    return min(max(2 * cores, by_size, by_count), MAX_TASKS)
+    return max(2 * cores, by_size, by_count)
 
 
 def _outcomes(rows: DataFrame, status: Column, compressed: Column) -> DataFrame:
@@ -160,7 +159,7 @@ def _part_rows(plan: DataFrame, part_bytes: int) -> DataFrame:
 def _copy_parts(plan: DataFrame, part_bytes: int, tasks: int, run: str) -> DataFrame:
     def copy_one(r, token: str) -> int:
         if not r.ranged:
-            return IO.stream_to(r.src, r.dst, token, unpack=False)
+            return IO.stream_to(r.src, r.dst, token, unpack=False, size=int(r.size))
         staged = _staged(r.src, r.dst, run)
         return IO.copy_range(IO.posix_path(r.src), staged, int(r.offset), int(r.length))
 
@@ -274,21 +273,24 @@ def sync_job(
     on_error: str = "record",
 ) -> DataFrame:
     """Carry out a plan with ``src, dst, size, action, compressed_source``:
-    copy plain files, unpack compressed ones, record the skipped ones."""
+    copy plain files, unpack compressed ones, record the skipped ones and those
+    that the plan itself marks as errors (their text in ``error``)."""
     run = uuid.uuid4().hex
     # Fixed first: the moves below change what the plan was derived from.
     ensure_checkpoint_dir(plan.sparkSession)
-    plan = plan.select("src", "dst", "size", "action", "compressed_source").checkpoint()
-    todo = plan.filter(F.col("action") != SKIPPED)
+    if "error" not in plan.columns:
+        plan = plan.withColumn("error", F.lit(None).cast("string"))
+    plan = plan.select("src", "dst", "size", "action", "compressed_source", "error").checkpoint()
+    todo = plan.filter(~F.col("action").isin(SKIPPED, ERROR))
     tasks = _task_count(todo, tasks)
     packed = F.coalesce(F.col("compressed_source") == "yes", F.lit(False))
     now = F.current_timestamp()
-    skipped = plan.filter(F.col("action") == SKIPPED).select(
+    untouched = plan.filter(F.col("action").isin(SKIPPED, ERROR)).select(
         "src",
         "dst",
-        F.lit(SKIPPED).alias("status"),
+        F.col("action").alias("status"),
         F.lit(0).cast("bigint").alias("bytes"),
-        F.lit(None).cast("string").alias("error"),
+        "error",
         "compressed_source",
         now.alias("started"),
         now.alias("ended"),
@@ -296,6 +298,6 @@ def sync_job(
     outcomes = (
         _copy_outcomes(todo.filter(~packed), run, part_bytes, tasks)
         .unionByName(_unpack_outcomes(todo.filter(packed), run, tasks))
-        .unionByName(skipped)
+        .unionByName(untouched)
     )
     return _store(outcomes, out, run, on_error)

@@ -13,7 +13,7 @@ from wharfline.functions.text import is_blank, is_decodable
 from wharfline.operators.diagnose import key_variants, sample_keys, sample_lines, sample_members
 from wharfline.operators.match import match_lines
 from wharfline.sources.lines import data_lines, first_rejects, key_lines, read_lines
-from wharfline.sources.matches import SINGLE_FILE_BYTES, output_path, write_matches
+from wharfline.sources.matches import output_path, refuse_output_in_input, write_matches
 from wharfline.workdir import new_dir
 
 # Fixed value: sample keys tried in other spellings when nothing matched.
@@ -47,22 +47,32 @@ class MatchRun:
         return self.n_processed / self.seconds if self.seconds > 0 else 0.0
 
 
+def store_keys(spark: SparkSession, key_path: str) -> DataFrame:
+    table = new_dir(spark, "keys")
+    key_lines(read_lines(spark, key_path)).write.parquet(table)
+    return spark.read.schema("k string").parquet(table)
+
+
 def run_match(
     spark: SparkSession,
     data_path: str,
     key_path: str,
     out: str | None = None,
     max_broadcast_bytes: int | None = None,
-    single_file_bytes: int = SINGLE_FILE_BYTES,
+    single: bool = False,
 ) -> MatchRun:
     """Read both files, keep the matching lines and write them in input order.
 
     The data file is read once: counters are observed while the matches go to
     an intermediate table, which is then sorted. Nothing is written to the
     result's place when nothing matched; ``status`` is then 'no rows' or
-    'no matches', and for the latter ``diagnosis`` says why.
+    'no matches', and for the latter ``diagnosis`` says why. A place that the
+    input takes in is refused, or the next run would read the result as data.
     """
-    keys = key_lines(read_lines(spark, key_path))
+    target = out or output_path(data_path)
+    refuse_output_in_input(data_path, target)
+    # stored once: it is looked at for emptiness, measured and joined
+    keys = store_keys(spark, key_path)
     if keys.isEmpty():
         raise EmptyKeyList(f"no keys in {key_path}")
     started = time.monotonic()
@@ -80,8 +90,8 @@ def run_match(
     n_matches = hit.get["n_matches"]
     output = None
     if n_matches:
-        output = out or output_path(data_path)
-        write_matches(matches, output, single_file_bytes=single_file_bytes)
+        output = target
+        write_matches(matches, output, single=single)
     probe = data_lines(lines)
     n_processed = seen.get["n_processed"]
     status = "no rows" if n_processed == 0 else "matched" if n_matches else "no matches"

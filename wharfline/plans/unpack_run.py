@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wharfline.functions import paths as P
+from wharfline.operators.folders import check_targets
 from wharfline.operators.lookup import lookup_join
 from wharfline.operators.sync import SKIPPED, done_keys
 from wharfline.operators.transfer import unpack_job
@@ -33,10 +34,11 @@ def run_unpack(
 ) -> DataFrame:
     """Unpack what the ledger does not mark as done, then mark it.
 
-    Returns one row per compressed file: src, dst, status, bytes, error. Run
+    Two files for one target raise. Returns one row per compressed file: src, dst, status, bytes, error. Run
     it again after a crash or for new files; done files are skipped.
     """
     targets = unpack_targets(files, everywhere)
+    check_targets(targets)
     done = done_keys(read_ledger(files.sparkSession, ledger)).withColumn("done", F.lit(1))
     # Stored, so that the split does not move when the ledger grows.
     ensure_checkpoint_dir(files.sparkSession)

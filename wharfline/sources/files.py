@@ -47,7 +47,7 @@ def staging_name(path: str, token: str) -> str:
     return os.path.join(folder, f".{digest}.{token}.part")
 
 
-def stream_to(src: str, dst: str, token: str, unpack: bool) -> int:
+def stream_to(src: str, dst: str, token: str, unpack: bool, size: int | None = None) -> int:
     """Copy or gunzip ``src`` to ``dst`` chunk by chunk; returns the bytes written.
 
     The target appears only when it is complete: a failure leaves nothing
@@ -66,7 +66,12 @@ def stream_to(src: str, dst: str, token: str, unpack: bool) -> int:
                 while chunk := body.read(CHUNK_BYTES):
                     out.write(chunk)
                     done += len(chunk)
+        if size is not None and done != size:
+            raise OSError(f"size mismatch: source {size}, copied {done}")
         target_fs.move(staged, target)
+        there = target_fs.get_file_info(target).size
+        if there != done:
+            raise OSError(f"size mismatch: copied {done}, destination {there}")
     except BaseException:
         if target_fs.get_file_info(staged).type != pafs.FileType.NotFound:
             target_fs.delete_file(staged)

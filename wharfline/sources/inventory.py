@@ -32,13 +32,14 @@ def scan_inventory(spark: SparkSession, root: str, glob: str | None = None) -> D
     """uri, path (below ``root``), size, mtime of every file under ``root``.
 
     Contents are not read. ``glob`` filters file names during the listing.
-    Empty files are not listed.
+    Empty files and names with ``_`` or ``.`` in front are not listed, so a job
+    that must lose nothing takes ``walk_inventory``.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.load(root)
-    bare = (posix_path(root) or root).rstrip("/")
+    bare = root_name(root)
     # Local names come back as file:/a/b or file:///a/b.
     plain = F.regexp_replace("path", r"^file:/+", "/")
     return df.select(
@@ -49,6 +50,12 @@ def scan_inventory(spark: SparkSession, root: str, glob: str | None = None) -> D
     )
 
 
+def root_name(root: str) -> str:
+    """The root as it stands in front of listed names: absolute where it is a plain one."""
+    plain = posix_path(root)
+    return root.rstrip("/") if plain is None else os.path.abspath(plain)
+
+
 def _list_folders(folders: Iterator[str], root: str, hidden: bool) -> Iterator[pd.DataFrame]:
     """Frames of entries; folders are streamed, so a huge one needs no memory."""
     listing = _list_posix if posix_path(root) else _list_remote(root)
@@ -119,8 +126,7 @@ def walk_inventory(
     hidden folders are never entered unless ``hidden``. What cannot be read is
     a row with ``error`` and no size.
     """
-    plain = posix_path(root)
-    top = root.rstrip("/") if plain is None else os.path.abspath(plain)
+    top = root_name(root)
     work = new_dir(spark, "walk")
     at_least = tasks or spark.sparkContext.defaultParallelism * 2
 

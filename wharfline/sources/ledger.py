@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +15,10 @@ STAMP = "yyyy-MM-dd HH:mm:ss"
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger table; empty before anything was marked."""
-    try:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
         return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
 def done_marks(outcomes: DataFrame, key: str = "src") -> DataFrame:

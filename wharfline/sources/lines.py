@@ -30,6 +30,37 @@ def split_at_line_ends(text: Column | str) -> Column:
     return F.split(unix, "\n")
 
 
+# Names that Spark's own writers leave beside data.
+MARKERS = ("_SUCCESS", "_temporary", "_spark_metadata", "_committed_", "_started_")
+
+
+class HiddenInput(ValueError):
+    """A file that Spark's readers would pass over."""
+
+
+def refuse_hidden(spark: SparkSession, path: str | list[str]) -> None:
+    """Raise for names with ``_`` or ``.`` in front among the inputs.
+
+    Spark's text reader passes over them, whether named, matched by a pattern or
+    in a folder. Looks at the given paths and one level below; markers of Spark's
+    own writers and checksums are no data.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hidden = []
+    for one in [path] if isinstance(path, str) else path:
+        place = jvm.org.apache.hadoop.fs.Path(one)
+        fs = place.getFileSystem(conf)
+        for status in fs.globStatus(place) or []:
+            names = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+            hidden += [n.getPath().toString() for n in names if _is_hidden(n.getPath().getName())]
+    if hidden:
+        raise HiddenInput(f"{len(hidden)} inputs would be passed over, rename them: {sorted(hidden)[:10]}")
+
+
+def _is_hidden(name: str) -> bool:
+    return name[:1] in "._" and "=" not in name and not name.startswith(MARKERS) and not name.endswith(".crc")
+
+
 def read_lines(
     spark: SparkSession, path: str | list[str], positions: bool = False, spread: int | None = None
 ) -> DataFrame:
@@ -38,8 +69,10 @@ def read_lines(
 
     Take positions here: row ids that are added after a filter or a shuffle
     no longer follow the input. ``spread`` deals the lines out to that many
-    partitions; use it for gzip files, which are one partition each.
+    partitions; use it for gzip files, which are one partition each. Names that
+    Spark would pass over raise ``HiddenInput``.
     """
+    refuse_hidden(spark, path)
     df = spark.read.text(path)
     if positions:
         df = _with_positions(df)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from fnmatch import fnmatch
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Fixed value: name of the result beside the data file.
 OUTPUT_NAME = "matches_output.csv"
-SINGLE_FILE_BYTES = 64 * 1024 * 1024
 
 
 def output_path(data_path: str) -> str:
@@ -16,18 +16,30 @@ def output_path(data_path: str) -> str:
     return f"{folder}{slash}{OUTPUT_NAME}"
 
 
-def write_matches(
-    matches: DataFrame, path: str, pos: str = "pos", single_file_bytes: int = SINGLE_FILE_BYTES
-) -> None:
+class OutputInInput(ValueError):
+    """The result would lie among the files that a next run reads."""
+
+
+def refuse_output_in_input(data_path: str | list[str], out: str) -> None:
+    """Raise where the input's pattern or folder takes in ``out``."""
+    target = out.rstrip("/")
+    for one in [data_path] if isinstance(data_path, str) else data_path:
+        given = one.rstrip("/")
+        pattern = any(c in given for c in "*?[{")
+        if target == given or target.startswith(given + "/") or pattern and fnmatch(target, given.replace("{", "[{]")):
+            raise OutputInInput(f"{out} lies in the input {one}; name another place as out")
+
+
+def write_matches(matches: DataFrame, path: str, pos: str = "pos", single: bool = False) -> None:
     """Write ``value`` in input order, replacing ``path``, a folder of parts.
 
-    Parts in name order hold the lines in input order. A result of at most
-    ``single_file_bytes`` is sorted and written as one part by one task; a
-    larger one is range-partitioned. ``matches`` is read more than once, so
-    hand over a stored result.
+    Parts in name order hold the lines in input order. With ``single`` one task
+    sorts and writes all as one part; ask for it only where that is wanted,
+    whatever the size. ``matches`` is read more than once, so hand over a
+    stored result.
     """
-    size = matches.agg(F.sum(F.octet_length("value") + 1).alias("n")).first()["n"] or 0
-    ordered = matches.orderBy(pos).select("value")
-    if size <= single_file_bytes:
-        ordered = ordered.coalesce(1)
-    ordered.write.mode("overwrite").text(path)
+    if single:
+        ordered = matches.repartition(1).sortWithinPartitions(pos)
+    else:
+        ordered = matches.orderBy(pos)
+    ordered.select("value").write.mode("overwrite").text(path)

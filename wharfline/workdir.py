@@ -11,14 +11,21 @@ _unset_root: str | None = None
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
+    """The folder named in ``spark.checkpoint.dir``, else the one set on the context.
 
-    Only a session that names none (a local test) gets a temporary folder.
+    Only a local session that names none (a test) gets a temporary folder; on a
+    cluster that would be another folder on every machine, so it is an error.
     """
     global _unset_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
+    # Spark appends a folder of its own to what was set.
+    given = spark.sparkContext.getCheckpointDir()
+    if given:
+        return given
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if _unset_root is None:
         _unset_root = tempfile.mkdtemp(prefix="wharfline-")
     return _unset_root

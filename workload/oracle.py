@@ -36,14 +36,14 @@ _VIEWS = {
         FROM page_paths""",
     "inventory": """
         SELECT doc_id, source, lang, n_chars AS size,
-               'MX/' || source || '/' || lang || '/' || doc_id || CASE WHEN doc_id % 3 = 0 THEN '.csv.gz' ELSE '.csv' END AS key
+               'in/' || source || '/' || lang || '/' || doc_id || CASE WHEN doc_id % 3 = 0 THEN '.csv.gz' ELSE '.csv' END AS key
         FROM documents""",
     "destination": """
         SELECT regexp_replace(key, '\\.gz$', '') AS key, size + CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END AS size
         FROM inventory WHERE doc_id % 7 <> 0""",
     "sources": """
-        SELECT * FROM (VALUES (1, 's3://wharf/MX/src1', 'MX/src1'), (2, 's3://wharf/MX/src1/en', 'MX/src1/en'),
-                              (3, 's3://wharf/MX/src2/', 'MX/src2'), (4, 's3://wharf/MX/', 'MX'))
+        SELECT * FROM (VALUES (1, 's3://wharf/in/src1', 'in/src1'), (2, 's3://wharf/in/src1/en', 'in/src1/en'),
+                              (3, 's3://wharf/in/src2/', 'in/src2'), (4, 's3://wharf/in/', 'in'))
         AS t(source_no, source, prefix)""",
     "sourced": """
         SELECT s.source_no, s.source, s.prefix, key, size FROM sources s JOIN inventory ON starts_with(key, s.prefix || '/')""",
@@ -254,12 +254,12 @@ _ORACLE: dict[str, tuple[list[str], str]] = {
         ["sourced"],
         """
         SELECT row_number() OVER (ORDER BY source_no, key) AS task_no, source_no, key AS src,
-               'MX2/' || key[4:] AS dst
+               'out/' || key[4:] AS dst
         FROM sourced""",
     ),
     "duplicate_targets": (
         ["inventory"],
-        "SELECT 'MX2/' || key[4:] AS dst, 2::bigint AS n FROM inventory WHERE ends_with(key, '0.csv')",
+        "SELECT 'out/' || key[4:] AS dst, 2::bigint AS n FROM inventory WHERE ends_with(key, '0.csv')",
     ),
     "visible_files": (
         ["files"],

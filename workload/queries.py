@@ -25,7 +25,7 @@ from workload import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SOURCES = ["s3://wharf/MX/src1", "s3://wharf/MX/src1/en", "s3://wharf/MX/src2/", "s3://wharf/MX/"]
+SOURCES = ["s3://wharf/in/src1", "s3://wharf/in/src1/en", "s3://wharf/in/src2/", "s3://wharf/in/"]
 BUCKETS = 16
 
 
@@ -252,23 +252,23 @@ def union_sources(spark, d):
 def rebase_paths(spark, d):
     """The copy plan: overlapping sources, rebased and numbered."""
     sourced = FO.union_sources(V.inventory(spark, d), SOURCES)
-    plan = FO.numbered_plan(FO.rebase_plan(sourced, base="MX/", dest="MX2/"))
+    plan = FO.numbered_plan(FO.rebase_plan(sourced, base="in/", dest="out/"))
     return plan.select("task_no", "source_no", "src", "dst")
 
 
 def duplicate_targets(spark, d):
     """Keys with doubled slashes fall on the targets of their plain twins."""
     inv = V.inventory(spark, d).select("key")
-    twins = inv.filter(F.endswith("key", F.lit("0.csv"))).select(F.regexp_replace("key", "^MX/", "MX//").alias("key"))
-    sourced = FO.union_sources(inv.unionByName(twins), ["s3://wharf/MX/"])
-    return FO.duplicate_targets(FO.rebase_plan(sourced, "MX/", "MX2/"))
+    twins = inv.filter(F.endswith("key", F.lit("0.csv"))).select(F.regexp_replace("key", "^in/", "in//").alias("key"))
+    sourced = FO.union_sources(inv.unionByName(twins), ["s3://wharf/in/"])
+    return FO.duplicate_targets(FO.rebase_plan(sourced, "in/", "out/"))
 
 
 # --- skip rules and outcomes -------------------------------------------------
 
 
 def _files(spark, d):
-    """Inventory relative to MX/, with some hidden names and folders."""
+    """Inventory relative to in/, with some hidden names and folders."""
     doc, key = F.col("doc_id"), F.substr("key", F.lit(4))
     folder, name = P.parent_folder(key), P.base_name(key)
     path = (
@@ -379,7 +379,7 @@ def decompress_job(spark, d):
     """Gzip files unpacked twice through one ledger; lines and bytes per folder."""
     base = new_dir(spark, "unpack")
     _line_files(spark, d, f"{base}/in", compression="gzip")
-    files = INV.scan_inventory(spark, f"{base}/in", glob="*.gz")
+    files = INV.walk_inventory(spark, f"{base}/in").filter(P.is_gz("path"))
     run_unpack(files, f"{base}/ledger")
     again = run_unpack(files, f"{base}/ledger")
     rerun = again.agg(F.count_if(F.col("status") != S.SKIPPED).alias("n_again")).scalar()
@@ -391,7 +391,7 @@ def copy_job(spark, d):
     """Files copied in small parts; lines and bytes per folder at the target."""
     base = new_dir(spark, "copy")
     _line_files(spark, d, f"{base}/in")
-    src = INV.scan_inventory(spark, f"{base}/in")
+    src = INV.walk_inventory(spark, f"{base}/in")
     dst = F.concat(F.lit(f"{base}/out/"), F.col("path"))
     T.copy_job(src.select(F.col("uri").alias("src"), dst.alias("dst"), "size"), part_bytes=4096, on_error="fail")
     return _read_buckets(spark, f"{base}/out")
@@ -415,7 +415,7 @@ def upload_job(spark, d):
     # Spark's own marker files are no data.
     plan = plan_upload(spark, f"{base}/in", nothing).filter(P.base_name("path") != "_SUCCESS")
     run_upload(plan, f"{base}/out", on_error="fail")
-    there = INV.scan_inventory(spark, f"{base}/out").select(F.col("path").alias("key"), "size")
+    there = INV.walk_inventory(spark, f"{base}/out").select(F.col("path").alias("key"), "size")
     left = plan_upload(spark, f"{base}/in", there).filter(
         (P.base_name("path") != "_SUCCESS") & (F.col("action") != S.SKIPPED)
     )
@@ -441,7 +441,7 @@ def run_log(spark, d):
     outcomes = _outcomes(spark, d)
     LG.append_log(outcomes, F.concat_ws(" ", "status", "src"), f"{base}/log")
     LG.mark_done(outcomes, f"{base}/ledger")
-    stamped = F.rlike("value", F.lit(r"^\[\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\] (uploaded|skipped|error) MX/"))
+    stamped = F.rlike("value", F.lit(r"^\[\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\] (uploaded|skipped|error) in/"))
     n_done = S.done_keys(LG.read_ledger(spark, f"{base}/ledger")).agg(F.count_distinct("key").alias("n")).scalar()
     return spark.read.text(f"{base}/log").agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_if(stamped).alias("n_stamped")

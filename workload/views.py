@@ -62,7 +62,7 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, key, size: documents as files, every third one compressed."""
     doc = F.col("doc_id")
     ext = F.when(doc % 3 == 0, F.lit(".csv.gz")).otherwise(F.lit(".csv"))
-    key = F.concat(F.lit("MX/"), "source", F.lit("/"), "lang", F.lit("/"), doc.cast("string"), ext)
+    key = F.concat(F.lit("in/"), "source", F.lit("/"), "lang", F.lit("/"), doc.cast("string"), ext)
     return table(spark, sf_dir, "documents").select(
         "doc_id", "source", "lang", key.alias("key"), F.col("n_chars").alias("size")
     )
@@ -78,7 +78,3 @@ def destination(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("size") + F.when(F.col("doc_id") % 5 == 0, 1).otherwise(0)).alias("size"),
         )
     )
-
-
-def as_lines(df: DataFrame, columns: list[str]) -> DataFrame:
-    return parquet_to_lines(df, columns)
