@@ -207,6 +207,17 @@ _ORACLE: dict[str, tuple[list[str], str]] = {
         ["probe", "segment_keys"],
         "SELECT value FROM probe WHERE k IN (SELECT k FROM segment_keys)",
     ),
+    "stream_progress": (
+        ["probe", "segment_keys"],
+        """
+        SELECT count(*) AS n_lines, count(*) AS n_processed, 0::bigint AS n_errors,
+               count(*) FILTER (k IN (SELECT k FROM segment_keys)) AS n_matches
+        FROM probe""",
+    ),
+    "union_buckets": (
+        ["inventory", "sourced"],
+        "SELECT source_no, s.source, s.key, s.size FROM sourced s JOIN inventory i ON i.key = s.key WHERE i.doc_id % 3 <> 0",
+    ),
     "parse_paths": (
         ["page_paths"],
         """

@@ -199,6 +199,26 @@ def stream_match(spark, d):
     return spark.read.text(f"{base}/out")
 
 
+def stream_progress(spark, d):
+    """Counters of a stream whose batches outnumber the reports Spark keeps."""
+    from wharfline.streaming.match import await_counts
+
+    base = new_dir(spark, "stream")
+    lines = V.order_lines(spark, d)
+    lines.select("value", (F.col("pos") % 6).alias("bucket")).repartition("bucket").write.partitionBy("bucket").text(f"{base}/in")
+    option = "spark.sql.streaming.numRecentProgressUpdates"
+    kept = spark.conf.get(option)
+    spark.conf.set(option, "4")
+    try:
+        query = start_stream(spark, f"{base}/in/*", _keys(spark, d), f"{base}/out", f"{base}/state", files_per_batch=1)
+        counts = await_counts(query, 0.05)
+    finally:
+        spark.conf.set(option, kept)
+    return spark.createDataFrame(
+        [tuple(counts[n] for n in ("n_lines", "n_processed", "n_errors", "n_matches"))],
+        "n_lines long, n_processed long, n_errors long, n_matches long")
+
+
 # --- paths -----------------------------------------------------------------
 
 
@@ -249,6 +269,12 @@ def union_sources(spark, d):
     return FO.union_sources(V.inventory(spark, d), SOURCES).select("source_no", "source", "key", "size")
 
 
+def union_buckets(spark, d):
+    """Objects of another bucket under the same prefixes are left out."""
+    inv = V.inventory(spark, d).withColumn("bucket", F.when(F.col("doc_id") % 3 == 0, "quay").otherwise("wharf"))
+    return FO.union_sources(inv, SOURCES).select("source_no", "source", "key", "size")
+
+
 def rebase_paths(spark, d):
     """The copy plan: overlapping sources, rebased and numbered."""
     sourced = FO.union_sources(V.inventory(spark, d), SOURCES)
@@ -471,6 +497,7 @@ QUERIES: dict[str, Query] = {
         gz_roundtrip,
         match_files,
         stream_match,
+        stream_progress,
         parse_paths,
         folder_tree,
         folder_rollup,
@@ -478,6 +505,7 @@ QUERIES: dict[str, Query] = {
         folder_cap,
         strip_suffix,
         union_sources,
+        union_buckets,
         rebase_paths,
         duplicate_targets,
         visible_files,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wharfline.functions import paths as P
-from wharfline.sources.lines import parquet_to_lines, split_text
+from wharfline.sources.lines import split_text
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
