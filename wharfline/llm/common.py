@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+import wharfline
 from wharfline.workdir import new_dir
 
+# Functions travel with their code: executors need not have this package.
+cloudpickle.register_pickle_by_value(wharfline)
+
 _TYPES = {"string": StringType(), "double": DoubleType(), "long": LongType()}
 
 
@@ -22,13 +27,6 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def task_bytes(spark: SparkSession) -> int:
-    """Bytes one scan task reads, as Spark sizes them."""
-    text = spark.conf.get("spark.sql.files.maxPartitionBytes", "128m").lower().strip("b")
-    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1], 1)
-    return int(text.rstrip("kmg")) * unit
-
-
 def row_tag(df: DataFrame, *names: str) -> None:
     """Fail early where a needed column is missing or ambiguous."""
     for name in names:
