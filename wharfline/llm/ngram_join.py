@@ -247,90 +247,144 @@ def candidate_edges(ordered: DataFrame, num: int, den: int, buckets: int) -> Dat
 
 
 class Tree:
-    """Prefix tree of ordered sets, as their sorted list with the lengths of shared beginnings."""
-
-    def __init__(self, sets: list[np.ndarray], rank: dict[int, int] | None = None):
-        if rank is None:
-            every = np.concatenate(sets)
-            # members that most sets have come first, so that beginnings are shared
-            values, n = np.unique(every, return_counts=True)
-            rank = dict(zip(values[np.lexsort((values, -n))].tolist(), range(len(values)), strict=True))
-        self.rank = rank
-        self.sets = [np.sort(np.array([rank[t] for t in s.tolist()], np.int64)) for s in sets]
-        self.order = sorted(range(len(sets)), key=lambda i: self.sets[i].tolist())
-        self.shared = [0]
-        for i, j in zip(self.order, self.order[1:], strict=False):
-            a, b = self.sets[i], self.sets[j]
-            m = min(len(a), len(b))
-            apart = np.flatnonzero(a[:m] != b[:m])
-            self.shared.append(int(apart[0]) if len(apart) else m)
-
-    def search(self, x: np.ndarray, size: int, sizes: list[int], alive: np.ndarray, num: int, den: int) -> list[int]:
-        """Sets with a large enough overlap with x among those alive.
+    """Prefix tree of ordered sets; a node is a run of members that all sets below it have in common.
 
-        ``x``: ascending ranks; ``size``, ``sizes``: whole set sizes.
-        """
-        hits = []
-        inside = np.zeros(len(self.rank) + 1, bool)
-        inside[x] = True
-        path = np.zeros(1, np.int64)       # overlap after each step of the current path
-        cut = -1                           # a prefix this long can't be completed
-        for i, shared in zip(self.order, self.shared, strict=True):
-            if cut >= 0 and shared >= cut:
-                continue                   # below a subtree that was left
-            cut = -1
-            own = self.sets[i]
-            if len(path) - 1 < shared:     # the sets between were not alive
-                shared = len(path) - 1
-            if not alive[i]:
-                path = path[:shared + 1]
-                continue
-            path = np.concatenate([path[:shared + 1], path[shared] + np.cumsum(inside[own[shared:]])])
-            needed = overlap_needed(size + sizes[i], num, den)
-            if path[-1] >= needed:
-                hits.append(i)
-                continue
-            # left of a prefix: no set below has more members left than x has above the prefix's last
-            depth = np.arange(1, len(own) + 1)
-            rest = len(x) - np.searchsorted(x, own, "right")
-            least = overlap_needed(size + -(-num * size // den), num, den)
-            dead = np.flatnonzero(path[1:] + rest < least)
-            if len(dead):
-                cut = int(depth[dead[0]])
-        return hits
+    Nodes are arrays, level by level, so that a search moves through all open
+    nodes of a level at once.
+    """
 
+    def __init__(self, sets: list[np.ndarray]):
+        every = np.concatenate(sets)
+        values, inverse, n = np.unique(every, return_inverse=True, return_counts=True)
+        # members that most sets have come first, so that beginnings are shared
+        rank = np.empty(len(values), np.int64)
+        rank[np.lexsort((values, -n))] = np.arange(len(values))
+        self.n_ranks = len(values)
+        self.sets = [np.sort(r) for r in np.split(rank[inverse], np.cumsum([len(s) for s in sets])[:-1])]
+        order = sorted(range(len(sets)), key=lambda i: self.sets[i].tolist())
+        parent, begin, end, longest, holder = [-1], [0], [0], [0], [order[0]]
+        self.node_of = np.zeros(len(sets), np.int64)
+        path, last = [0], None  # nodes from the root to the set before
+        for i in order:
+            own, shared = self.sets[i], 0
+            if last is not None:
+                m = min(len(own), len(last))
+                apart = np.flatnonzero(own[:m] != last[:m])
+                shared = int(apart[0]) if len(apart) else m
+            while begin[path[-1]] >= shared and len(path) > 1:
+                path.pop()
+            top = path[-1]
+            if end[top] > shared:  # the run is cut: its first part becomes a node above it
+                parent.append(parent[top])
+                begin.append(begin[top])
+                end.append(shared)
+                longest.append(longest[top])
+                holder.append(holder[top])
+                path[-1] = parent[top] = len(parent) - 1
+                begin[top] = shared
+            if len(own) > shared:
+                parent.append(path[-1])
+                begin.append(shared)
+                end.append(len(own))
+                longest.append(len(own))
+                holder.append(i)
+                path.append(len(parent) - 1)
+            for node in path:
+                longest[node] = max(longest[node], len(own))
+            self.node_of[i] = path[-1]
+            last = own
+        self.end, self.longest = np.array(end), np.array(longest)
+        up, size = np.array(parent), self.end - np.array(begin)
+        self.parts = [self.sets[h][a:b] for h, a, b in zip(holder, begin, end, strict=True)]
+        self.last = np.array([int(r[-1]) if len(r) else -1 for r in self.parts])
+        # children by level, each with the members of its run
+        self.levels, level = [], np.array([0])
+        children: dict[int, list[int]] = {}
+        for node, above in enumerate(up.tolist()):
+            if above >= 0:
+                children.setdefault(above, []).append(node)
+        while True:
+            next_ = [c for node in level.tolist() for c in children.get(node, ())]
+            if not next_:
+                break
+            level = np.array(next_)
+            first = np.cumsum(size[level]) - size[level]
+            self.levels.append((level, up[level], np.concatenate([self.parts[c] for c in next_]), first))
+        self.n_nodes = len(up)
+
+    def search(self, x: np.ndarray, size: int, sizes: np.ndarray, alive: np.ndarray, num: int, den: int) -> np.ndarray:
+        """Sets alive with a large enough overlap with x.
 
-def join_block(sets: list[np.ndarray], sizes: list[int], num: int, den: int, union: Union) -> None:
+        ``x``: ascending ranks; ``size``, ``sizes``: whole set sizes.
+        """
+        inside = np.zeros(self.n_ranks, np.int64)
+        inside[x] = 1
+        above = len(x) - np.cumsum(inside)      # members of x behind each rank
+        least = overlap_needed(size + -(-num * size // den), num, den)
+        overlap = np.full(self.n_nodes, -1, np.int64)
+        overlap[0] = 0
+        for level, up, members_, first in self.levels:
+            base = overlap[up]
+            open_ = base >= 0
+            if not open_.any():
+                break
+            # what the path to the parent overlaps is shared by all its children
+            reached = base + np.add.reduceat(inside[members_], first)
+            # left where neither x nor the sets below have enough members behind the path
+            rest = np.minimum(above[self.last[level]], self.longest[level] - self.end[level])
+            overlap[level] = np.where(open_ & (reached + rest >= least), reached, -1)
+        found = overlap[self.node_of]
+        return np.flatnonzero(alive & (found >= 0) & (found >= overlap_needed(size + sizes, num, den)))
+
+
+def join_block(sets: list[np.ndarray], sizes: np.ndarray, num: int, den: int, union: Union) -> None:
     """Join all similar sets of a block in ``union``."""
-    tree = Tree(sets)
-    alive = np.ones(len(sets), bool)
-    for start in range(len(sets)):
-        queue = [start] if alive[start] else []
-        alive[start] = False
-        while queue and alive.any():
+    todo = np.arange(len(sets))                 # sets that no link has reached yet
+    queue: list[int] = []
+    while len(todo) or queue:
+        tree = Tree([sets[i] for i in todo] + [sets[i] for i in queue])
+        at = {int(i): k for k, i in enumerate(todo.tolist() + queue)}
+        alive = np.zeros(len(at), bool)
+        alive[:len(todo)] = True
+        own = np.array([sizes[i] for i in at])
+        names = list(at)
+        # a tree of which most sets are reached is replaced by a smaller one
+        while (queue or alive.any()) and (2 * alive.sum() >= len(todo) or len(todo) < 16):
+            if not queue:
+                first = int(alive.argmax())
+                alive[first] = False
+                queue.append(names[first])
             i = queue.pop()
-            hits = tree.search(tree.sets[i], sizes[i], sizes, alive, num, den)
-            for j in hits:
-                alive[j] = False
-                union.join(i, j)
-            queue += hits
+            hits = tree.search(tree.sets[at[i]], int(sizes[i]), own, alive, num, den)
+            alive[hits] = False
+            for j in hits.tolist():
+                union.join(i, names[j])
+                queue.append(names[j])
+            if not alive.any():
+                queue.clear()                   # nothing is left to find
+        todo = todo[alive[:len(todo)]]
 
 
-def join_pairs(sets: list[np.ndarray], sizes: list[int], split: int, num: int, den: int, union: Union) -> None:
+def join_pairs(sets: list[np.ndarray], sizes: np.ndarray, split: int, num: int, den: int, union: Union) -> None:
     """Join the similar pairs of a set before ``split`` and one from it on."""
     tree = Tree(sets)
+    roots = union.roots()
+    second = np.arange(len(sets)) >= split
     for i in range(split):
-        apart = np.array([j >= split and union.find(j) != union.find(i) for j in range(len(sets))])
+        apart = second & (roots != roots[i])
         if apart.any():
-            for j in tree.search(tree.sets[i], sizes[i], sizes, apart, num, den):
+            hits = tree.search(tree.sets[i], int(sizes[i]), sizes, apart, num, den).tolist()
+            for j in hits:
                 union.join(i, j)
+            if hits:
+                roots = union.roots()
 
 
 def _block_links(num: int, den: int):
     def work(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: (r["side"], r["sid"]))
         sets = [np.frombuffer(r["grams"], np.uint64) for r in rows]
-        sizes, union = [r["n"] for r in rows], Union(len(rows))
+        sizes, union = np.array([r["n"] for r in rows], np.int64), Union(len(rows))
         split = sum(r["side"] == 0 for r in rows)
         if 0 < split < len(rows):
             known: dict[int, int] = {}
