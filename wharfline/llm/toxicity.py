@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import free_name, row_tag, with_fields
+from .exchange import runs
 from .kernels import LOWERED, blocks, mix, table_of, word_hashes, words
 
 SAMPLE_ROWS = 8000      # labelled texts that a fit uses at most
@@ -114,9 +115,9 @@ def _matrix(sets: list[np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.nd
     for i, s in enumerate(sets):
         at = np.searchsorted(keys, s)
         at = at[(at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == s)] if len(keys) else at[:0]
-        rows.append(np.full(len(at), i))
-        cols.append(at)
-    none = [np.zeros(0, np.int64)]
+        rows.append(np.full(len(at), i, np.int32))
+        cols.append(at.astype(np.int32))
+    none = [np.zeros(0, np.int32)]
     return np.concatenate(rows or none), np.concatenate(cols or none)
 
 
@@ -127,17 +128,23 @@ def fit(labels: np.ndarray, own: list[np.ndarray], swapped: list[np.ndarray | No
     n, n_pos = len(y), int(y.sum())
     if n_pos == 0 or n_pos == n:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -4.0 if n_pos == 0 else 4.0)
-    keys, inverse = np.unique(np.concatenate(own), return_inverse=True)
-    doc = np.repeat(np.arange(n), [len(s) for s in own])
-    df = np.bincount(inverse, minlength=len(keys))
-    pos = np.bincount(inverse, weights=y[doc], minlength=len(keys))
+    # features of too few texts go first: they are most of all, and the fit runs on the driver
+    every = np.concatenate(own)
+    every.sort()
+    begin, end = runs(every)
+    keys = every[begin[end - begin >= min(MIN_DOCS, max(1, n_pos // 4))]]
+    del every
+    r, c = _matrix(own, keys)
+    df = np.bincount(c, minlength=len(keys))
+    pos = np.bincount(c, weights=y[r], minlength=len(keys))
     # how far the share of toxic texts with the feature is from that of all, in standard errors
     base = n_pos / n
     apart = np.abs(pos - df * base) / np.sqrt(df * base * (1 - base))
-    kept = np.flatnonzero(df >= min(MIN_DOCS, max(1, n_pos // 4)))
-    kept = np.sort(kept[np.argsort(-apart[kept], kind="stable")[:MAX_FEATURES]])
-    keys = keys[kept]
-    r, c = _matrix(own, keys)
+    kept = np.sort(np.argsort(-apart, kind="stable")[:MAX_FEATURES])
+    place = np.full(len(keys), -1, np.int32)
+    place[kept] = np.arange(len(kept))
+    keys, c = keys[kept], place[c]
+    r, c = r[c >= 0], c[c >= 0]
     pairs = [i for i, s in enumerate(swapped) if s is not None]
     sr, sc = _matrix([swapped[i] for i in pairs], keys)
     orow, ocol = _matrix([own[i] for i in pairs], keys)
