@@ -144,10 +144,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     tree = templates(store(counts, "paths"))
     by_host = tree.groupBy("host", "template").agg(F.sum("n_block").alias("b"), F.sum("n_label").alias("l"))
     shape = by_host.groupBy("template").agg(F.sum("b").alias("tb"), F.sum("l").alias("tl"))
-    total = shape.agg(F.coalesce(F.try_divide(F.sum("tb"), F.sum("tl")), F.lit(0.0)).alias("g"))
-    one = F.lit(1).alias("one")
-    shape = shape.select("*", one).join(F.broadcast(total.select("g", one)), "one").select(  # one row
-        "template", ((F.col("tb") + ALPHA * F.col("g")) / (F.col("tl") + ALPHA)).alias("prior"))
+    rate = shape.agg(F.coalesce(F.try_divide(F.sum("tb"), F.sum("tl")), F.lit(0.0)).alias("g")).first()["g"]
+    shape = shape.select("template", ((F.col("tb") + ALPHA * rate) / (F.col("tl") + ALPHA)).alias("prior"))
     rates = by_host.join(shape, "template").select(
         "host", "template", ((F.col("b") + ALPHA * F.col("prior")) / (F.col("l") + ALPHA)).alias("block_rate"))
     judged = tree.select("host", "path", "template").join(rates, ["host", "template"])
