@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -27,6 +28,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wharfline.sources.files import posix_path
 from wharfline.workdir import new_dir
 
 from .common import row_tag, store
@@ -253,8 +255,9 @@ def archive_table(rows: DataFrame, id_col: str, payload: str, uri: str | None =
     """
     row_tag(rows, id_col, payload)
     out_dir = out_dir or new_dir(rows.sparkSession, "warc")
-    if "://" not in out_dir and not out_dir.startswith("file:"):
-        out_dir = f"file://{out_dir}"
+    plain = posix_path(out_dir)
+    if plain is not None:
+        out_dir = f"file://{os.path.abspath(plain)}"
     own = rows.select(
         F.col(id_col).cast("long").alias("row_id"),
         (F.col(uri).cast("string") if uri else F.lit(None).cast("string")).alias("uri"),
