@@ -145,7 +145,9 @@ def splitters(packs: DataFrame, parts: int) -> np.ndarray:
                 at = at[:: max(1, len(at) // SAMPLE_LEADS)]
                 yield pa.RecordBatch.from_pydict({"lead": pa.array([data[i:i + GRAM].tobytes() for i in at], pa.binary())})
 
-    some = packs.orderBy(F.xxhash64("pack"), "pack").limit(SAMPLE_PACKS)
+    # numbers alone are sorted; whole packs would meet in one task
+    drawn = packs.select("pack").orderBy(F.xxhash64("pack"), "pack").limit(SAMPLE_PACKS).collect()
+    some = packs.where(F.col("pack").isin([r["pack"] for r in drawn]))
     leads = np.sort(np.array(some.mapInArrow(work, "lead binary").toArrow().column(0).to_pylist(), f"S{GRAM}"))
     at = np.linspace(0, len(leads), parts + 1)[1:-1].astype(int)
     return np.unique(leads[at]) if len(leads) else leads
