@@ -2,9 +2,9 @@
 
 1. Texts become packs; each text's n-grams are hashed to 64 bits. Texts with
    equal sets are one set from here on, named by a hash of the set.
-2. A set with a similar one shares most of its members, so at least about half
-   of any few of them. Sets of which fewer of the smallest hashes occur
-   elsewhere are done.
+2. A set with a similar one shares most of its members, so about half of the
+   few smallest hashes that each of the two sends. Sets of which fewer occur
+   elsewhere than any similar set is sure to send too are done.
 3. Document frequencies of all n-grams of the remaining sets give the global
    order, rare ones first. N-grams that occur once match nothing and only count.
 4. Sets that share an n-gram of their rare prefixes are candidates if bounds on
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -90,21 +91,31 @@ def _with_parts(packs: DataFrame, shared: DataFrame, work, schema: str) -> DataF
 
 
 def probe_size(n, num: int, den: int):
-    """(members probed, how many of them any similar set shares at least), in any one order."""
-    spare = n - -(-num * n // den)
-    probed = min(n, 2 * spare + 1)
-    return probed, probed - spare
+    """How many of its smallest members a set of n sends."""
+    return np.minimum(n, 2 * (n - -(-num * n // den)) + 1)
+
+
+@lru_cache(maxsize=1 << 16)
+def probes_shared(n: int, num: int, den: int) -> int:
+    """How many of the members that a set of n sends any similar set sends too, at least.
+
+    The r smallest members that two sets have in common are among the r + d
+    smallest of a set with d members that the other one lacks.
+    """
+    other = np.arange(-(-num * n // den), den * n // num + 1)
+    common = np.minimum(overlap_needed(n + other, num, den), np.minimum(n, other))
+    both = np.minimum(probe_size(n, num, den) - (n - common), probe_size(other, num, den) - (other - common))
+    return int(both.min())
 
 
 def candidate_sets(packs: DataFrame, rows: DataFrame, k: int, num: int, den: int, buckets: int) -> DataFrame:
     """(pack, sids, sizes, grams): sets of the chosen ``rows`` that share enough of their smallest hashes with others.
 
-    A similar set lacks few members, so that of about twice as many probed ones
-    at least half occur elsewhere.
+    Each sends about twice as many as a similar set may lack, so that about half of them occur elsewhere.
     """
 
     def probe_keys(row):
-        parts = [g[:probe_size(len(g), num, den)[0]] for _, g in sets_of(*open_pack(row), k)]
+        parts = [g[:probe_size(len(g), num, den)] for _, g in sets_of(*open_pack(row), k)]
         return np.unique(np.concatenate(parts or [np.zeros(0, np.uint64)]), return_counts=True)
 
     def keep(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -115,8 +126,8 @@ def candidate_sets(packs: DataFrame, rows: DataFrame, k: int, num: int, den: int
             own = set(row["rows"])
             for i, g in sets_of(*open_pack(row), k):
                 if i in own and len(g):
-                    probed, least = probe_size(len(g), num, den)
-                    if members(codes(g[:probed], buckets), shared)[0].sum() >= least:
+                    probed = g[:probe_size(len(g), num, den)]
+                    if members(codes(probed, buckets), shared)[0].sum() >= probes_shared(len(g), num, den):
                         kept.append(g)
         return pa.table({
             "pack": pa.array([row["pack"]] if kept else [], pa.int64()),
