@@ -32,7 +32,6 @@ from .kernels import LOWERED, NOT_SPACE, blocks, word_hashes, words
 WINDOW = 4096
 END_ID = 2                 # follows every text, by contract
 SHARD_TOKENS = 1 << 20     # tokens of a shard; a longer text is one by itself
-QUERY_TERMS = 24           # heaviest tokens of a seed that are looked up
 K1, B = 1.2, 0.75
 CACHE_WORDS = 3_000_000    # words whose ids a worker remembers
 
@@ -247,20 +246,16 @@ class _Index:
         self.begin = np.concatenate([[0], np.cumsum([len(t) for t in terms])])
         term, doc, n = np.concatenate(terms), np.concatenate(owner), np.concatenate(tf).astype(np.float32)
         length = np.array([len(d) for d in docs], np.float32)[doc]
-        self.term, self.weight = term, idf[term] * n * (K1 + 1) / (n + K1 * (1 - B + B * length / mean))
+        self.term, weight = term, idf[term] * n * (K1 + 1) / (n + K1 * (1 - B + B * length / mean))
         order = np.argsort(term, kind="stable")
-        self.doc, self.posted = doc[order], self.weight[order]
+        self.doc, self.posted = doc[order], weight[order]
         self.values, self.first = np.unique(term[order], return_index=True)
         self.first = np.append(self.first, len(order))
         self.n = len(docs)
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
-        """Unused texts by their score for the seed's heaviest tokens; those without one come last, in order."""
-        own = slice(self.begin[seed], self.begin[seed + 1])
-        term, weight = self.term[own], self.weight[own]
-        if len(term) > QUERY_TERMS:
-            top = np.argpartition(-weight, QUERY_TERMS)[:QUERY_TERMS]
-            term = term[top]
+        """Unused texts by their score for all of the seed's tokens; those without one come last, in order."""
+        term = self.term[self.begin[seed]:self.begin[seed + 1]]
         score = np.zeros(self.n, np.float32)
         for t in np.searchsorted(self.values, term):
             at = slice(self.first[t], self.first[t + 1])
