@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, graph_dedup, language_id, line_dedup, ngram_join, packing, suffix_dedup, toxicity, url_templates, warc
+from . import byte_bpe, decontaminate, graph_dedup, language_id, line_dedup, ngram_join, packing, suffix_dedup, toxicity, url_templates, warc
 
 QUERIES = {
     "op1_graph_dedup": graph_dedup.op1_graph_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_lexical_packing": packing.op8_lexical_packing,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_line_chunks": line_dedup.op10_line_chunks,
+    "op12_byte_bpe": byte_bpe.op12_byte_bpe,
 }
 
 ORACLE_SQL = {
