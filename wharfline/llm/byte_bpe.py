@@ -6,15 +6,14 @@ the ranks are one literal of the plan.
 1. ``regexp_extract_all`` cuts texts into words (the pattern's matches). Tasks
    gather documents into packs of ``PACK_BYTES``, give each distinct word of a
    pack a code, and store codes and words, compressed.
-2. The words of all packs meet by word. ``encode_word`` folds the merges over the
-   bytes of a word once, however many packs hold it, and ``decode_ids`` turns the
-   ids into bytes again.
-3. Ids and bytes go back to their packs, where the documents are put together.
+2. The words of all packs meet in buckets of about ``BUCKET_BYTES``, one row for
+   each distinct word with the packs that hold it. ``encode_word`` folds the
+   merges over the bytes of each such row.
+3. Ids go back to the packs, where the documents are put together.
 
 What is shuffled are a pack's distinct words, not the words of all texts, so a
-very frequent word is one row a pack. The packs that one row of a word lists are
-bounded by ``GROUP_PACKS``: beyond as many packs, a word is folded once for each
-group of packs. A task holds one pack; a longer text is a pack of its own.
+very frequent word is one entry a pack. A task holds one pack or one bucket; a
+longer text is a pack of its own.
 
 Bytes are written as characters of ISO 8859-1, one for each, so that they can be
 split, joined and looked up as strings.
@@ -35,19 +34,21 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import row_tag, store
-from .exchange import expand, squeeze
-from .kernels import column_bytes
+from .exchange import bucket_of, expand, runs, squeeze
+from .kernels import column_bytes, word_hashes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-PACK_BYTES = 32 << 20
-GROUP_PACKS = 4096
-SLOTS = 1 << 16       # of the literal hash table of ranks
+PACK_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
+SLOT_BITS = 17        # of the literal hash table of ranks; vocabularies of up to 60,000 tokens fit
 LATIN = "ISO-8859-1"
 
 
@@ -58,22 +59,47 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def _slots(keys: list[str]) -> list[int]:
+    """A hash table of the keys' numbers with two places for each key, by the low and the high bits of its crc32; -1 is empty."""
+    size = 1 << SLOT_BITS
+    places = [((c := zlib.crc32(k.encode())) % size, c >> (32 - SLOT_BITS)) for k in keys]
+    slots = [-1] * size
+    for number in range(len(keys)):
+        held, at = number, places[number][0]
+        for _ in range(500):
+            held, slots[at] = slots[at], held
+            if held < 0:
+                break
+            # what was here goes to its other place
+            at = places[held][1] if places[held][0] == at else places[held][0]
+        else:
+            raise ValueError("the vocabulary is too large for SLOT_BITS")
+    return slots
+
+
 def rank_table(ranks: dict[bytes, int]) -> Column:
-    """The rank map as a literal ``array<map<string,int>>``, dealt to slots by crc32.
+    """The rank map as a literal struct: ``tokens`` by rank, and ``slots`` that lead from a token to its rank.
 
-    Spark looks a key up in a map by going through it; slots of one or two keys
-    keep that short. The text of the literal is parsed once, when the plan is made.
+    Spark looks a key up in a map literal by going through it; here two places
+    are enough. The literal's text is parsed once, when the plan is made.
     """
-    slots: list[dict[str, int]] = [{} for _ in range(SLOTS)]
+    tokens = [""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
-        key = token.decode(LATIN)
-        slots[zlib.crc32(key.encode()) % SLOTS][key] = rank
-    return F.from_json(F.lit(json.dumps(slots)), "array<map<string,int>>")
+        tokens[rank] = token.decode(LATIN)
+    text = json.dumps({"tokens": tokens, "slots": _slots(tokens)})
+    return F.from_json(F.lit(text), "struct<tokens:array<string>,slots:array<int>>")
 
 
 def _rank(table: Column, key: Column) -> Column:
     """Rank of a byte string; null if it has none or is null."""
-    return table[F.crc32(key).bitwiseAND(SLOTS - 1).cast("int")][key]
+    slots, tokens = table["slots"], table["tokens"]
+
+    def found(k: Column, c: Column) -> Column:
+        first = slots[c.bitwiseAND((1 << SLOT_BITS) - 1).cast("int")]
+        second = slots[F.shiftright(c, 32 - SLOT_BITS).cast("int")]
+        return F.when(F.get(tokens, first) == k, first).when(F.get(tokens, second) == k, second)
+
+    return _bind(key, lambda k: _bind(F.crc32(k), lambda c: found(k, c)))
 
 
 def _bind(value: Column, body) -> Column:
@@ -123,19 +149,6 @@ def encode_word(word: Column, table: Column) -> Column:
     return _bind(table, whole)
 
 
-def piece_table(ranks: dict[bytes, int]) -> Column:
-    """``array<string>``: each id's bytes in hex, as a literal."""
-    pieces = [""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        pieces[rank] = token.hex()
-    return F.split(F.lit(",".join(pieces)), ",")
-
-
-def decode_ids(ids: Column, pieces: Column) -> Column:
-    """``binary``: the concatenated bytes of an array of ids; null for null."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))
-
-
 def words_of(text: Column, pattern: str) -> Column:
     """``array<string>``: the pattern's matches from left to right; none for null.
 
@@ -145,35 +158,47 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + pattern), F.lit(0))
 
 
-def _planes(codes: np.ndarray) -> bytes:
+def _planes(codes: np.ndarray, level: int = 3) -> bytes:
     """Codes by byte planes, the small ones of frequent words close together."""
-    return squeeze(codes.astype(np.uint32).view(np.uint8).reshape(-1, 4).T, 3)
+    return squeeze(codes.astype(np.uint32).view(np.uint8).reshape(-1, 4).T, level)
 
 
 def _codes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(expand(raw, np.uint8).reshape(4, -1).T).view(np.uint32).reshape(-1)
 
 
+def _words(row: dict) -> pa.Array:
+    sizes = expand(row["sizes"], np.int32)
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    text = zstandard.ZstdDecompressor().decompress(row["words"])
+    return pa.Array.from_buffers(pa.string(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
+
+
+def _packed(words: pa.Array) -> dict:
+    text, at = column_bytes(words) if len(words) else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
+    return {"sizes": [squeeze(np.diff(at).astype(np.int32), 3)], "words": [squeeze(text[at[0]:at[-1]], 3)]}
+
+
 def _to_packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packs of documents: their ids, numbers of words, words as codes, and the distinct words in the order of codes."""
+    """Packs of documents: ids, numbers of words, words as codes by frequency, the distinct words in order and their codes."""
     number = TaskContext.get().partitionId() << 24
     ids, counts, values, size = [], [], [], 0
 
     def pack() -> pa.RecordBatch:
         coded = pa.concat_arrays(values).dictionary_encode()
         places = coded.indices.to_numpy(zero_copy_only=False)
-        order = np.argsort(-np.bincount(places, minlength=len(coded.dictionary)), kind="stable")
-        code = np.empty(len(order), np.int64)
-        code[order] = np.arange(len(order))
-        text, at = column_bytes(coded.dictionary.take(pa.array(order)))
+        code = np.empty(len(coded.dictionary), np.uint32)
+        code[np.argsort(-np.bincount(places, minlength=len(code)), kind="stable")] = np.arange(len(code))
+        order = pc.sort_indices(coded.dictionary)
         return pa.RecordBatch.from_pydict({
             "pack": pa.array([number], pa.int64()), "ids": [pa.concat_arrays(ids).to_pylist()],
-            "counts": [squeeze(np.concatenate(counts).astype(np.int64))], "codes": [_planes(code[places])],
-            "sizes": [squeeze(np.diff(at))], "words": [squeeze(text[at[0]:at[-1]], 3)]}, schema=_PACK)
+            "counts": [squeeze(np.concatenate(counts).astype(np.int64))], "codes": [_planes(code[places], 6)],
+            "code_of": [_planes(code[order.to_numpy()])], **_packed(coded.dictionary.take(order))}, schema=_PACK)
 
     for batch in batches:
         column = batch.column(1)
-        starts, (_, at) = column.offsets.to_numpy().astype(np.int64), column_bytes(column.values)
+        starts = column.offsets.to_numpy().astype(np.int64)
+        at = column_bytes(column.values)[1] if len(column.values) else np.zeros(1, np.int64)
         first = 0
         while first < len(column):
             sizes = at[starts[first + 1:]] - at[starts[first]]
@@ -190,22 +215,47 @@ def _to_packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pack()
 
 
-_PACK = pa.schema([("pack", pa.int64()), ("ids", pa.list_(pa.int64())), *((n, pa.binary()) for n in ("counts", "codes", "sizes", "words"))])
-_PACK_SQL = "pack long, ids array<bigint>, counts binary, codes binary, sizes binary, words binary"
-
-
-def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            sizes = expand(row["sizes"], np.int64)
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            text = zstandard.ZstdDecompressor().decompress(row["words"])
-            words = pa.Array.from_buffers(pa.string(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
-            for first in range(0, len(words), 10_000):
-                some = words.slice(first, 10_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), row["pack"])), pa.array(np.arange(first, first + len(some), dtype=np.int32)), some],
-                    names=["pack", "code", "word"])
+_PACK = pa.schema([("pack", pa.int64()), ("ids", pa.list_(pa.int64())), *((n, pa.binary()) for n in ("counts", "codes", "code_of", "sizes", "words"))])
+_PACK_SQL = "pack long, ids array<bigint>, counts binary, codes binary, code_of binary, sizes binary, words binary"
+
+
+def _send(buckets: int):
+    """A pack's words dealt to buckets, in order, each with its place among the pack's words."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                words = _words(row)
+                if not len(words):
+                    continue
+                text, at = column_bytes(words)
+                bucket = bucket_of(word_hashes(text, at[:-1], at[1:]), buckets)
+                order = np.argsort(bucket, kind="stable")
+                for a, b in zip(*runs(bucket[order]), strict=True):
+                    own = order[a:b]
+                    yield pa.RecordBatch.from_pydict({
+                        "bucket": pa.array([bucket[own[0]]], pa.int64()), "pack": pa.array([row["pack"]], pa.int64()),
+                        "places": [squeeze(np.diff(own, prepend=0).astype(np.int32), 3)], **_packed(words.take(pa.array(own)))})
+
+    return send
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """Each distinct word of a bucket, in order, with the packs and places where it is."""
+    cells = table.to_pylist()
+    words = pa.concat_arrays([_words(c) for c in cells])
+    place = np.concatenate([np.cumsum(expand(c["places"], np.int32)) for c in cells])
+    pack = np.repeat([c["pack"] for c in cells], [len(expand(c["places"], np.int32)) for c in cells])
+    coded = words.dictionary_encode()
+    order = pc.sort_indices(coded.dictionary)
+    rank = np.empty(len(order), np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    word = rank[coded.indices.to_numpy(zero_copy_only=False)]
+    by_word = np.argsort(word, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(order)))])
+    spots = pa.StructArray.from_arrays([pa.array(pack[by_word], pa.int64()), pa.array(place[by_word], pa.int32())], names=["pack", "place"])
+    rows = pa.table({"word": coded.dictionary.take(order), "spots": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spots)})
+    return pa.Table.from_batches(rows.to_batches(max_chunksize=10_000), rows.schema)
 
 
 def _list_parts(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -221,77 +271,86 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
 
 
 def _to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each pack, one cell with the codes, ids and bytes of its words in a batch."""
+    """For each pack, one cell with the places and ids of its words in a batch."""
     for batch in batches:
         if not len(batch):
             continue
-        n_places, places = _list_parts(batch.column("places"))
+        n_spots, spots = _list_parts(batch.column("spots"))
         n_ids, ids = _list_parts(batch.column("ids"))
-        n_bytes, text = (lambda b, o: (np.diff(o), b[o[0]:o[-1]]))(*column_bytes(batch.column("piece")))
-        ids, pack, code = ids.to_numpy().astype(np.uint32), places.field(0).to_numpy(), places.field(1).to_numpy()
-        word = np.repeat(np.arange(len(batch)), n_places)
-        at_ids, at_text = np.cumsum(n_ids) - n_ids, np.cumsum(n_bytes) - n_bytes
-        order = np.lexsort([code, pack])
-        begins = np.flatnonzero(np.diff(pack[order], prepend=pack[order[0]] - 1))
-        for a, b in zip(begins, [*begins[1:], len(order)], strict=True):
+        ids, pack, place = ids.to_numpy().astype(np.uint32), spots.field(0).to_numpy(), spots.field(1).to_numpy()
+        word, at = np.repeat(np.arange(len(batch)), n_spots), np.cumsum(n_ids) - n_ids
+        order = np.lexsort([place, pack])
+        for a, b in zip(*runs(pack[order]), strict=True):
             own = order[a:b]
             w = word[own]
             yield pa.RecordBatch.from_pydict({
-                "pack": pa.array([pack[own[0]]], pa.int64()),
-                "codes": [squeeze(np.diff(code[own], prepend=0).astype(np.int32), 3)],
-                "n_ids": [squeeze(n_ids[w].astype(np.int32), 3)], "ids": [_planes(_gather(ids, at_ids[w], n_ids[w]))],
-                "n_bytes": [squeeze(n_bytes[w].astype(np.int32), 3)], "pieces": [squeeze(_gather(text, at_text[w], n_bytes[w]), 3)]})
+                "pack": pa.array([pack[own[0]]], pa.int64()), "places": [squeeze(np.diff(place[own], prepend=0).astype(np.int32), 3)],
+                "n_ids": [squeeze(n_ids[w].astype(np.int32), 3)], "ids": [_planes(_gather(ids, at[w], n_ids[w]))]})
 
 
 def _put_together(packs: pa.Table, cells: pa.Table) -> pa.Table:
     """Documents of one pack from the cells of its words."""
     pack = packs.to_pylist()[0]
-    n_words = len(expand(pack["sizes"], np.int64))
-    ids, pieces = [b""] * n_words, [b""] * n_words
+    code_of = _codes(pack["code_of"]).tolist()
+    ids = [b""] * len(code_of)
     for cell in cells.to_pylist():
-        codes = np.cumsum(expand(cell["codes"], np.int32)).tolist()
-        for out, sizes, raw in ((ids, 4 * expand(cell["n_ids"], np.int32).astype(np.int64), _codes(cell["ids"]).tobytes()),
-                                (pieces, expand(cell["n_bytes"], np.int32).astype(np.int64), expand(cell["pieces"], np.uint8).tobytes())):
-            at = 0
-            for code, end in zip(codes, np.cumsum(sizes).tolist(), strict=True):
-                out[code] = raw[at:end]
-                at = end
-    counts, codes = expand(pack["counts"], np.int64).tolist(), _codes(pack["codes"])
-    encoded, decoded, at = [], [], 0
-    for n in counts:
-        own = codes[at:at + n].tolist()
-        encoded.append(b"".join([ids[c] for c in own]))
-        decoded.append(b"".join([pieces[c] for c in own]))
+        raw, at = _codes(cell["ids"]).tobytes(), 0
+        ends = (4 * np.cumsum(expand(cell["n_ids"], np.int32).astype(np.int64))).tolist()
+        for place, end in zip(np.cumsum(expand(cell["places"], np.int32)).tolist(), ends, strict=True):
+            ids[code_of[place]] = raw[at:end]
+            at = end
+    codes, encoded, at = _codes(pack["codes"]), [], 0
+    for n in expand(pack["counts"], np.int64).tolist():
+        encoded.append(b"".join([ids[c] for c in codes[at:at + n].tolist()]))
         at += n
     rows = pa.table({"doc_id": pa.array(pack["ids"], pa.int64()), "n_tokens": pa.array([len(e) // 4 for e in encoded], pa.int64()),
-                     "ids": pa.array(encoded, pa.binary()), "decoded": pa.array(decoded, pa.binary())})
+                     "ids": pa.array(encoded, pa.binary())})
     return pa.Table.from_batches(rows.to_batches(max_chunksize=1024), rows.schema)
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """doc_id, n_tokens, ids, decoded: each text's token ids and what they decode to.
+    """doc_id, n_tokens, ids: the token ids of each text as little-endian unsigned 32-bit numbers in a binary cell.
 
-    ``ids`` are little-endian unsigned 32-bit numbers in a binary cell; ``decoded``
-    are the bytes of the decoded ids. ``path`` names the vocabulary file.
+    ``path`` names the vocabulary file.
     """
     row_tag(docs, id_col, text_col)
     ranks = read_ranks(path or public_tokenizers.path(VOCABULARY))
     cut = docs.select(F.col(id_col).cast("long"), words_of(F.col(text_col), pattern))
     packs = store(cut.mapInArrow(_to_packs, _PACK_SQL), "bpe-packs")
-    groups = max(1, -(-packs.count() // GROUP_PACKS))
-    words = packs.select("pack", "sizes", "words").mapInArrow(_word_rows, "pack long, code int, word string")
-    met = words.groupBy("word", F.pmod(F.xxhash64("pack"), F.lit(groups)).alias("group")).agg(
-        F.collect_list(F.struct("pack", "code")).alias("places"))
+    n_bytes = packs.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    buckets = 1 + 3 * n_bytes // BUCKET_BYTES   # words are stored in about a third of their bytes
+    sent = packs.select("pack", "sizes", "words").mapInArrow(_send(buckets), "bucket long, pack long, places binary, sizes binary, words binary")
+    met = sent.groupBy("bucket").applyInArrow(_meet, "word string, spots array<struct<pack:bigint,place:int>>")
     latin = F.decode(F.encode("word", "UTF-8"), LATIN)
-    encoded = met.select("places", encode_word(latin, rank_table(ranks)).alias("ids"))
-    decoded = encoded.select("places", "ids", decode_ids(F.col("ids"), piece_table(ranks)).alias("piece"))
-    cells = decoded.mapInArrow(_to_cells, "pack long, codes binary, n_ids binary, ids binary, n_bytes binary, pieces binary")
-    return packs.drop("words").groupBy("pack").cogroup(cells.groupBy("pack")).applyInArrow(
-        _put_together, "doc_id long, n_tokens long, ids binary, decoded binary")
+    encoded = met.select("spots", encode_word(latin, rank_table(ranks)).alias("ids"))
+    cells = encoded.mapInArrow(_to_cells, "pack long, places binary, n_ids binary, ids binary")
+    return packs.drop("words", "sizes").groupBy("pack").cogroup(cells.groupBy("pack")).applyInArrow(
+        _put_together, "doc_id long, n_tokens long, ids binary")
+
+
+def decode_documents(encoded: DataFrame, ids_col: str = "ids", path: str | None = None) -> DataFrame:
+    """Adds ``decoded``: the concatenated bytes of the ids that a binary cell holds; null for null."""
+    ranks = read_ranks(path or public_tokenizers.path(VOCABULARY))
+    row_tag(encoded, ids_col)
+    pieces = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        pieces[rank] = token
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(pieces, pa.binary())
+        for batch in batches:
+            column = batch.column(ids_col)
+            raw, at = column_bytes(column) if len(batch) else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
+            ids = np.frombuffer(raw[at[0]:at[-1]].tobytes(), "<u4")
+            lists = pa.LargeListArray.from_arrays(pa.array((at - at[0]) // 4, pa.int64()), known.take(pa.array(ids)))
+            out = pc.if_else(pc.is_null(column), pa.scalar(None, pa.binary()), pc.binary_join(lists, pa.scalar(b"", pa.binary())))
+            yield pa.RecordBatch.from_arrays([*batch.columns, out.cast(pa.binary())], names=[*batch.schema.names, "decoded"])
+
+    return encoded.mapInArrow(decode, StructType([*encoded.schema.fields, StructField("decoded", BinaryType())]))
 
 
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of ids and of decoded bytes of every document."""
-    docs = encode_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    docs = decode_documents(encode_documents(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     return docs.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
