@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, decontaminate, graph_dedup, language_id, line_dedup, ngram_join, packing, suffix_dedup, toxicity, url_templates, warc
+from . import (
+    byte_bpe,
+    decontaminate,
+    graph_dedup,
+    hard_negatives,
+    language_id,
+    line_dedup,
+    merkle,
+    ngram_join,
+    packing,
+    suffix_dedup,
+    toxicity,
+    url_templates,
+    warc,
+)
 
 QUERIES = {
     "op1_graph_dedup": graph_dedup.op1_graph_dedup,
@@ -15,7 +29,9 @@ QUERIES = {
     "op8_lexical_packing": packing.op8_lexical_packing,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_line_chunks": line_dedup.op10_line_chunks,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_byte_bpe": byte_bpe.op12_byte_bpe,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 ORACLE_SQL = {
@@ -25,4 +41,6 @@ ORACLE_SQL = {
     "op4_warc_chunks": warc.oracle(),
     "op9_decontaminate": decontaminate.oracle(),
     "op10_line_chunks": line_dedup.oracle(),
+    "op11_hard_negatives": hard_negatives.oracle(),
+    "op13_merkle_manifest": merkle.oracle(),
 }
