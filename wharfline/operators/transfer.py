@@ -2,7 +2,8 @@
 
 A plan has ``src``, ``dst`` and ``size``. Every job stores its
 outcomes (OUTCOME_SCHEMA) as a table, since a second evaluation would move the
-files again, and returns that table.
+files again, and returns that table. ``run`` names a run: repeated under the same
+name it takes the place of what a stopped one has left.
 """
 
 from __future__ import annotations
@@ -99,12 +100,13 @@ def _status() -> Column:
 
 
 def _store(outcomes: DataFrame, out: str | None, run: str, on_error: str) -> DataFrame:
-    """Store this run's outcomes below ``out`` and read them back."""
+    """Store this run's outcomes below ``out`` and read them back. A run of the same
+    name that was cut off has left nothing that counts; its rest is replaced."""
     if on_error not in ("record", "fail"):
         raise ValueError(f"on_error must be 'record' or 'fail', not {on_error!r}")
     spark = outcomes.sparkSession
     table = f"{out or new_dir(spark, 'outcomes')}/run={run}"
-    outcomes.write.parquet(table)
+    outcomes.write.mode("overwrite").parquet(table)
     stored = spark.read.schema(OUTCOME_SCHEMA).parquet(table)
     if on_error == "fail":
         bad = stored.filter(F.col("status") == ERROR)
@@ -240,6 +242,7 @@ def copy_job(
     part_bytes: int = PART_BYTES,
     tasks: int | None = None,
     on_error: str = "record",
+    run: str | None = None,
 ) -> DataFrame:
     """Copy ``src`` to ``dst`` byte for byte and check the size.
 
@@ -248,7 +251,7 @@ def copy_job(
     half-written target. Files with another scheme are streamed one per task.
     Existing targets are replaced; a zero-byte file is copied as such.
     """
-    run, tasks = uuid.uuid4().hex, _task_count(plan, tasks)
+    run, tasks = run or uuid.uuid4().hex, _task_count(plan, tasks)
     return _store(_copy_outcomes(plan, run, part_bytes, tasks), out, run, on_error)
 
 
@@ -257,11 +260,12 @@ def unpack_job(
     out: str | None = None,
     tasks: int | None = None,
     on_error: str = "record",
+    run: str | None = None,
 ) -> DataFrame:
     """Gunzip ``src`` to ``dst``. A gzip stream cannot be cut, so each file is
     streamed by one task, and ``size`` (compressed) serves to balance the tasks;
     a corrupt file gives an error row and no target."""
-    run, tasks = uuid.uuid4().hex, _task_count(plan, tasks)
+    run, tasks = run or uuid.uuid4().hex, _task_count(plan, tasks)
     return _store(_unpack_outcomes(plan, run, tasks), out, run, on_error)
 
 
@@ -271,11 +275,12 @@ def sync_job(
     part_bytes: int = PART_BYTES,
     tasks: int | None = None,
     on_error: str = "record",
+    run: str | None = None,
 ) -> DataFrame:
     """Carry out a plan with ``src, dst, size, action, compressed_source``:
     copy plain files, unpack compressed ones, record the skipped ones and those
     that the plan itself marks as errors (their text in ``error``)."""
-    run = uuid.uuid4().hex
+    run = run or uuid.uuid4().hex
     # Fixed first: the moves below change what the plan was derived from.
     ensure_checkpoint_dir(plan.sparkSession)
     if "error" not in plan.columns:

@@ -68,6 +68,7 @@ def run_match(
     result's place when nothing matched; ``status`` is then 'no rows' or
     'no matches', and for the latter ``diagnosis`` says why. A place that the
     input takes in is refused, or the next run would read the result as data.
+    The result is a folder of parts in order; with ``single`` one file.
     """
     target = out or output_path(data_path)
     refuse_output_in_input(data_path, target)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from wharfline.functions import paths as P
 from wharfline.operators.folders import check_targets
 from wharfline.operators.lookup import lookup_join
-from wharfline.operators.sync import SKIPPED, done_keys
+from wharfline.operators.sync import SKIPPED, done_keys, ledger_pending
 from wharfline.operators.transfer import unpack_job
+from wharfline.plans.resumable_run import STEP_FILES, run_stored, store_plan
 from wharfline.sources.ledger import mark_done, read_ledger
 from wharfline.workdir import ensure_checkpoint_dir
 
@@ -25,6 +26,29 @@ def unpack_targets(files: DataFrame, everywhere: bool = False) -> DataFrame:
     )
 
 
+def resume_unpack(
+    files: DataFrame,
+    ledger: str,
+    state: str,
+    everywhere: bool = False,
+    step_files: int = STEP_FILES,
+    steps_per_batch: int = 1,
+    tasks: int | None = None,
+    on_batch=None,
+) -> DataFrame:
+    """Unpack in batches, each marked in the ledger as soon as it is done.
+
+    The first call stores what the ledger leaves to do as the plan below
+    ``state``; a call after a stop goes on with that plan. Returns the outcomes
+    of all batches, see ``resumable_run``.
+    """
+    spark = files.sparkSession
+    targets = unpack_targets(files, everywhere)
+    check_targets(targets)
+    store_plan(ledger_pending(targets, read_ledger(spark, ledger)), state, step_files)
+    return run_stored(spark, state, "unpack", ledger, steps_per_batch, tasks, on_batch)
+
+
 def run_unpack(
     files: DataFrame,
     ledger: str,

@@ -39,6 +39,12 @@ def remote_filesystem(root: str) -> tuple[pafs.FileSystem, str, str]:
     return filesystem, path, root[: len(root) - len(path)]
 
 
+def open_file(uri: str):
+    """A file open for reading at any place."""
+    filesystem, path = _filesystem(uri)
+    return filesystem.open_input_file(path)
+
+
 def staging_name(path: str, token: str) -> str:
     """A hidden name beside ``path``, so that inventories pass over it. Its
     length does not grow with the name, which may be as long as names can be."""
@@ -105,6 +111,19 @@ def copy_range(src: str, staged: str, offset: int, length: int) -> int:
     return done
 
 
+def write_at(staged: str, offset: int, data: bytes) -> int:
+    """Put bytes at a place of a staged file, which is made where it is missing; returns how many."""
+    fd = os.open(staged, os.O_WRONLY | os.O_CREAT, 0o644)
+    try:
+        view = memoryview(data)
+        while view:
+            n = os.pwrite(fd, view, offset)
+            view, offset = view[n:], offset + n
+    finally:
+        os.close(fd)
+    return len(data)
+
+
 def commit_staged(staged: str, dst: str, size: int) -> int:
     """Move a complete staged file to its target; returns the target's size.
 

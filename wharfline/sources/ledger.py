@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wharfline.operators.sync import DONE_KEY, DONE_VALUE, UPLOADED
+from wharfline.workdir import exists
 
 LEDGER_SCHEMA = "key string, tag_key string, tag_value string, at timestamp"
 
@@ -15,9 +16,9 @@ STAMP = "yyyy-MM-dd HH:mm:ss"
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger table; empty before anything was marked."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    if exists(spark, path):
+        # batches lie in folders of their own
+        return spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
     return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
@@ -37,6 +38,11 @@ def mark_done(outcomes: DataFrame, path: str, key: str = "src") -> None:
     done_marks(outcomes, key).write.mode("append").parquet(path)
 
 
+def mark_batch(outcomes: DataFrame, path: str, batch: str, key: str = "src") -> None:
+    """Write a batch's done marks in place of those it may have left before."""
+    done_marks(outcomes, key).write.mode("overwrite").parquet(f"{path.rstrip('/')}/marks-{batch}")
+
+
 def append_log(rows: DataFrame, message: Column, path: str) -> None:
     """Append one stamped text line per row; stamps are in UTC."""
     utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())

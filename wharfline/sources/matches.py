@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
 from fnmatch import fnmatch
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+import wharfline
+from wharfline.sources.files import commit_staged, discard_staged, posix_path, staging_name, write_at
+from wharfline.workdir import new_dir
+
+cloudpickle.register_pickle_by_value(wharfline)
 
 # Fixed value: name of the result beside the data file.
 OUTPUT_NAME = "matches_output.csv"
@@ -33,13 +48,82 @@ def refuse_output_in_input(data_path: str | list[str], out: str) -> None:
 def write_matches(matches: DataFrame, path: str, pos: str = "pos", single: bool = False) -> None:
     """Write ``value`` in input order, replacing ``path``, a folder of parts.
 
-    Parts in name order hold the lines in input order. With ``single`` one task
-    sorts and writes all as one part; ask for it only where that is wanted,
-    whatever the size. ``matches`` is read more than once, so hand over a
-    stored result.
+    Parts in name order hold the lines in input order. With ``single``, ``path``
+    is one file, see :func:`write_one_file`. ``matches`` is read more than once, so
+    hand over a stored result.
     """
     if single:
-        ordered = matches.repartition(1).sortWithinPartitions(pos)
+        write_one_file(matches, path, pos)
     else:
-        ordered = matches.orderBy(pos)
-    ordered.select("value").write.mode("overwrite").text(path)
+        matches.orderBy(pos).select("value").write.mode("overwrite").text(path)
+
+
+def _with_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds where each line begins, in bytes from the start of its partition."""
+    at = 0
+    for batch in batches:
+        ends = np.cumsum(_sizes(batch.column("value")) + 1)
+        begins = np.concatenate([[0], ends[:-1]]).astype(np.int64) + at
+        at += int(ends[-1]) if len(ends) else 0
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(begins[: len(batch)])], names=[*batch.schema.names, "at"])
+
+
+def _sizes(values: pa.Array) -> np.ndarray:
+    return pc.binary_length(values).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _write_ranges(staged: str):
+    """Writer of lines at their places in the staged file; what is next to each other goes in one write."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n_bytes = 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            begins = batch.column("begin").to_numpy()
+            lines = [v + b"\n" for v in batch.column("value").to_pylist()]
+            ends = begins + np.array([len(line) for line in lines])
+            cuts = [0, *(np.flatnonzero(begins[1:] != ends[:-1]) + 1).tolist(), len(lines)]
+            for a, b in zip(cuts, cuts[1:]):
+                n_bytes += write_at(staged, int(begins[a]), b"".join(lines[a:b]))
+        yield pa.RecordBatch.from_pydict({"n_bytes": pa.array([n_bytes], pa.int64())})
+
+    return write
+
+
+def write_one_file(lines: DataFrame, path: str, pos: str = "pos") -> int:
+    """Write ``value`` in the order of ``pos`` as one file of ``\\n``-separated lines; returns its bytes.
+
+    Many tasks write it: lines are range-partitioned, sorted and stored with
+    their places, and the sizes of the partitions before tell each where it
+    begins in the file. The last line has no line end, no lines give an empty
+    file. The file gets its name when all ranges are there; a repeated task
+    writes the same bytes at the same places. ``path`` is on a folder that all
+    executors share.
+    """
+    target = posix_path(path)
+    if target is None:
+        raise ValueError(f"one file is written in ranges, which {path} does not allow; write parts instead")
+    spark = lines.sparkSession
+    table = new_dir(spark, "one-file")
+    placed = lines.repartitionByRange(pos).sortWithinPartitions(pos).select(F.col("value").cast("binary").alias("value"))
+    placed.mapInArrow(_with_places, "value binary, at bigint").withColumn("part", F.spark_partition_id()).write.parquet(table)
+    stored = spark.read.schema("value binary, at bigint, part int").parquet(table)
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    # one row per partition, so one task and a broadcast hold it
+    parts = stored.groupBy("part").agg(F.sum(F.octet_length("value") + F.lit(1)).alias("n"))
+    starts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    staged = staging_name(target, uuid.uuid4().hex)
+    os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
+    write_at(staged, 0, b"")
+    written = new_dir(spark, "ranges")
+    ranges = stored.join(F.broadcast(starts), "part").select("value", (F.col("at") + F.col("start")).alias("begin"))
+    try:
+        ranges.mapInArrow(_write_ranges(staged), "n_bytes bigint").write.parquet(written)
+        total = spark.read.schema("n_bytes bigint").parquet(written).agg(F.sum("n_bytes")).first()[0] or 0
+        if total:
+            os.truncate(staged, total - 1)
+        return commit_staged(staged, target, max(total - 1, 0))
+    except BaseException:
+        discard_staged(staged)
+        raise

@@ -41,3 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_root(spark))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any filesystem Spark reaches."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

@@ -203,6 +203,13 @@ _ORACLE: dict[str, tuple[list[str], str]] = {
         ["probe", "segment_keys"],
         "SELECT value FROM probe WHERE pos % 97 <> 0 AND k IN (SELECT k FROM segment_keys)",
     ),
+    "match_one_file": (
+        ["probe", "segment_keys"],
+        """
+        SELECT row_number() OVER (ORDER BY pos) AS line_no, value
+        FROM probe WHERE pos % 97 <> 0 AND k IN (SELECT k FROM segment_keys)""",
+    ),
+    "gz_ranges": (["order_lines"], "SELECT row_number() OVER (ORDER BY pos) AS line_no, value FROM order_lines"),
     "stream_match": (
         ["probe", "segment_keys"],
         "SELECT value FROM probe WHERE k IN (SELECT k FROM segment_keys)",
@@ -322,6 +329,13 @@ _ORACLE: dict[str, tuple[list[str], str]] = {
         FROM inventory GROUP BY source""",
     ),
     "decompress_job": (["order_lines"], f"{_BUCKETS}, 0::bigint AS n_again FROM order_lines GROUP BY 1"),
+    "resumed_unpack": (
+        ["order_lines"],
+        """
+        SELECT unnest(range(count(DISTINCT pos % 16) // 4)) AS batch, 4::bigint AS n_files, 4::bigint AS n_uploaded,
+               0::bigint AS n_errors, 4::bigint AS n_marks, count(*) AS n_lines, sum(strlen(value) + 1)::bigint AS n_line_bytes
+        FROM order_lines""",
+    ),
     "copy_job": (["order_lines"], f"{_BUCKETS} FROM order_lines GROUP BY 1"),
     "upload_job": (["order_lines"], f"{_BUCKETS}, 0::bigint AS n_left FROM order_lines GROUP BY 1"),
     "scan_inventory": (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +15,11 @@ from wharfline.operators import folders as FO
 from wharfline.operators import match as M
 from wharfline.operators import sync as S
 from wharfline.operators import transfer as T
+from wharfline.operators.numbering import number_rows
 from wharfline.plans.match_run import run_match
-from wharfline.plans.unpack_run import run_unpack
+from wharfline.plans.resumable_run import batch_counts
+from wharfline.plans.unpack_run import resume_unpack, run_unpack
+from wharfline.sources import gzip_ranges as GZ
 from wharfline.sources import inventory as INV
 from wharfline.sources import ledger as LG
 from wharfline.sources import lines as L
@@ -191,6 +195,25 @@ def match_files(spark, d):
     return spark.read.text(run.output)
 
 
+def match_one_file(spark, d):
+    """The run's result as one file, written by many tasks: its lines and their numbers."""
+    base = new_dir(spark, "run")
+    data = _write_lines(V.damaged_lines(spark, d).orderBy("pos"), f"{base}/data")
+    keys = _write_lines(V.segment_keys(spark, d), f"{base}/keys")
+    run = run_match(spark, data, keys, out=f"{base}/matches.csv", single=True)
+    return L.number_lines(L.read_lines(spark, run.output, positions=True)).select("line_no", "value")
+
+
+def gz_ranges(spark, d):
+    """One gzip file read by many tasks from the places of its index, lines numbered."""
+    base = new_dir(spark, "gz")
+    ordered = V.order_lines(spark, d).coalesce(1).sortWithinPartitions("pos")
+    _write_lines(ordered, f"{base}/in", compression="gzip")
+    files = INV.walk_inventory(spark, f"{base}/in").filter(P.is_gz("path"))
+    lines = GZ.read_ranges(GZ.index_gzip(files, f"{base}/index", span=64 * 1024))
+    return number_rows(lines, ["pos"], "line_no").select("line_no", "value")
+
+
 def stream_match(spark, d):
     base = new_dir(spark, "stream")
     _write_lines(V.order_lines(spark, d), f"{base}/in")
@@ -413,6 +436,39 @@ def decompress_job(spark, d):
     return _per_bucket(unpacked).withColumn("n_again", rerun)
 
 
+class _Stopped(RuntimeError):
+    """Ends a run on purpose."""
+
+
+def resumed_unpack(spark, d):
+    """Unpacking in batches of four files, stopped after the first and taken up again.
+
+    One row per batch: files, outcomes and done marks, and the lines and bytes of
+    all that was unpacked.
+    """
+    base = new_dir(spark, "resume")
+    lines = V.order_lines(spark, d).select("value", (F.col("pos") % BUCKETS).alias("bucket"))
+    lines.repartition("bucket").write.partitionBy("bucket").option("compression", "gzip").text(f"{base}/in")
+    files = INV.walk_inventory(spark, f"{base}/in").filter(P.is_gz("path"))
+
+    def stop(number):
+        raise _Stopped(f"after batch {number}")
+
+    try:
+        resume_unpack(files, f"{base}/ledger", f"{base}/state", step_files=4, on_batch=stop)
+    except StreamingQueryException as stopped:
+        if _Stopped.__name__ not in str(stopped):
+            raise
+    outcomes = resume_unpack(files, f"{base}/ledger", f"{base}/state", step_files=4)
+    marks = LG.read_ledger(spark, f"{base}/ledger").select(F.col("key").alias("src"))
+    marked = outcomes.join(marks, "src").groupBy("batch").agg(F.count(F.lit(1)).alias("n_marks"))
+    total = spark.read.option("pathGlobFilter", "*.txt").text(f"{base}/in").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.octet_length("value") + 1).alias("n_line_bytes"))
+    return batch_counts(outcomes).join(marked, "batch").select(
+        "batch", "n_files", "n_uploaded", "n_errors", "n_marks",
+        total.select("n_lines").scalar().alias("n_lines"), total.select("n_line_bytes").scalar().alias("n_line_bytes"))
+
+
 def copy_job(spark, d):
     """Files copied in small parts; lines and bytes per folder at the target."""
     base = new_dir(spark, "copy")
@@ -495,7 +551,9 @@ QUERIES: dict[str, Query] = {
         parquet_to_lines,
         line_numbers,
         gz_roundtrip,
+        gz_ranges,
         match_files,
+        match_one_file,
         stream_match,
         stream_progress,
         parse_paths,
@@ -517,6 +575,7 @@ QUERIES: dict[str, Query] = {
         completed,
         copy_volume,
         decompress_job,
+        resumed_unpack,
         copy_job,
         upload_job,
         scan_inventory,
