@@ -35,10 +35,33 @@ def test_sources_are_a_bag(spark):
 
 
 def test_sources_must_share_a_bucket(spark):
-    with pytest.raises(FO.PlanError):
-        FO.source_list(["s3://a/x", "s3://b/y"])
-    with pytest.raises(FO.PlanError):
-        FO.source_list(["s3:///x"])
+    for bad in (["s3://a/x", "s3://b/y"], ["s3:///x"], ["s3://a/x", ""]):
+        with pytest.raises(FO.PlanError):
+            FO.source_table(FO.numbered_sources(spark, bad))
+
+
+@pytest.mark.parametrize("bound", [None, 0])
+def test_thousands_of_sources_make_no_larger_plan(spark, bound):
+    rng = random.Random(4)
+    names = ["a", "ab", "b", "", "x.y", "é"]
+    keys = ["/".join(rng.choice(names) for _ in range(rng.randrange(1, 6))) for _ in range(400)]
+    uris = ["s3://b/" + "/".join(rng.choice(names) for _ in range(rng.randrange(4))) + rng.choice(["", "/", "//"]) for _ in range(2000)]
+    few = FO.union_sources(inv(spark, keys), uris[:2], bound)
+    many = FO.union_sources(inv(spark, keys), uris, bound)
+    expected = []
+    for no, uri in enumerate(uris, 1):
+        bare = uri.removeprefix("s3://b/").lstrip("/").rstrip("/")
+        expected += [(no, k) for k in keys if k.startswith(bare + "/" if bare else "")]
+    assert sorted((r["source_no"], r["key"]) for r in many.collect()) == sorted(expected) != []
+
+    def size(df):
+        return len(df._jdf.queryExecution().optimizedPlan().toString())
+
+    assert abs(size(many) - size(few)) < 200
+
+
+def test_no_sources(spark):
+    assert FO.union_sources(inv(spark, ["a/b"]), FO.numbered_sources(spark, ["s3://b/"]).limit(0)).count() == 0
 
 
 def test_rollup_and_cap(spark):

@@ -92,6 +92,15 @@ def under(key: Column | str, prefix: Column | str) -> Column:
     return F.startswith(col(key), as_folder(prefix))
 
 
+def ancestors(key: Column | str) -> Column:
+    """array of what a prefix of folders above a key can be: '' and each leading part that ends in a slash."""
+    parts = F.split(col(key), "/")
+    return F.transform(
+        F.sequence(F.lit(1), F.size(parts)),
+        lambda i: F.when(i == 1, F.lit("")).otherwise(F.concat(F.array_join(F.slice(parts, F.lit(1), i - 1), "/"), F.lit("/"))),
+    )
+
+
 def relative(key: Column | str, prefix: Column | str) -> Column:
     """The key without its prefix and the slashes that follow it."""
     k, bare = col(key), _rstrip(_value(prefix))

@@ -5,14 +5,16 @@ An inventory has ``key`` (``/``-separated) and ``size``.
 
 from __future__ import annotations
 
-from functools import reduce
+import os
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from wharfline.functions import paths as P
+from wharfline.operators.lookup import fits_broadcast
 from wharfline.operators.numbering import number_rows
+from wharfline.workdir import ensure_checkpoint_dir
 
 # Fixed value: folders listed per source in a report.
 FOLDER_CAP = 200
@@ -46,50 +48,60 @@ def folder_tree(inventory: DataFrame) -> DataFrame:
     )
 
 
-def source_list(uris: list[str]) -> list[tuple[int, str, str, str]]:
-    """(number, uri, bucket, prefix) of the configured sources.
+def source_table(sources: DataFrame) -> DataFrame:
+    """source_no, source, bucket, prefix for addresses in ``source_no, source``.
 
-    All must name the same bucket.
+    Addresses are split like all others. One without a bucket, and sources in
+    different buckets, make a plan that must not be run.
     """
-    out = []
-    for no, uri in enumerate(uris, 1):
-        bare = uri.strip().replace(P.SCHEME, "", 1)
-        bucket, _, key = bare.partition("/")
-        if not bucket:
-            raise PlanError(f"source without a bucket: {uri!r}")
-        out.append((no, uri, bucket, key.lstrip("/")))
-    buckets = {b for _, _, b, _ in out}
-    if len(buckets) > 1:
-        raise PlanError(f"sources must share one bucket, got {sorted(buckets)}")
-    return out
-
-
-def union_sources(inventory: DataFrame, uris: list[str]) -> DataFrame:
+    at = P.split_uri("source")
+    table = sources.select(
+        F.col("source_no").cast("int").alias("source_no"), "source", at["bucket"].alias("bucket"), at["key"].alias("prefix")
+    )
+    seen = table.agg(F.min("bucket").alias("first"), F.max("bucket").alias("last")).first()
+    if seen["first"] == "":
+        raise PlanError("a source has no bucket")
+    if seen["first"] != seen["last"]:
+        raise PlanError(f"sources must share one bucket, got {seen['first']!r}, {seen['last']!r} and perhaps more")
+    return table
+
+
+def numbered_sources(spark: SparkSession, uris: list[str]) -> DataFrame:
+    """source_no (from 1, in the order given) and source."""
+    return spark.createDataFrame(list(enumerate(uris, 1)), "source_no int, source string")
+
+
+def union_sources(
+    inventory: DataFrame, sources: list[str] | DataFrame, max_broadcast_bytes: int | None = None
+) -> DataFrame:
     """Inventory rows once per source they lie under, with source_no, source, prefix
     (inventory columns of these names are replaced).
 
-    A bag union: a key under two overlapping prefixes comes out twice. The
-    inventory is scanned once, and the prefixes are also a pushed filter. An
-    inventory with a column ``bucket`` gives rows of the sources' bucket only.
+    A bag union: a key under two overlapping prefixes comes out twice. Sources
+    are addresses or a table (``source_no, source``) of any number of them: each
+    key looks its own ancestors up, so the plan stays the same and the
+    inventory is scanned once. What all sources have in common in front is also a
+    pushed filter. Within the byte bound the sources are broadcast; beyond it
+    keys and ancestors are shuffled, where AQE splits a hot folder. An inventory
+    with a column ``bucket`` gives rows of the sources' bucket only.
     """
-    sources = source_list(uris)
+    spark = inventory.sparkSession
+    given = numbered_sources(spark, sources) if isinstance(sources, list) else sources
+    ensure_checkpoint_dir(spark)
+    table = source_table(given).checkpoint()
+    seen = table.agg(
+        F.min("bucket").alias("bucket"), F.min(P.as_folder(F.col("prefix"))).alias("low"), F.max(P.as_folder(F.col("prefix"))).alias("high")
+    ).first()
     if "bucket" in inventory.columns:
-        inventory = inventory.filter(F.col("bucket") == sources[0][2])
-    hits = [
-        F.when(
-            P.under("key", prefix),
-            F.struct(
-                F.lit(no).alias("source_no"), F.lit(uri).alias("source"), F.lit(prefix).alias("prefix")
-            ),
-        )
-        for no, uri, _, prefix in sources
-    ]
-    anywhere: Column = reduce(lambda a, b: a | b, [P.under("key", p) for _, _, _, p in sources])
-    return (
-        inventory.filter(anywhere)
-        .withColumn("hit", F.explode(F.array_compact(F.array(*hits))))
-        .select("hit.*", *[c for c in inventory.columns if c not in ("source_no", "source", "prefix")])
-    )
+        inventory = inventory.filter(F.col("bucket") == seen["bucket"])
+    # what the first and the last of all prefixes share, all share
+    shared = os.path.commonprefix([seen["low"] or "", seen["high"] or ""])
+    kept = [c for c in inventory.columns if c not in ("source_no", "source", "prefix")]
+    reached = inventory.filter(F.startswith("key", F.lit(shared))).select(*kept, F.explode(P.ancestors("key")).alias("_folder"))
+    folders = table.select("source_no", "source", "prefix", P.as_folder(F.col("prefix")).alias("_folder"))
+    small = fits_broadcast(folders, max_broadcast_bytes)
+    found = reached.join(F.broadcast(folders) if small else folders.hint("merge"), "_folder")
+    return found.select("source_no", "source", "prefix", *kept)
 
 
 def rebase_plan(sourced: DataFrame, base: str, dest: str) -> DataFrame:

@@ -32,7 +32,7 @@ class CopyPlan:
 
 
 def plan_copy(
-    inventory: DataFrame, sources: list[str], base: str, dest: str, cap: int = FOLDER_CAP
+    inventory: DataFrame, sources: list[str] | DataFrame, base: str, dest: str, cap: int = FOLDER_CAP
 ) -> CopyPlan:
     """Tasks and summaries for an inventory of ``key, size``.
 

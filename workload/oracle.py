@@ -131,6 +131,7 @@ _BUCKETS = """
 _ORACLE: dict[str, tuple[list[str], str]] = {
     "match_lines": (["probe", "segment_keys"], _MATCHED),
     "match_lines_shuffled": (["probe", "segment_keys"], _MATCHED),
+    "match_key_store": (["probe", "segment_keys"], _MATCHED),
     "match_counts": (
         ["probe", "segment_keys"],
         """
@@ -268,6 +269,17 @@ _ORACLE: dict[str, tuple[list[str], str]] = {
         FROM inventory""",
     ),
     "union_sources": (["sourced"], "SELECT source_no, source, key, size FROM sourced"),
+    "many_sources": (
+        [],
+        """
+        SELECT source_no, source, rtrim(source[12:], '/') || CASE WHEN ends_with(source, '/') THEN '/' ELSE '' END AS prefix,
+               count(*) AS n_files, sum(floor(o_totalprice)::bigint)::bigint AS n_bytes
+        FROM (SELECT c_custkey * 2 AS source_no, 's3://wharf/in/' || c_custkey AS source, c_custkey AS k, NULL AS s FROM customer
+              UNION ALL
+              SELECT c_custkey * 2 + 1, 's3://wharf/in/' || c_custkey || '/F/', c_custkey, 'F' FROM customer WHERE c_custkey % 3 = 0)
+        JOIN orders ON o_custkey = k AND (s IS NULL OR o_orderstatus = s)
+        GROUP BY ALL""",
+    ),
     "rebase_paths": (
         ["sourced"],
         """

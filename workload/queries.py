@@ -15,6 +15,7 @@ from wharfline.operators import folders as FO
 from wharfline.operators import match as M
 from wharfline.operators import sync as S
 from wharfline.operators import transfer as T
+from wharfline.operators.keystore import build_key_store, match_stored
 from wharfline.operators.numbering import number_rows
 from wharfline.plans.match_run import run_match
 from wharfline.plans.resumable_run import batch_counts
@@ -54,6 +55,14 @@ def match_lines_shuffled(spark, d):
     return found.select("pos", "value")
 
 
+def match_key_store(spark, d):
+    """Two probes against one stored key list, which neither of them shuffles."""
+    store = build_key_store(_keys(spark, d), f"{new_dir(spark, 'store')}/keys", BUCKETS)
+    probe = _probe(spark, d)
+    even, odd = probe.filter("pos % 2 = 0"), probe.filter("pos % 2 = 1")
+    return match_stored(even, store).unionByName(match_stored(odd, store)).select("pos", "value")
+
+
 def match_counts(spark, d):
     return M.match_counts(V.damaged_lines(spark, d), _keys(spark, d))
 
@@ -292,6 +301,22 @@ def union_sources(spark, d):
     return FO.union_sources(V.inventory(spark, d), SOURCES).select("source_no", "source", "key", "size")
 
 
+def many_sources(spark, d):
+    """Order files against a table of thousands of overlapping sources; files and bytes per source."""
+    orders = V.table(spark, d, "orders")
+    folder = F.concat_ws("/", F.lit("in"), F.col("o_custkey").cast("string"), "o_orderstatus")
+    files = orders.select(
+        F.concat(folder, F.lit("/"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("key"),
+        F.floor("o_totalprice").alias("size"))
+    customers = V.table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
+    whole = customers.select((F.col("k") * 2).alias("source_no"), F.concat(F.lit("s3://wharf/in/"), F.col("k").cast("string")).alias("source"))
+    part = customers.filter("k % 3 = 0").select(
+        (F.col("k") * 2 + 1).alias("source_no"), F.concat(F.lit("s3://wharf/in/"), F.col("k").cast("string"), F.lit("/F/")).alias("source"))
+    sourced = FO.union_sources(files, whole.unionByName(part))
+    return sourced.groupBy(F.col("source_no").cast("bigint").alias("source_no"), "source", "prefix").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("n_bytes"))
+
+
 def union_buckets(spark, d):
     """Objects of another bucket under the same prefixes are left out."""
     inv = V.inventory(spark, d).withColumn("bucket", F.when(F.col("doc_id") % 3 == 0, "quay").otherwise("wharf"))
@@ -535,6 +560,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         match_lines,
         match_lines_shuffled,
+        match_key_store,
         match_counts,
         split_lines,
         match_document_lines,
@@ -563,6 +589,7 @@ QUERIES: dict[str, Query] = {
         folder_cap,
         strip_suffix,
         union_sources,
+        many_sources,
         union_buckets,
         rebase_paths,
         duplicate_targets,
