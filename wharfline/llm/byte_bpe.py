@@ -41,13 +41,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import row_tag, store
+from wharfline.sources.bucketed import write_buckets
+from wharfline.workdir import new_dir
+
+from .common import row_tag
 from .exchange import bucket_of, expand, runs, squeeze
 from .kernels import column_bytes, word_hashes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PACK_BYTES = 16 << 20
 BUCKET_BYTES = 8 << 20
+DECODED_ROWS = 256
 SLOT_BITS = 17        # of the literal hash table of ranks; vocabularies of up to 60,000 tokens fit
 LATIN = "ISO-8859-1"
 
@@ -305,7 +309,7 @@ def _put_together(packs: pa.Table, cells: pa.Table) -> pa.Table:
         at += n
     rows = pa.table({"doc_id": pa.array(pack["ids"], pa.int64()), "n_tokens": pa.array([len(e) // 4 for e in encoded], pa.int64()),
                      "ids": pa.array(encoded, pa.binary())})
-    return pa.Table.from_batches(rows.to_batches(max_chunksize=1024), rows.schema)
+    return pa.Table.from_batches(rows.to_batches(max_chunksize=DECODED_ROWS), rows.schema)
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -315,9 +319,11 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``path`` names the vocabulary file.
     """
     row_tag(docs, id_col, text_col)
-    ranks = read_ranks(path or public_tokenizers.path(VOCABULARY))
+    spark, ranks = docs.sparkSession, read_ranks(path or public_tokenizers.path(VOCABULARY))
     cut = docs.select(F.col(id_col).cast("long"), words_of(F.col(text_col), pattern))
-    packs = store(cut.mapInArrow(_to_packs, _PACK_SQL), "bpe-packs")
+    # in buckets, so that the codes are not shuffled when the ids come back to them
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packs = write_buckets(cut.mapInArrow(_to_packs, _PACK_SQL), new_dir(spark, "bpe-packs"), ["pack"], n, gather=False)
     n_bytes = packs.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     buckets = 1 + 3 * n_bytes // BUCKET_BYTES   # words are stored in about a third of their bytes
     sent = packs.select("pack", "sizes", "words").mapInArrow(_send(buckets), "bucket long, pack long, places binary, sizes binary, words binary")
@@ -340,12 +346,14 @@ def decode_documents(encoded: DataFrame, ids_col: str = "ids", path: str | None
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(pieces, pa.binary())
         for batch in batches:
-            column = batch.column(ids_col)
-            raw, at = column_bytes(column) if len(batch) else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
-            ids = np.frombuffer(raw[at[0]:at[-1]].tobytes(), "<u4")
-            lists = pa.LargeListArray.from_arrays(pa.array((at - at[0]) // 4, pa.int64()), known.take(pa.array(ids)))
-            out = pc.if_else(pc.is_null(column), pa.scalar(None, pa.binary()), pc.binary_join(lists, pa.scalar(b"", pa.binary())))
-            yield pa.RecordBatch.from_arrays([*batch.columns, out.cast(pa.binary())], names=[*batch.schema.names, "decoded"])
+            for first in range(0, len(batch), DECODED_ROWS):
+                some = batch.slice(first, DECODED_ROWS)
+                column = some.column(ids_col)
+                raw, at = column_bytes(column)
+                ids = np.frombuffer(raw[at[0]:at[-1]].tobytes(), "<u4")
+                lists = pa.LargeListArray.from_arrays(pa.array((at - at[0]) // 4, pa.int64()), known.take(pa.array(ids)))
+                out = pc.if_else(pc.is_null(column), pa.scalar(None, pa.binary()), pc.binary_join(lists, pa.scalar(b"", pa.binary())))
+                yield pa.RecordBatch.from_arrays([*some.columns, out.cast(pa.binary())], names=[*some.schema.names, "decoded"])
 
     return encoded.mapInArrow(decode, StructType([*encoded.schema.fields, StructField("decoded", BinaryType())]))
 
