@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wharfline.operators import folders as FO
 from wharfline.operators import sync as S
 from wharfline.operators.numbering import number_rows
-from wharfline.sources import inventory
+from wharfline.sources import inventory, listing
 from wharfline.sources.inventory import scan_inventory, walk_inventory
 from wharfline.sources.matches import output_path
 
@@ -195,7 +195,7 @@ def test_walk(spark, tree):
 
 def test_walk_by_uri(spark, tree, monkeypatch):
     """The listing used for other schemes, tried on a shared folder."""
-    monkeypatch.setattr(inventory, "posix_path", lambda uri: None)
+    monkeypatch.setattr(listing, "posix_path", lambda uri: None)
     rows = walk_inventory(spark, f"file://{tree}/deep").collect()
     assert [(r["uri"], r["path"], r["size"]) for r in rows] == [(f"file://{tree}/deep/e/f/g/h.txt", "e/f/g/h.txt", 0)]
 
@@ -206,15 +206,17 @@ def test_walk_of_a_missing_folder_says_so(spark, tmp_path):
 
 
 def test_scan(spark, tree):
-    got = {r["path"]: r["size"] for r in scan_inventory(spark, tree).filter(~F.startswith("path", F.lit("gone"))).collect()}
-    # Spark follows links and leaves out empty files and names with _ and . in front.
-    assert got["a.csv"] == 5 and got["sp ace/ü %41.txt"] == 4 and not {"_u.txt", ".h.txt", "deep/e/f/g/h.txt"} & set(got)
+    found = scan_inventory(spark, tree).collect()
+    # As in the walk: empty files count, links to folders are not followed.
+    assert {r["path"]: r["size"] for r in found if r["error"] is None} == {
+        "a.csv": 5, "_u.txt": 1, "x": 1, "x.gz": 2, "a.gz.d/x.gz": 3, "deep/e/f/g/h.txt": 0, "sp ace/ü %41.txt": 4}
+    assert {r["path"] for r in found if r["error"]} == {"link", "gone"}
     assert {r["path"] for r in scan_inventory(spark, tree, glob="*.gz").collect()} == {"x.gz", "a.gz.d/x.gz"}
 
 
-def test_scan_does_not_read_contents(spark, tree):
-    plan = scan_inventory(spark, tree)._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[-1]
+def test_scan_pushes_its_filters(spark, tree):
+    plan = scan_inventory(spark, tree).filter(F.startswith("path", F.lit("deep/")) & (F.col("size") < 9))._jdf.queryExecution()
+    assert "startswith(path" not in plan.optimizedPlan().toString().lower()
 
 
 def test_relative_root_and_bucket(spark, tmp_path, monkeypatch):
@@ -225,3 +227,65 @@ def test_relative_root_and_bucket(spark, tmp_path, monkeypatch):
     assert [r["path"] for r in walk_inventory(spark, "c").collect()] == ["x/y.txt"]
     inv = spark.createDataFrame([("b1", "p/1", 1), ("b2", "p/2", 2)], "bucket string, key string, size long")
     assert [r["key"] for r in FO.union_sources(inv, ["s3://b1/p"]).collect()] == ["p/1"]
+
+
+def a_tree(tmp_path):
+    for i in range(6):
+        for j in range(4):
+            folder = tmp_path / f"d{i}" / f"e{j}"
+            folder.mkdir(parents=True)
+            (folder / "a.csv").write_text("x" * (10 * i + j))
+            (folder / "b.csv.gz").write_text("yy")
+    (tmp_path / "empty").write_text("")
+    (tmp_path / "_kept").write_text("1")
+    (tmp_path / ".hidden").write_text("1")
+    (tmp_path / "d0" / ".secret").mkdir()
+    (tmp_path / "d0" / ".secret" / "f").write_text("1")
+    return str(tmp_path)
+
+
+def test_scan_agrees_with_the_walk(spark, tmp_path):
+    root = a_tree(tmp_path)
+    (tmp_path / "dangling").symlink_to(tmp_path / "nowhere")
+
+    def rows(df):
+        return sorted((r["path"], r["uri"], r["size"], r["mtime"], r["error"]) for r in df.collect())
+
+    for hidden in (False, True):
+        assert rows(inventory.scan_inventory(spark, root, hidden=hidden)) == rows(inventory.walk_inventory(spark, root, hidden)) != []
+    assert inventory.scan_inventory(spark, root, "*.gz").count() == 24 and inventory.scan_inventory(spark, root, "[ab].csv").count() == 24
+    assert inventory.scan_inventory(spark, "file://" + root).count() == inventory.scan_inventory(spark, root).count()
+
+
+def test_filters_reach_the_listing(spark, tmp_path, monkeypatch):
+    from pyspark.sql.datasource import GreaterThan, IsNotNull, LessThanOrEqual, StringEndsWith, StringStartsWith
+
+    root = a_tree(tmp_path)
+    scanned = inventory.scan_inventory(spark, root)
+    some = scanned.filter(F.startswith("path", F.lit("d3/e1/")) & (F.col("size") > 5) & F.contains("path", F.lit("csv")))
+    assert [r["path"] for r in some.collect()] == ["d3/e1/a.csv"]
+    assert scanned.filter("size <= 31 and size >= 30 and path like '%.csv'").count() == 2
+    assert scanned.filter("path like 'd1%' and path like 'd2%'").count() == 0
+    seen = []
+    plain = listing._list_posix
+    monkeypatch.setattr(listing, "_list_posix", lambda folder: seen.append(folder) or plain(folder))
+
+    def listed(*filters):
+        seen.clear()
+        reader = listing.FolderReader({"root": root, "tasks": "3"})
+        left = list(reader.pushFilters(list(filters)))
+        found = [p for part in reader.partitions() for b in reader.read(part) for p in b.column("path").to_pylist()]
+        return left, sorted(found), set(seen)
+
+    everything = listed()
+    assert len(everything[2]) == 31 and len(everything[1]) == 50
+    left, found, folders = listed(StringStartsWith(("path",), "d2/"), IsNotNull(("path",)), StringEndsWith(("path",), ".gz"))
+    assert left == [IsNotNull(("path",))] and found == [f"d2/e{j}/b.csv.gz" for j in range(4)]
+    assert folders == {root, f"{root}/d2", *(f"{root}/d2/e{j}" for j in range(4))}
+    _, found, folders = listed(StringStartsWith(("path",), "d5/e3"), GreaterThan(("size",), 2), LessThanOrEqual(("size",), 53))
+    assert found == ["d5/e3/a.csv"] and len(folders) == 3
+
+
+def test_a_missing_root_is_an_error_row(spark, tmp_path):
+    row, = inventory.scan_inventory(spark, str(tmp_path / "none")).collect()
+    assert row["error"].startswith("FileNotFoundError") and row["size"] is None

@@ -1,24 +1,24 @@
 """File inventories.
 
-``walk_inventory`` lists folders in tasks and is complete. ``scan_inventory``
-uses Spark's own listing, which leaves out empty files and names that begin
-with ``_`` or ``.``; it suits folders written by Spark.
+``walk_inventory`` lists folders level by level, each level's folders dealt out
+anew, and stores what it finds; jobs that move files start from it.
+``scan_inventory`` is a data source that lists when it is read and takes filters
+into the listing; it suits looking at part of a tree.
 """
 
 from __future__ import annotations
 
-import os
+import fnmatch
 from collections.abc import Iterator
 
 import pandas as pd
-from pyarrow.fs import FileSelector, FileType
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import wharfline
-from wharfline.functions.paths import relative
-from wharfline.sources.files import posix_path, remote_filesystem
+from wharfline.functions.paths import base_name, relative
+from wharfline.sources.listing import list_files, lister, root_name
 from wharfline.workdir import new_dir
 
 cloudpickle.register_pickle_by_value(wharfline)
@@ -28,43 +28,30 @@ _EMIT_ROWS = 10_000
 _TASK_FOLDERS = 500
 
 
-def scan_inventory(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """uri, path (below ``root``), size, mtime of every file under ``root``.
+def scan_inventory(spark: SparkSession, root: str, glob: str | None = None, hidden: bool = False) -> DataFrame:
+    """uri, path (below ``root``), size, mtime, error of every file under ``root``.
 
-    Contents are not read. ``glob`` filters file names during the listing.
-    Empty files and names with ``_`` or ``.`` in front are not listed, so a job
-    that must lose nothing takes ``walk_inventory``.
+    ``glob`` is a pattern of file names; one such as ``*.gz`` reaches the listing.
+    Filters that follow, by prefix or suffix of ``path`` or by ``size``, do too.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(root)
-    bare = root_name(root)
-    # Local names come back as file:/a/b or file:///a/b.
-    plain = F.regexp_replace("path", r"^file:/+", "/")
-    return df.select(
-        plain.alias("uri"),
-        relative(plain, bare).alias("path"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("mtime"),
-    )
-
-
-def root_name(root: str) -> str:
-    """The root as it stands in front of listed names: absolute where it is a plain one."""
-    plain = posix_path(root)
-    return root.rstrip("/") if plain is None else os.path.abspath(plain)
+    files = list_files(spark, root, hidden)
+    if not glob:
+        return files
+    tail = glob[1:]
+    if glob.startswith("*") and not set(tail) & set("*?["):
+        return files.filter(F.endswith("path", F.lit(tail)))
+    return files.filter(F.rlike(base_name("path"), F.lit(fnmatch.translate(glob))))
 
 
 def _list_folders(folders: Iterator[str], root: str, hidden: bool) -> Iterator[pd.DataFrame]:
     """Frames of entries; folders are streamed, so a huge one needs no memory."""
-    listing = _list_posix if posix_path(root) else _list_remote(root)
+    listing = lister(root)
     rows: list[tuple] = []
     for folder in folders:
         try:
-            for name, row in listing(folder):
-                if hidden or not name.startswith("."):
-                    rows.append(row)
+            for e in listing(folder):
+                if hidden or not e.name.startswith("."):
+                    rows.append((e.uri, e.is_dir, e.size, e.mtime_us, e.error))
                 if len(rows) >= _EMIT_ROWS:
                     yield _frame(rows)
                     rows = []
@@ -73,45 +60,6 @@ def _list_folders(folders: Iterator[str], root: str, hidden: bool) -> Iterator[p
     yield _frame(rows)
 
 
-def _list_posix(folder: str) -> Iterator[tuple[str, tuple]]:
-    with os.scandir(folder) as entries:
-        for e in entries:
-            yield e.name, _entry(e)
-
-
-def _list_remote(root: str):
-    """Listing of one folder on the filesystem that ``root`` names."""
-    filesystem, path, prefix = remote_filesystem(root)
-
-    def listing(folder: str) -> Iterator[tuple[str, tuple]]:
-        inside = folder[len(prefix):]
-        for info in filesystem.get_file_info(FileSelector(inside)):
-            is_dir = info.type == FileType.Directory
-            stamp = None if is_dir or info.mtime_ns is None else info.mtime_ns // 1000
-            size = None if is_dir else info.size
-            yield info.base_name, (prefix + info.path, is_dir, size, stamp, None)
-
-    return listing
-
-
-def _entry(e: os.DirEntry) -> tuple:
-    try:
-        e.path.encode("utf-8")
-    except UnicodeEncodeError:
-        shown = os.fsencode(e.path).decode("utf-8", "replace")
-        return (shown, False, None, None, "UnicodeEncodeError: name is not UTF-8")
-    try:
-        if e.is_dir(follow_symlinks=False):
-            return (e.path, True, None, None, None)
-        if e.is_dir():
-            # Linked folders are not followed and are no files.
-            return (e.path, False, None, None, "linked folder")
-        st = e.stat()
-        return (e.path, False, st.st_size, st.st_mtime_ns // 1000, None)
-    except OSError as err:
-        return (e.path, False, None, None, f"{type(err).__name__}: {err}")
-
-
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=["path", "is_dir", "size", "mtime_us", "error"])
     return out.astype({"size": "Int64", "mtime_us": "Int64", "is_dir": "bool"})

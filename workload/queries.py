@@ -531,9 +531,9 @@ def upload_job(spark, d):
 
 
 def scan_inventory(spark, d):
-    """Sizes found by Spark's listing and by the walk agree for every file."""
+    """Sizes found by the listing source and by the walk agree for every file."""
     base = _line_files(spark, d, new_dir(spark, "scan"))
-    scanned = INV.scan_inventory(spark, base)
+    scanned = INV.scan_inventory(spark, base, glob="*.txt")
     walked = INV.walk_inventory(spark, base).filter(P.base_name("path") != "_SUCCESS")
     check = S.reconcile_sizes(
         walked.select(F.col("path").alias("src"), F.col("path").alias("dst"), "size"),
