@@ -15,9 +15,10 @@ of all below it from both sides.
    on average, the node is a leaf.
 3. Anchors travel in blocks of one cell and label. Blocks meet the roots of all
    trees, both in groups of bounded size; where a root's bounds reach into a
-   window of the block, block and tree meet. Such a pair's task descends
+   window of the block, block and tree meet. A task has some blocks and some
+   trees, takes for each block the most promising tree first, descends
    best-first, leaves out nodes beyond the windows or below the best scores
-   found, and computes leaves exactly.
+   found so far, and computes leaves exactly.
 4. This runs three times: at home (the anchor's own shard) for a first bound on
    its positives, over shards of its label for the positives, and over the
    others for negatives in the windows of the positives.
@@ -58,7 +59,8 @@ SHARD_ROWS = 2048
 BLOCK_ROWS = 128       # anchors that travel together
 LEAF_ROWS = 32
 SPLIT = 8              # least rows a child holds on average
-GROUP_BLOCKS = 64      # blocks that one task takes to a tree, or to a group of roots
+GROUP_BLOCKS = 16      # blocks that meet the trees, or the roots, of a group in one task
+GROUP_TREES = 64
 GROUP_ROOTS = 4096
 LIMIT = 1 << 25
 EXACT = float(1 << 53)
@@ -235,28 +237,27 @@ def bounds(square: np.ndarray, inner: np.ndarray, norm: float, centre_square: np
     return (whole - far * far) / 2 - slack, (whole - near * near) / 2 + slack
 
 
-def search(tree: dict, anchors: np.ndarray, ids: np.ndarray, lows: list, highs: list, k: int) -> list[list[tuple[np.ndarray, np.ndarray]]]:
-    """For each anchor and each of its windows the best ``k`` (scores, ids) in the tree, ties by smaller id.
+NOTHING = np.zeros(0, np.int64)
+
+
+def search(tree: dict, anchors: np.ndarray, ids: np.ndarray, windows: list[np.ndarray], k: int, found: list[list]) -> None:
+    """Add a tree's rows to ``found``: for each anchor and each of its windows (name, low, high) the best ``k`` (scores, ids) so far, ties by smaller id.
 
     Best-first over the nodes: a window drops a node whose bounds lie outside
     of it or below its k-th score so far.
     """
     nodes, radii, vectors = tree["nodes"], tree["radii"], tree["vectors"]
-    centres = vectors[nodes[:, 0]]
-    inner = anchors @ centres.T
-    square = (anchors * anchors).sum(1)
     # an augmented candidate's norm is the shard's largest
-    least, most = bounds(square, inner, tree["norm"], np.full(len(nodes), tree["norm"] ** 2), radii)
-    out = []
+    least, most = bounds((anchors * anchors).sum(1), anchors @ vectors[nodes[:, 0]].T, tree["norm"], np.full(len(nodes), tree["norm"] ** 2), radii)
     for i in range(len(anchors)):
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in lows[i]]
-        floor = list(lows[i])
+        highs = windows[i][:, 2].tolist()
+        floor = [max(low, int(f[0][-1])) if len(f[0]) == k else low for low, f in zip(windows[i][:, 1].tolist(), found[i], strict=True)]
         heap = [(-most[i, 0], 0)]
         while heap:
             top, node = heapq.heappop(heap)
             if -top < min(floor, default=NO_BOUND):
                 break
-            wanted = [w for w, (lo, hi) in enumerate(zip(floor, highs[i], strict=True)) if most[i, node] >= lo and least[i, node] <= hi]
+            wanted = [w for w, (lo, hi) in enumerate(zip(floor, highs, strict=True)) if most[i, node] >= lo and least[i, node] <= hi]
             if not wanted:
                 continue
             _, child, n_children, at, n = nodes[node]
@@ -266,15 +267,13 @@ def search(tree: dict, anchors: np.ndarray, ids: np.ndarray, lows: list, highs:
                 continue
             got, own = scores(anchors[i:i + 1], vectors[at:at + n])[0], tree["ids"][at:at + n]
             for w in wanted:
-                fits = (got >= floor[w]) & (got <= highs[i][w]) & (own != ids[i])
+                fits = (got >= floor[w]) & (got <= highs[w]) & (own != ids[i])
                 if fits.any():
-                    s, who = np.concatenate([found[w][0], got[fits]]), np.concatenate([found[w][1], own[fits]])
-                    best = np.lexsort([who, -s])[:k]
-                    found[w] = (s[best], who[best])
-                    if len(best) == k:
-                        floor[w] = max(floor[w], int(s[best[-1]]))
-        out.append(found)
-    return out
+                    s, who = np.concatenate([found[i][w][0], got[fits]]), np.concatenate([found[i][w][1], own[fits]])
+                    best_ = np.lexsort([who, -s])[:k]
+                    found[i][w] = (s[best_], who[best_])
+                    if len(best_) == k:
+                        floor[w] = max(floor[w], int(s[best_[-1]]))
 
 
 _BLOCK = "block long, label long, dim int, anchor_ids binary, anchor_vectors binary, counts binary, windows binary"
@@ -330,7 +329,7 @@ def _every(n: int) -> F.Column:
 
 
 def meet(anchors: DataFrame, trees: DataFrame, k: int, same: bool) -> DataFrame:
-    """anchor_id, window, score, vec_id: the best ``k`` of each shard for each window, of the anchor's label or of the others."""
+    """anchor_id, window, score, vec_id: for each window the best ``k`` of each group of trees, of the anchor's label or of the others."""
     packed = store(blocks(anchors), "blocks")
     lanes = max(1, -(-packed.count() // GROUP_BLOCKS))
     shards = max(1, -(-trees.count() // GROUP_ROOTS))
@@ -349,20 +348,36 @@ def meet(anchors: DataFrame, trees: DataFrame, k: int, same: bool) -> DataFrame:
     grid = packed.select("*", lane).select("*", _every(shards).alias("part")).groupBy("lane", "part").cogroup(
         roots.withColumn("part", F.pmod(F.xxhash64("shard"), F.lit(shards)).cast("int")).select("*", _every(lanes).alias("lane"))
         .groupBy("lane", "part"))
-    wanted = store(grid.applyInArrow(prune, "block long, shard long"), "pairs").withColumn("lane", lane)
+    bundles = max(1, -(-trees.count() // GROUP_TREES))
+    bundle = F.pmod(F.xxhash64("shard"), F.lit(bundles)).cast("int").alias("bundle")
+    wanted = store(grid.applyInArrow(prune, "block long, shard long").select("*", lane, bundle), "pairs")
 
-    def descend(own: pa.Table, tree: pa.Table) -> pa.Table:
-        if not len(tree) or not len(own):
-            return _hits([])
-        opened, found = _open(tree.to_pylist()[0]), []
+    def descend(own: pa.Table, forest: pa.Table) -> pa.Table:
+        opened = {t["shard"]: _open(t) for t in forest.to_pylist()}
+        results = []
         for block in own.to_pylist():
             ids, vectors, windows = _open_block(block)
-            found.append((ids, windows, search(opened, vectors, ids, [w[:, 1].tolist() for w in windows], [w[:, 2].tolist() for w in windows], k)))
-        return _hits(found)
+            found = [[(NOTHING, NOTHING)] * len(w) for w in windows]
+            for shard in _promising(vectors, [(s, opened[s]) for s in block["shards"]]):
+                search(opened[shard], vectors, ids, windows, k, found)
+            results.append((ids, windows, found))
+        return _hits(results)
+
+    per_block = wanted.groupBy("block", "lane", "bundle").agg(F.collect_list("shard").alias("shards"))
+    visited = wanted.select(F.col("shard").alias("there"), F.col("lane").alias("by"), F.col("bundle").alias("of")).distinct()
+    there = visited.join(trees, F.col("there") == F.col("shard")).groupBy("by", "of")
+    return per_block.join(packed, "block").groupBy("lane", "bundle").cogroup(there).applyInArrow(descend, _HIT)
+
+
+def _promising(vectors: np.ndarray, trees: list[tuple[int, dict]]) -> list[int]:
+    """Shards by the greatest inner product that their roots allow, the greatest first."""
+    square = (vectors * vectors).sum(1)
+
+    def most(tree: dict) -> float:
+        center = tree["vectors"][tree["nodes"][0, 0]]
+        return float(bounds(square, vectors @ center[:, None], tree["norm"], np.array([tree["norm"] ** 2]), tree["radii"][:1])[1].max())
 
-    visited = wanted.select(F.col("shard").alias("there"), F.col("lane").alias("by")).distinct()
-    there = visited.join(trees, F.col("there") == F.col("shard")).groupBy("there", "by")
-    return wanted.join(packed, "block").groupBy("shard", "lane").cogroup(there).applyInArrow(descend, _HIT)
+    return [shard for shard, _ in sorted(trees, key=lambda t: -most(t[1]))]
 
 
 def _hits(found: list) -> pa.Table:
