@@ -52,7 +52,7 @@ def test_encoding_of_random_texts(docs_table):
     rng = random.Random(5)
     alphabet = "aeinrst" * 4 + " " * 6 + "\n,.'9éß—ñ字"
     texts = [(i, "".join(rng.choice(alphabet) for _ in range(rng.randrange(300)))) for i in range(200)]
-    check_encoded(coded(docs_table(texts)), texts)
+    check_encoded(byte_bpe.encode_documents(docs_table(texts), decoded=True).collect(), texts)
 
 
 def test_encoding_of_nothing(docs_table):
@@ -181,7 +181,7 @@ def clouds(n, dim, seed, spread=0.1, step=1):
 
 @pytest.mark.parametrize(("shard", "block"), [(2048, 128), (40, 2)])
 def test_negatives_of_clouds(spark, monkeypatch, shard, block):
-    for name, value in (("SHARD_ROWS", shard), ("BLOCK_ROWS", block), ("GROUP_BLOCKS", 2), ("GROUP_ROOTS", 7), ("LEAF_ROWS", 4), ("SPLIT", 2)):
+    for name, value in (("SHARD_ROWS", shard), ("BLOCK_ROWS", block), ("GROUP_BLOCKS", 2), ("GROUP_TREES", 3), ("GROUP_ROOTS", 7), ("LEAF_ROWS", 4), ("SPLIT", 2)):
         monkeypatch.setattr(hard_negatives, name, value)
     rows = clouds(900, 6, 1, step=10)
     assert mined(spark, rows) == brute_negatives(rows) != []

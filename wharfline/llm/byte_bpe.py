@@ -49,7 +49,7 @@ from .exchange import bucket_of, expand, runs, squeeze
 from .kernels import column_bytes, word_hashes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-PACK_BYTES = 16 << 20
+PACK_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
 DECODED_ROWS = 256
 SLOT_BITS = 17        # of the literal hash table of ranks; vocabularies of up to 60,000 tokens fit
@@ -292,31 +292,55 @@ def _to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "n_ids": [squeeze(n_ids[w].astype(np.int32), 3)], "ids": [_planes(_gather(ids, at[w], n_ids[w]))]})
 
 
-def _put_together(packs: pa.Table, cells: pa.Table) -> pa.Table:
-    """Documents of one pack from the cells of its words."""
-    pack = packs.to_pylist()[0]
-    code_of = _codes(pack["code_of"]).tolist()
-    ids = [b""] * len(code_of)
-    for cell in cells.to_pylist():
-        raw, at = _codes(cell["ids"]).tobytes(), 0
-        ends = (4 * np.cumsum(expand(cell["n_ids"], np.int32).astype(np.int64))).tolist()
-        for place, end in zip(np.cumsum(expand(cell["places"], np.int32)).tolist(), ends, strict=True):
-            ids[code_of[place]] = raw[at:end]
-            at = end
-    codes, encoded, at = _codes(pack["codes"]), [], 0
-    for n in expand(pack["counts"], np.int64).tolist():
-        encoded.append(b"".join([ids[c] for c in codes[at:at + n].tolist()]))
-        at += n
-    rows = pa.table({"doc_id": pa.array(pack["ids"], pa.int64()), "n_tokens": pa.array([len(e) // 4 for e in encoded], pa.int64()),
-                     "ids": pa.array(encoded, pa.binary())})
-    return pa.Table.from_batches(rows.to_batches(max_chunksize=DECODED_ROWS), rows.schema)
+def _pieces(ranks: dict[bytes, int]) -> list[bytes]:
+    pieces = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        pieces[rank] = token
+    return pieces
+
+
+def _decoded(column: pa.Array, pieces: pa.Array) -> pa.Array:
+    """The concatenated pieces of each cell of little-endian 32-bit ids; null for null."""
+    raw, at = column_bytes(column)
+    ids = np.frombuffer(raw[at[0]:at[-1]].tobytes(), "<u4")
+    lists = pa.LargeListArray.from_arrays(pa.array((at - at[0]) // 4, pa.int64()), pieces.take(pa.array(ids)))
+    return pc.if_else(pc.is_null(column), pa.scalar(None, pa.binary()), pc.binary_join(lists, pa.scalar(b"", pa.binary()))).cast(pa.binary())
+
+
+def _put_together(pieces: list[bytes] | None):
+    """Documents of one pack from the cells of its words, decoded where pieces are given."""
+
+    def put(packs: pa.Table, cells: pa.Table) -> pa.Table:
+        pack = packs.to_pylist()[0]
+        code_of = _codes(pack["code_of"]).tolist()
+        ids = [b""] * len(code_of)
+        for cell in cells.to_pylist():
+            raw, at = _codes(cell["ids"]).tobytes(), 0
+            ends = (4 * np.cumsum(expand(cell["n_ids"], np.int32).astype(np.int64))).tolist()
+            for place, end in zip(np.cumsum(expand(cell["places"], np.int32)).tolist(), ends, strict=True):
+                ids[code_of[place]] = raw[at:end]
+                at = end
+        codes, encoded, at = _codes(pack["codes"]), [], 0
+        for n in expand(pack["counts"], np.int64).tolist():
+            encoded.append(b"".join([ids[c] for c in codes[at:at + n].tolist()]))
+            at += n
+        rows = pa.table({"doc_id": pa.array(pack["ids"], pa.int64()), "n_tokens": pa.array([len(e) // 4 for e in encoded], pa.int64()),
+                         "ids": pa.array(encoded, pa.binary())})
+        batches = rows.to_batches(max_chunksize=DECODED_ROWS)
+        if pieces is not None:
+            known = pa.array(pieces, pa.binary())
+            batches = [pa.RecordBatch.from_arrays([*b.columns, _decoded(b.column("ids"), known)], names=[*b.schema.names, "decoded"]) for b in batches]
+        return pa.Table.from_batches(batches)
+
+    return put
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+                     path: str | None = None, pattern: str = public_tokenizers.PATTERN, decoded: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids: the token ids of each text as little-endian unsigned 32-bit numbers in a binary cell.
 
-    ``path`` names the vocabulary file.
+    ``path`` names the vocabulary file. With ``decoded`` the ids are decoded in the
+    same tasks, as ``decode_documents`` does it, to a column of that name.
     """
     row_tag(docs, id_col, text_col)
     spark, ranks = docs.sparkSession, read_ranks(path or public_tokenizers.path(VOCABULARY))
@@ -332,33 +356,27 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     encoded = met.select("spots", encode_word(latin, rank_table(ranks)).alias("ids"))
     cells = encoded.mapInArrow(_to_cells, "pack long, places binary, n_ids binary, ids binary")
     return packs.drop("words", "sizes").groupBy("pack").cogroup(cells.groupBy("pack")).applyInArrow(
-        _put_together, "doc_id long, n_tokens long, ids binary")
+        _put_together(_pieces(ranks) if decoded else None), "doc_id long, n_tokens long, ids binary" + (", decoded binary" if decoded else ""))
 
 
 def decode_documents(encoded: DataFrame, ids_col: str = "ids", path: str | None = None) -> DataFrame:
     """Adds ``decoded``: the concatenated bytes of the ids that a binary cell holds; null for null."""
     ranks = read_ranks(path or public_tokenizers.path(VOCABULARY))
     row_tag(encoded, ids_col)
-    pieces = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        pieces[rank] = token
+    pieces = _pieces(ranks)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(pieces, pa.binary())
         for batch in batches:
             for first in range(0, len(batch), DECODED_ROWS):
                 some = batch.slice(first, DECODED_ROWS)
-                column = some.column(ids_col)
-                raw, at = column_bytes(column)
-                ids = np.frombuffer(raw[at[0]:at[-1]].tobytes(), "<u4")
-                lists = pa.LargeListArray.from_arrays(pa.array((at - at[0]) // 4, pa.int64()), known.take(pa.array(ids)))
-                out = pc.if_else(pc.is_null(column), pa.scalar(None, pa.binary()), pc.binary_join(lists, pa.scalar(b"", pa.binary())))
-                yield pa.RecordBatch.from_arrays([*some.columns, out.cast(pa.binary())], names=[*some.schema.names, "decoded"])
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, _decoded(some.column(ids_col), known)], names=[*some.schema.names, "decoded"])
 
     return encoded.mapInArrow(decode, StructType([*encoded.schema.fields, StructField("decoded", BinaryType())]))
 
 
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of ids and of decoded bytes of every document."""
-    docs = decode_documents(encode_documents(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    docs = encode_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), decoded=True)
     return docs.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
