@@ -90,6 +90,20 @@ def test_a_batch_cut_off_before_its_outcomes_is_done_again(spark, tmp_path):
     assert sum(not n.startswith(".") and n.endswith(".part") for n in os.listdir(tmp_path / "out")) == 0
 
 
+def test_the_first_failure_stops_the_run(spark, tmp_path):
+    src = gz_files(tmp_path / "in", 12)
+    (src / "f04.gz").write_bytes(b"no gzip")
+    files = walk_inventory(spark, str(src))
+    state = str(tmp_path / "state")
+    for _ in range(2):   # started again, it stops at the same batch as long as that has the failure
+        with pytest.raises(Exception, match="stopped after batch .*f04.gz"):
+            resume_unpack(files, str(tmp_path / "ledger"), state, step_files=1, stop_on_error=True)
+    got = {os.path.basename(r["src"]): r["status"] for r in outcomes_of(spark, state).collect()}
+    assert got["f04.gz"] == "error" and set(got.values()) - {"error"} <= {"uploaded"}
+    made = [n for n in files_in(src) if not n.endswith(".gz")]
+    assert len(made) == len(got) - 1 < 11, "files of later batches are not touched"
+
+
 def test_an_empty_plan(spark, tmp_path):
     nothing = spark.createDataFrame([], "src string, dst string, size long")
     store_plan(nothing, str(tmp_path / "s"))

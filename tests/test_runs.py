@@ -9,7 +9,8 @@ from wharfline.plans.match_run import EmptyKeyList, run_match
 from wharfline.plans.upload_run import plan_upload, run_upload
 from wharfline.sources.lines import HiddenInput, key_lines, read_lines
 from wharfline.sources.matches import OutputInInput
-from wharfline.streaming.match import LostProgress, await_counts, stream_counts, stream_match, stream_rates
+from wharfline.streaming.match import LostProgress, stream_counts, stream_match, stream_rates
+from wharfline.streaming.progress import batch_rows, counted_match, totals
 from wharfline.workdir import shared_root
 
 
@@ -129,8 +130,19 @@ def test_stream_totals_beyond_the_kept_progress(spark, tmp_path, conf):
     for i in range(8):
         (tmp_path / "in" / f"{i}.csv").write_text("a,1\nb,2\n")
     keys = spark.createDataFrame([("a",)], "k string")
-    q = stream_match(spark, str(tmp_path / "in"), keys, str(tmp_path / "out"), str(tmp_path / "state"), files_per_batch=1)
-    assert await_counts(q, 0.02) == {"n_lines": 16, "n_processed": 16, "n_errors": 0, "n_matches": 8}
+    (tmp_path / "in" / "odd.csv").write_bytes(b"a\n\n  \n\xff\nc,a\n")
+
+    def run():
+        return counted_match(spark, str(tmp_path / "in"), keys, str(tmp_path / "out"), str(tmp_path / "state"), files_per_batch=1)
+
+    batches = run()
+    assert tuple(totals(batches).first()) == (21, 18, 1, 9)
+    assert sorted(r["batch"] for r in batches.collect()) == list(range(9))
+    (tmp_path / "in" / "later.csv").write_text("a\n")
+    run()
+    assert tuple(totals(batch_rows(spark, str(tmp_path / "state-progress"))).first()) == (22, 19, 1, 10)
+    q = stream_match(spark, str(tmp_path / "in"), keys, str(tmp_path / "out2"), str(tmp_path / "state2"), files_per_batch=1)
+    q.awaitTermination()
     with pytest.raises(LostProgress):
         stream_counts(q)
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from wharfline.operators.folders import PlanError
 from wharfline.operators.numbering import number_rows
 from wharfline.operators.sync import ERROR, SKIPPED, UPLOADED
-from wharfline.operators.transfer import OUTCOME_SCHEMA, copy_job, sync_job, unpack_job
+from wharfline.operators.transfer import OUTCOME_SCHEMA, TransferError, copy_job, sync_job, unpack_job
 from wharfline.sources.ledger import mark_batch
 from wharfline.workdir import exists
 
@@ -74,6 +74,7 @@ def run_stored(
     steps_per_batch: int = 1,
     tasks: int | None = None,
     on_batch: Callable[[int], None] | None = None,
+    stop_on_error: bool = False,
     **options,
 ) -> DataFrame:
     """Carry out the stored plan and return :func:`outcomes_of` it.
@@ -82,7 +83,9 @@ def run_stored(
     again after a crash or for added steps. A failed file is an error row and
     gets no done mark; a new plan against the ledger takes it up again.
     ``on_batch`` is called with the number of each batch that is committed; an
-    exception in it ends the run after that batch.
+    exception in it ends the run after that batch. ``stop_on_error`` ends it after
+    the first batch with a failed file: its outcomes and marks are kept, and files
+    of later batches are not touched.
     """
     if kind not in JOBS:
         raise PlanError(f"kind must be one of {sorted(JOBS)}, not {kind!r}")
@@ -97,6 +100,10 @@ def run_stored(
             mark_batch(stored, ledger, f"{_plan_name(state)}-{number}")
         if on_batch:
             on_batch(number)
+        if stop_on_error:
+            bad = spark.read.schema(OUTCOME_SCHEMA).parquet(table).filter(F.col("status") == ERROR).select("src", "error").first()
+            if bad:
+                raise TransferError(f"stopped after batch {number}: {bad['src']}: {bad['error']}")
 
     steps = spark.readStream.schema(PLAN_SCHEMA).option("maxFilesPerTrigger", steps_per_batch).parquet(f"{state}/plan")
     query = (

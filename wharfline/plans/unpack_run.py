@@ -34,19 +34,19 @@ def resume_unpack(
     step_files: int = STEP_FILES,
     steps_per_batch: int = 1,
     tasks: int | None = None,
-    on_batch=None,
+    **options,
 ) -> DataFrame:
     """Unpack in batches, each marked in the ledger as soon as it is done.
 
     The first call stores what the ledger leaves to do as the plan below
     ``state``; a call after a stop goes on with that plan. Returns the outcomes
-    of all batches, see ``resumable_run``.
+    of all batches; ``options`` go to ``run_stored``.
     """
     spark = files.sparkSession
     targets = unpack_targets(files, everywhere)
     check_targets(targets)
     store_plan(ledger_pending(targets, read_ledger(spark, ledger)), state, step_files)
-    return run_stored(spark, state, "unpack", ledger, steps_per_batch, tasks, on_batch)
+    return run_stored(spark, state, "unpack", ledger, steps_per_batch, tasks, **options)
 
 
 def run_unpack(

@@ -78,35 +78,17 @@ def stream_counts(query: StreamingQuery) -> dict[str, int]:
     """Counters over all batches of this run of the query.
 
     Spark keeps a limited number of progress reports
-    (``spark.sql.streaming.numRecentProgressUpdates``). For longer runs use
-    ``await_counts``; here a run whose first reports may be gone raises.
+    (``spark.sql.streaming.numRecentProgressUpdates``). For longer runs, and over
+    restarts, use ``progress.counted_match``; here a run whose first reports may be
+    gone raises.
     """
     reports = query.recentProgress
     limit = int(query_session().conf.get("spark.sql.streaming.numRecentProgressUpdates"))
     if len(reports) >= limit - 1:  # one less may be kept
-        raise LostProgress(f"the query has made {limit} reports or more, the first may be gone; use await_counts")
+        raise LostProgress(f"the query has made {limit} reports or more, the first may be gone; use counted_match")
     return _total(reports)
 
 
-def await_counts(query: StreamingQuery, every: float = 0.5) -> dict[str, int]:
-    """Wait for the end of the query and return its counters, for any number of batches.
-
-    Reports are fetched while the query runs. Should batches still be missed,
-    their ids leave a gap and this raises instead of counting too little.
-    """
-    seen: dict[int, object] = {}
-    limit = int(query_session().conf.get("spark.sql.streaming.numRecentProgressUpdates"))
-    ended = False
-    while not ended:
-        ended = query.awaitTermination(every)
-        reports = query.recentProgress
-        ids = [p.batchId for p in reports]
-        if len(reports) >= limit - 1 and (min(ids) > max(seen) + 1 if seen else min(ids) > 0):
-            raise LostProgress(f"batches before {min(ids)} are gone; poll more often")
-        seen.update(zip(ids, reports, strict=True))
-    return _total(list(seen.values()))
-
-
 class LostProgress(RuntimeError):
     """Some of a stream's progress reports are no longer there."""
 

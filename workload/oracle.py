@@ -9,7 +9,21 @@ _WS = (
 )
 
 # Views as common table expressions; each query names the ones it needs.
+_KEY_COLUMNS = [
+    ("customer", "c_custkey"), ("customer", "c_nationkey"), ("orders", "o_orderkey"), ("orders", "o_custkey"),
+    ("lineitem", "l_orderkey"), ("lineitem", "l_partkey"), ("lineitem", "l_suppkey"), ("lineitem", "l_returnflag"),
+    ("part", "p_partkey"), ("supplier", "s_suppkey"), ("supplier", "s_nationkey"), ("nation", "n_nationkey"),
+    ("nation", "n_regionkey"), ("region", "r_regionkey"),
+]
+_ALL_KEYS = " UNION ALL ".join(
+    f"SELECT DISTINCT '{t}.{c}' AS col, {c}::varchar AS k FROM {t} WHERE {c} IS NOT NULL" for t, c in _KEY_COLUMNS)
+
 _VIEWS = {
+    "column_pairs": f"""
+        SELECT l.col AS left_col, r.col AS right_col, l.n AS n_left, r.n AS n_right,
+               (SELECT count(*) FROM ({_ALL_KEYS}) a JOIN ({_ALL_KEYS}) b USING (k) WHERE a.col = l.col AND b.col = r.col) AS n_common
+        FROM (SELECT col, count(*) AS n FROM ({_ALL_KEYS}) GROUP BY col) l
+        JOIN (SELECT col, count(*) AS n FROM ({_ALL_KEYS}) GROUP BY col) r ON l.col < r.col""",
     "order_lines": """
         SELECT o_orderkey AS pos,
                concat_ws(',', o_custkey::varchar, o_orderkey::varchar, o_orderstatus, o_orderpriority) AS value
@@ -181,6 +195,8 @@ _ORACLE: dict[str, tuple[list[str], str]] = {
         SELECT w.k, h.rule::bigint AS rule, CASE WHEN h.rule IS NOT NULL THEN w.p END AS found_as
         FROM written_keys w LEFT JOIN hits h ON h.k = w.k""",
     ),
+    "key_pairs": (["column_pairs"], "SELECT left_col, right_col, n_left, n_right, n_common FROM column_pairs"),
+    "key_estimates": (["column_pairs"], "SELECT left_col, right_col, true AS near FROM column_pairs"),
     "key_overlap": (["overlap"], "SELECT left_col, right_col, n_left, n_right, n_common FROM overlap"),
     "key_catalog": (
         ["overlap"],
@@ -218,8 +234,9 @@ _ORACLE: dict[str, tuple[list[str], str]] = {
     "stream_progress": (
         ["probe", "segment_keys"],
         """
-        SELECT count(*) AS n_lines, count(*) AS n_processed, 0::bigint AS n_errors,
-               count(*) FILTER (k IN (SELECT k FROM segment_keys)) AS n_matches
+        SELECT count(*) + count(*) FILTER (pos % 89 = 0) AS n_lines, count(*) FILTER (pos % 97 <> 0) AS n_processed,
+               count(*) FILTER (pos % 97 = 0) AS n_errors,
+               count(*) FILTER (pos % 97 <> 0 AND k IN (SELECT k FROM segment_keys)) AS n_matches
         FROM probe""",
     ),
     "union_buckets": (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wharfline.functions import paths as P
 from wharfline.functions.text import first_field_key
+from wharfline.operators import catalog as C
 from wharfline.operators import diagnose as D
 from wharfline.operators import folders as FO
 from wharfline.operators import match as M
@@ -25,6 +26,7 @@ from wharfline.sources import inventory as INV
 from wharfline.sources import ledger as LG
 from wharfline.sources import lines as L
 from wharfline.streaming.match import stream_match as start_stream
+from wharfline.streaming.progress import counted_match, totals
 from wharfline.workdir import new_dir
 from workload import views as V
 
@@ -148,6 +150,36 @@ def _key_columns(spark, d):
     return columns, pairs
 
 
+KEY_COLUMNS = {
+    "customer": ["c_custkey", "c_nationkey"],
+    "orders": ["o_orderkey", "o_custkey"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_returnflag"],
+    "part": ["p_partkey"],
+    "supplier": ["s_suppkey", "s_nationkey"],
+    "nation": ["n_nationkey", "n_regionkey"],
+    "region": ["r_regionkey"],
+}
+
+
+def _key_tables(spark, d):
+    return {name: (V.table(spark, d, name), columns) for name, columns in KEY_COLUMNS.items()}
+
+
+def key_pairs(spark, d):
+    """Shared keys of all pairs of key columns, counted by one shuffle."""
+    return C.exact_pairs(_key_tables(spark, d))
+
+
+def key_estimates(spark, d):
+    """All pairs by sketches: whether each estimate is within five parts in a hundred of the pair's larger column."""
+    tables = _key_tables(spark, d)
+    guess = C.estimate_pairs(C.column_sketches(tables)).withColumnsRenamed({n: f"{n}_" for n in ("n_left", "n_right", "n_common")})
+    larger = F.greatest("n_left", "n_right")
+    near = [F.abs(F.col(f"{n}_") - F.col(n)) <= 0.05 * larger for n in ("n_left", "n_right", "n_common")]
+    return guess.join(C.exact_pairs(tables), ["left_col", "right_col"]).select(
+        "left_col", "right_col", (near[0] & near[1] & near[2]).alias("near"))
+
+
 def key_overlap(spark, d):
     return D.key_overlap(*_key_columns(spark, d))
 
@@ -232,23 +264,20 @@ def stream_match(spark, d):
 
 
 def stream_progress(spark, d):
-    """Counters of a stream whose batches outnumber the reports Spark keeps."""
-    from wharfline.streaming.match import await_counts
-
+    """Counters of a stream whose batches outnumber the reports Spark keeps, bad and blank lines among its input."""
     base = new_dir(spark, "stream")
-    lines = V.order_lines(spark, d)
-    lines.select("value", (F.col("pos") % 6).alias("bucket")).repartition("bucket").write.partitionBy("bucket").text(f"{base}/in")
+    lines = V.damaged_lines(spark, d)
+    blank = lines.filter("pos % 89 = 0").withColumn("value", F.lit("  "))
+    both = lines.unionByName(blank).select("value", (F.col("pos") % 6).alias("bucket"))
+    both.repartition("bucket").write.partitionBy("bucket").text(f"{base}/in")
     option = "spark.sql.streaming.numRecentProgressUpdates"
     kept = spark.conf.get(option)
     spark.conf.set(option, "4")
     try:
-        query = start_stream(spark, f"{base}/in/*", _keys(spark, d), f"{base}/out", f"{base}/state", files_per_batch=1)
-        counts = await_counts(query, 0.05)
+        batches = counted_match(spark, f"{base}/in/*", _keys(spark, d), f"{base}/out", f"{base}/state", files_per_batch=1)
     finally:
         spark.conf.set(option, kept)
-    return spark.createDataFrame(
-        [tuple(counts[n] for n in ("n_lines", "n_processed", "n_errors", "n_matches"))],
-        "n_lines long, n_processed long, n_errors long, n_matches long")
+    return totals(batches)
 
 
 # --- paths -----------------------------------------------------------------
@@ -573,6 +602,8 @@ QUERIES: dict[str, Query] = {
         first_rejects,
         key_variants,
         key_overlap,
+        key_pairs,
+        key_estimates,
         key_catalog,
         parquet_to_lines,
         line_numbers,
