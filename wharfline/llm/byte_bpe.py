@@ -44,7 +44,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from wharfline.sources.bucketed import write_buckets
 from wharfline.workdir import new_dir
 
-from .common import row_tag
+from .common import arrow_rows, row_tag
 from .exchange import bucket_of, expand, runs, squeeze
 from .kernels import column_bytes, word_hashes
 
@@ -52,6 +52,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PACK_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
 DECODED_ROWS = 256
+TEXT_ROWS = 512       # texts that go to a task's Python at a time
 SLOT_BITS = 17        # of the literal hash table of ranks; vocabularies of up to 60,000 tokens fit
 LATIN = "ISO-8859-1"
 
@@ -215,6 +216,7 @@ def _to_packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size >= PACK_BYTES:
                 yield pack()
                 ids, counts, values, size, number = [], [], [], 0, number + 1
+                pa.default_memory_pool().release_unused()
     if ids:
         yield pack()
 
@@ -347,7 +349,8 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     cut = docs.select(F.col(id_col).cast("long"), words_of(F.col(text_col), pattern))
     # in buckets, so that the codes are not shuffled when the ids come back to them
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packs = write_buckets(cut.mapInArrow(_to_packs, _PACK_SQL), new_dir(spark, "bpe-packs"), ["pack"], n, gather=False)
+    with arrow_rows(spark, TEXT_ROWS):
+        packs = write_buckets(cut.mapInArrow(_to_packs, _PACK_SQL), new_dir(spark, "bpe-packs"), ["pack"], n, gather=False)
     n_bytes = packs.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     buckets = 1 + 3 * n_bytes // BUCKET_BYTES   # words are stored in about a third of their bytes
     sent = packs.select("pack", "sizes", "words").mapInArrow(_send(buckets), "bucket long, pack long, places binary, sizes binary, words binary")

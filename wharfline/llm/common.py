@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 import wharfline
@@ -27,6 +30,18 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Let jobs inside send rows to Python ``n`` at a time: for rows that are texts, the usual ten thousand take up too much."""
+    option = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(option)
+    spark.conf.set(option, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(option, before)
+
+
 def row_tag(df: DataFrame, *names: str) -> None:
     """Fail early where a needed column is missing or ambiguous."""
     for name in names:
