@@ -7,6 +7,7 @@ import pytest
 
 from wharfline.plans.match_run import EmptyKeyList, run_match
 from wharfline.plans.upload_run import plan_upload, run_upload
+from wharfline.sources.head import head_lines, head_sample_keys, head_sample_lines
 from wharfline.sources.lines import HiddenInput, key_lines, read_lines
 from wharfline.sources.matches import OutputInInput
 from wharfline.streaming.match import LostProgress, stream_counts, stream_match, stream_rates
@@ -189,3 +190,38 @@ def test_shared_root(named, given, master, root):
     else:
         with pytest.raises(ValueError):
             shared_root(session)
+
+
+def tasks_of(spark, work):
+    """Result of ``work`` and how many tasks its jobs ran."""
+    import uuid
+
+    tag = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(tag, "")
+    try:
+        got = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(tag) for s in tracker.getJobInfo(j).stageIds]
+    return got, sum(s.numTasks for s in stages if s)
+
+
+def test_samples_read_no_more_than_they_need(spark, conf, tmp_path):
+    conf("spark.sql.files.maxPartitionBytes", "2000")
+    conf("spark.sql.files.openCostInBytes", "8")
+    (tmp_path / "in").mkdir()
+    lines = [["\n".join(f"{f}{i // 7},{i}" for i in range(3000))] for f in "ab"]
+    for f, body in zip("ab", lines, strict=True):
+        (tmp_path / "in" / f"{f}.csv").write_text("\n \n" + body[0])
+    path = str(tmp_path / "in")
+    assert spark.read.text(path).rdd.getNumPartitions() > 10
+    (rows, n_tasks) = tasks_of(spark, lambda: head_lines(spark, path, lambda found: len(found) >= 5, start=5))
+    assert [r["k"] for r in rows] == ["a0"] * 5 and n_tasks == 1
+    listed = spark.createDataFrame([("a1",)], "k string")
+    got = head_sample_keys(spark, path, listed, 3, start=2)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a0", False), (2, "a1", True), (3, "a2", False)]
+    assert head_sample_keys(spark, path, listed, 500, start=100, most=400) is None
+    everything = head_sample_keys(spark, path, listed, 5000).collect()
+    assert len(everything) == 2 * 429 and max(everything)["k"] == "b428"
+    assert [(r["ord"], r["in_list"]) for r in head_sample_lines(spark, path, listed, 2).orderBy("ord").collect()] == [(1, False), (2, False)]

@@ -19,7 +19,7 @@ SAMPLE_KEYS = 10
 SAMPLE_MEMBERS = 3
 
 
-def _flag_members(sample: DataFrame, keys: DataFrame) -> DataFrame:
+def flag_members(sample: DataFrame, keys: DataFrame) -> DataFrame:
     """Adds ``in_list`` to a sample of a few rows.
 
     The sample is what gets broadcast: the key list is read once and only the
@@ -42,7 +42,7 @@ def _flag_members(sample: DataFrame, keys: DataFrame) -> DataFrame:
 def sample_lines(probe: DataFrame, keys: DataFrame, n: int = SAMPLE_LINES) -> DataFrame:
     """The first ``n`` data lines: pos, shown, k, in_list (null for key '')."""
     head = probe.orderBy("pos").limit(n).select("pos", preview("value").alias("shown"), "k")
-    return _flag_members(head, keys).select(
+    return flag_members(head, keys).select(
         "pos", "shown", "k", F.when(F.col("k") != "", F.col("in_list")).alias("in_list")
     )
 
@@ -58,7 +58,7 @@ def sample_keys(probe: DataFrame, keys: DataFrame, n: int = SAMPLE_KEYS) -> Data
     )
     # At most n rows are left, so one task numbers them.
     ordered = first.withColumn("ord", F.row_number().over(W.orderBy("pos")).cast("bigint"))
-    return _flag_members(ordered.select("ord", "k"), keys).select("ord", "k", "in_list")
+    return flag_members(ordered.select("ord", "k"), keys).select("ord", "k", "in_list")
 
 
 def sample_members(keys: DataFrame, n: int = SAMPLE_MEMBERS) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wharfline.functions.text import is_blank, is_decodable
-from wharfline.operators.diagnose import key_variants, sample_keys, sample_lines, sample_members
+from wharfline.operators.diagnose import key_variants, sample_keys, sample_members
 from wharfline.operators.match import match_lines
+from wharfline.sources.head import head_sample_keys, head_sample_lines
 from wharfline.sources.lines import data_lines, first_rejects, key_lines, read_lines
 from wharfline.sources.matches import output_path, refuse_output_in_input, write_matches
 from wharfline.workdir import new_dir
@@ -28,7 +29,8 @@ class EmptyKeyList(ValueError):
 class MatchRun:
     """Counters of a run, where its result is, and what to look at next.
 
-    ``samples()`` and ``rejects`` read the data file again when asked for.
+    ``samples()`` reads the beginning of the data file when asked for, ``rejects``
+    all of it.
     """
 
     status: str
@@ -104,11 +106,13 @@ def run_match(
         seconds=time.monotonic() - started,
         output=output,
         matches=matches,
-        samples=lambda: sample_lines(probe, keys),
+        samples=lambda: head_sample_lines(spark, data_path, keys),
         rejects=first_rejects(lines),
     )
     if status == "no matches":
-        tried = sample_keys(probe, keys, DIAGNOSED_KEYS)
+        tried = head_sample_keys(spark, data_path, keys, DIAGNOSED_KEYS)
+        if tried is None:
+            tried = sample_keys(probe, keys, DIAGNOSED_KEYS)
         run.diagnosis = {
             "keys": tried,
             "variants": key_variants(tried, keys, max_broadcast_bytes),

@@ -177,6 +177,12 @@ _ORACLE: dict[str, tuple[list[str], str]] = {
         SELECT row_number() OVER (ORDER BY first_pos) AS ord, k, k IN (SELECT k FROM segment_keys) AS in_list
         FROM (SELECT k, min(pos) AS first_pos FROM probe WHERE k <> '' GROUP BY k ORDER BY first_pos LIMIT 10)""",
     ),
+    "head_keys": (
+        ["probe", "segment_keys"],
+        """
+        SELECT row_number() OVER (ORDER BY first_pos) AS ord, k, k IN (SELECT k FROM segment_keys) AS in_list
+        FROM (SELECT k, min(pos) AS first_pos FROM probe WHERE k <> '' GROUP BY k ORDER BY first_pos LIMIT 10)""",
+    ),
     "sample_members": (["segment_keys"], "SELECT k FROM segment_keys ORDER BY k LIMIT 3"),
     "first_matches": (["probe", "segment_keys"], f"{_MATCHED} ORDER BY pos LIMIT 10"),
     "undecodable_lines": (

@@ -25,6 +25,7 @@ from wharfline.sources import gzip_ranges as GZ
 from wharfline.sources import inventory as INV
 from wharfline.sources import ledger as LG
 from wharfline.sources import lines as L
+from wharfline.sources.head import head_sample_keys
 from wharfline.streaming.match import stream_match as start_stream
 from wharfline.streaming.progress import counted_match, totals
 from wharfline.workdir import new_dir
@@ -94,6 +95,12 @@ def sample_keys(spark, d):
     return D.sample_keys(_probe(spark, d), _keys(spark, d))
 
 
+def head_keys(spark, d):
+    """The first keys of line files, read from the front until there are enough."""
+    path = _write_lines(V.order_lines(spark, d).orderBy("pos"), new_dir(spark, "lines"))
+    return head_sample_keys(spark, path, _keys(spark, d))
+
+
 def sample_members(spark, d):
     return D.sample_members(_keys(spark, d))
 
@@ -596,6 +603,7 @@ QUERIES: dict[str, Query] = {
         match_whole_lines,
         sample_lines,
         sample_keys,
+        head_keys,
         sample_members,
         first_matches,
         undecodable_lines,
