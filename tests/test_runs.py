@@ -225,3 +225,23 @@ def test_samples_read_no_more_than_they_need(spark, conf, tmp_path):
     everything = head_sample_keys(spark, path, listed, 5000).collect()
     assert len(everything) == 2 * 429 and max(everything)["k"] == "b428"
     assert [(r["ord"], r["in_list"]) for r in head_sample_lines(spark, path, listed, 2).orderBy("ord").collect()] == [(1, False), (2, False)]
+
+
+@pytest.mark.parametrize(("given", "out", "refused"), [
+    ("/a/*.csv", "/a/x/out.csv", False), ("/a/*.csv", "/a/out.csv", True), ("/a/in", "file:/a/in/out", True), ("in", "{cwd}/in", True),
+    ("{cwd}/in", "in/deep/out", True), ("/a/in", "/a/in2", False), ("/a/*/*", "/a/out", True), ("/a/*/*.csv", "/a/out", False),
+    ("/a/{b,c}/d", "/a/b/d/out", True), ("s3://b/k", "s3://b/k/out", True), ("s3://b/k", "/b/k/out", False), (["/x", "/a"], "/a/o", True)])
+def test_results_among_inputs(given, out, refused):
+    import os
+
+    from wharfline.sources.matches import refuse_output_in_input
+
+    def at(p):
+        return p.replace("{cwd}", os.getcwd())
+
+    args = ([at(g) for g in given] if isinstance(given, list) else at(given)), at(out)
+    if refused:
+        with pytest.raises(OutputInInput):
+            refuse_output_in_input(*args)
+    else:
+        refuse_output_in_input(*args)

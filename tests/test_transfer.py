@@ -266,3 +266,27 @@ def test_log_stamps_are_utc(spark, conf, tmp_path):
     stamp = spark.read.text(str(tmp_path / "log")).first()["value"]
     at = dt.datetime.strptime(stamp, "[%Y-%m-%d %H:%M:%S] hello").replace(tzinfo=dt.timezone.utc)
     assert abs((dt.datetime.now(dt.timezone.utc) - at).total_seconds()) < 120
+
+
+def test_a_lost_staged_file_is_no_success(tmp_path):
+    """An old target of the same size is not taken for the copy."""
+    dst = tmp_path / "t"
+    dst.write_bytes(b"old")
+    staged = IO.staging_name(str(dst), "run-1")
+    with pytest.raises(FileNotFoundError):
+        IO.commit_staged(staged, str(dst), 3)
+    IO.write_at(staged, 0, b"new")
+    assert [IO.commit_staged(staged, str(dst), 3) for _ in range(2)] == [3, 3] and dst.read_bytes() == b"new"
+
+
+def test_leftovers_of_a_run_are_swept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "out" / "x").mkdir(parents=True)
+    (tmp_path / "in" / "a").write_text("1")
+    dst = str(tmp_path / "out" / "x" / "a")
+    for run in ("mine", "other"):
+        (tmp_path / "out" / "x" / os.path.basename(IO.staging_name(dst, f"{run}-77"))).write_text("half")
+    plan = spark.createDataFrame([(str(tmp_path / "in" / "a"), dst, 1)], "src string, dst string, size long")
+    T.copy_job(plan, run="mine")
+    left = os.listdir(tmp_path / "out" / "x")
+    assert "a" in left and len(left) == 2 and any(".other-77" in n for n in left)

@@ -178,9 +178,7 @@ def lookup_join(
     if aqe_splits_skew(spark):
         return left.join(unique.hint("merge"), on, how)
     hot = hot_keys(left, on, hot_rows).checkpoint()
-    return salted_join(left, unique, on, how, _bounded(hot, max_broadcast_bytes))
-
-
-def _bounded(hot: DataFrame, max_bytes: int | None) -> DataFrame:
-    """Broadcast the hot-key table if it fits; otherwise leave the join to Spark."""
-    return F.broadcast(hot) if fits_broadcast(hot, max_bytes) else hot
+    # its size is bounded by the rows of the left side, not by what the caller lets a lookup take
+    if fits_broadcast(hot):
+        return salted_join(left, unique, on, how, F.broadcast(hot))
+    return salted_join(left, unique, on, how)

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 import wharfline
+from wharfline.functions import paths as P
 from wharfline.operators.numbering import number_rows
 from wharfline.operators.sync import ERROR, SKIPPED, UPLOADED
 from wharfline.sources import files as IO
@@ -108,6 +109,7 @@ def _store(outcomes: DataFrame, out: str | None, run: str, on_error: str) -> Dat
     table = f"{out or new_dir(spark, 'outcomes')}/run={run}"
     outcomes.write.mode("overwrite").parquet(table)
     stored = spark.read.schema(OUTCOME_SCHEMA).parquet(table)
+    _sweep(stored, run)
     if on_error == "fail":
         bad = stored.filter(F.col("status") == ERROR)
         n = bad.count()
@@ -117,6 +119,18 @@ def _store(outcomes: DataFrame, out: str | None, run: str, on_error: str) -> Dat
     return stored
 
 
+def _sweep(stored: DataFrame, run: str) -> None:
+    """Remove staged files that killed tasks of this run have left beside the targets."""
+
+    def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"n": [IO.sweep_staged(IO.posix_path(f) or "/", run) for f in batch["folder"]]})
+
+    moved = stored.filter((F.col("status") != SKIPPED) & _on_shared_folder("dst"))
+    folders = moved.select(P.parent_folder("dst").alias("folder")).filter("folder <> ''").distinct()
+    folders.mapInPandas(sweep, "n bigint").write.format("noop").mode("overwrite").save()
+
+
 def _unpack_rows(plan: DataFrame, tasks: int, run: str) -> DataFrame:
     """One compressed file per row, each streamed whole by one task."""
 

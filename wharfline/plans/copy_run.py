@@ -47,6 +47,28 @@ def plan_copy(
     return CopyPlan(numbered_plan(plan), folder_rollup(sourced), folder_cap(sourced, cap))
 
 
+def summary_lines(plan: CopyPlan) -> DataFrame:
+    """line: what a run is about to copy, per source its counts and first folders, then the total; in order.
+
+    Sources are in the order of their names.
+    """
+    def text(kind: int, place, *parts) -> list:
+        return [F.lit(kind).alias("kind"), F.col("source"), place.cast("bigint").alias("place"), F.concat(*parts).alias("line")]
+
+    none = F.lit(0)
+    heads = plan.rollup.select(*text(
+        0, none, F.lit("  "), "source", F.lit(": "), F.col("n_objects").cast("string"), F.lit(" objects, "),
+        F.col("n_folders").cast("string"), F.lit(" nested folder(s):")))
+    folders = plan.folders.select(*text(0, F.col("rn"), F.lit("    "), "folder"))
+    last = plan.folders.groupBy("source").agg(F.max("rn").alias("rn"), F.max("n_more").alias("n_more")).filter("n_more > 0")
+    more = last.select(*text(0, F.col("rn") + 1, F.lit("    ... and "), F.col("n_more").cast("string"), F.lit(" more")))
+    total = plan.tasks.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(1).alias("kind"), F.lit("").alias("source"), F.lit(0).cast("bigint").alias("place"),
+        F.concat(F.lit("  Total: "), F.col("n").cast("string"), F.lit(" objects. Starting copy.")).alias("line"))
+    lines = heads.unionByName(folders).unionByName(more).unionByName(total)
+    return lines.orderBy("kind", "source", "place").select("line")
+
+
 def run_copy(
     plan: CopyPlan,
     source_root: str,
@@ -59,7 +81,8 @@ def run_copy(
 ) -> DataFrame:
     """Carry out a plan between two roots (a folder or URI in front of keys).
 
-    A key named by two overlapping sources for one target is copied once.
+    A key named by two overlapping sources for one target is copied once. A ``log``
+    begins with the plan's summary and has a line for each file.
     """
 
     def at(root: str, key: str):
@@ -68,6 +91,8 @@ def run_copy(
     moves = plan.tasks.select(
         at(source_root, "src").alias("src"), at(dest_root, "dst").alias("dst"), "size"
     ).dropDuplicates(["src", "dst"])
+    if log:
+        append_log(summary_lines(plan), F.col("line"), log)
     outcomes = copy_job(moves, out, part_bytes, tasks, on_error="record" if log else on_error)
     if log:
         message = F.concat_ws(" ", "status", "src", F.lit("->"), "dst", F.col("bytes").cast("string"))

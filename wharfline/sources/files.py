@@ -124,22 +124,46 @@ def write_at(staged: str, offset: int, data: bytes) -> int:
     return len(data)
 
 
+MOVED = ".moved"  # behind the name of a staged file: it was complete and got, or is about to get, its target's name
+
+
 def commit_staged(staged: str, dst: str, size: int) -> int:
     """Move a complete staged file to its target; returns the target's size.
 
-    A second call finds the file moved already.
+    A second call finds the mark of the first and the file moved already. Without
+    the mark a missing staged file is an error, whatever lies at the target.
     """
     if os.path.exists(staged):
         found = os.path.getsize(staged)
         if found != size:
             raise OSError(f"size mismatch: source {size}, copied {found}")
+        with open(staged + MOVED, "wb"):
+            pass
         os.replace(staged, dst)
+    elif not os.path.exists(staged + MOVED):
+        raise FileNotFoundError(f"staged file for {dst} is gone")
     found = os.path.getsize(dst)
     if found != size:
         raise OSError(f"size mismatch: source {size}, destination {found}")
     return found
 
 
+def sweep_staged(folder: str, run: str) -> int:
+    """Remove what a run has left of staged files and marks in a folder; returns how many."""
+    n = 0
+    try:
+        with os.scandir(folder) as entries:
+            for e in entries:
+                if e.name.startswith(".") and f".{run}" in e.name and e.name.endswith((".part", MOVED)):
+                    os.remove(e.path)
+                    n += 1
+    except FileNotFoundError:
+        pass
+    return n
+
+
 def discard_staged(staged: str) -> None:
-    if os.path.exists(staged):
-        os.remove(staged)
+    """Remove a staged file and its mark, if they are there."""
+    for path in (staged, staged + MOVED):
+        if os.path.exists(path):
+            os.remove(path)

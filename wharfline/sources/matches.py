@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
-from fnmatch import fnmatch
+from fnmatch import fnmatchcase
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +36,26 @@ class OutputInInput(ValueError):
     """The result would lie among the files that a next run reads."""
 
 
+def _segments(path: str) -> list[str]:
+    """Segments of a full name: plain ones and ``file:`` ones alike, others with their scheme in front."""
+    plain = posix_path(path)
+    full = path if plain is None else os.path.abspath(plain)
+    return [s for s in full.split("/") if s]
+
+
 def refuse_output_in_input(data_path: str | list[str], out: str) -> None:
-    """Raise where the input's pattern or folder takes in ``out``."""
-    target = out.rstrip("/")
+    """Raise where an input file, folder or pattern takes in ``out`` or a part below it.
+
+    Patterns match segment by segment, as Hadoop's do; alternatives in braces
+    count as anything.
+    """
+    target = _segments(out)
     for one in [data_path] if isinstance(data_path, str) else data_path:
-        given = one.rstrip("/")
-        pattern = any(c in given for c in "*?[{")
-        if target == given or target.startswith(given + "/") or pattern and fnmatch(target, given.replace("{", "[{]")):
-            raise OutputInInput(f"{out} lies in the input {one}; name another place as out")
+        given = [re.sub(r"\{[^}]*\}", "*", s) for s in _segments(one)]
+        # a folder takes in its files, and a result is a file or a folder of parts
+        for name in (target, [*target, "part-00000.txt"]):
+            if len(given) <= len(name) and all(map(fnmatchcase, name, given)):
+                raise OutputInInput(f"{out} lies in the input {one}; name another place as out")
 
 
 def write_matches(matches: DataFrame, path: str, pos: str = "pos", single: bool = False) -> None:
@@ -124,6 +137,5 @@ def write_one_file(lines: DataFrame, path: str, pos: str = "pos") -> int:
         if total:
             os.truncate(staged, total - 1)
         return commit_staged(staged, target, max(total - 1, 0))
-    except BaseException:
+    finally:
         discard_staged(staged)
-        raise

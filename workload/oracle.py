@@ -214,17 +214,29 @@ _ORACLE: dict[str, tuple[list[str], str]] = {
     "parquet_to_lines": (
         [],
         """
-        SELECT concat_ws(',', coalesce(l_orderkey::varchar, ''), coalesce(l_partkey::varchar, ''),
-                         coalesce(l_suppkey::varchar, ''), coalesce(l_linenumber::varchar, ''),
-                         coalesce(l_returnflag, ''), coalesce(l_linestatus, ''),
-                         coalesce(l_shipdate::date::varchar, '')) AS value
+        SELECT concat_ws(',', coalesce(l_orderkey::varchar, ''), coalesce(l_partkey::varchar, ''), coalesce(l_suppkey::varchar, ''),
+                         coalesce(l_linenumber::varchar, ''), coalesce(l_quantity::varchar, ''), coalesce(l_extendedprice::varchar, ''),
+                         coalesce(l_discount::varchar, ''), coalesce(l_tax::varchar, ''), coalesce(l_returnflag, ''),
+                         coalesce(l_linestatus, ''), coalesce(l_shipdate::varchar, '')) AS value
         FROM lineitem""",
     ),
     "line_numbers": ([], "SELECT count(*) AS n_lines, true AS complete FROM orders"),
     "gz_roundtrip": (["order_lines"], "SELECT value FROM order_lines"),
     "match_files": (
         ["probe", "segment_keys"],
-        "SELECT value FROM probe WHERE pos % 97 <> 0 AND k IN (SELECT k FROM segment_keys)",
+        """
+        SELECT row_number() OVER (ORDER BY pos) AS line_no, value
+        FROM probe WHERE pos % 97 <> 0 AND k IN (SELECT k FROM segment_keys)""",
+    ),
+    "run_statuses": (
+        ["probe", "segment_keys"],
+        """
+        SELECT * FROM (WITH n AS (SELECT count(*) FILTER (pos % 97 <> 0) AS good, count(*) FILTER (pos % 97 = 0) AS bad,
+                          count(*) FILTER (pos % 97 <> 0 AND k IN (SELECT k FROM segment_keys)) AS hits FROM probe)
+        SELECT 'data' AS data, 'keys' AS keys, 'matched' AS status, good AS n_processed, hits AS n_matches, bad AS n_errors, true AS written FROM n
+        UNION ALL SELECT 'data', 'others', 'no matches', good, 0, bad, false FROM n
+        UNION ALL SELECT 'blank', 'keys', 'no rows', 0, 0, 0, false
+        UNION ALL SELECT 'data', 'none', 'empty key list', NULL, NULL, NULL, false)""",
     ),
     "match_one_file": (
         ["probe", "segment_keys"],
@@ -372,6 +384,28 @@ _ORACLE: dict[str, tuple[list[str], str]] = {
         FROM order_lines""",
     ),
     "copy_job": (["order_lines"], f"{_BUCKETS} FROM order_lines GROUP BY 1"),
+    "transfer_rate": (
+        ["order_lines"],
+        """
+        SELECT sum(strlen(value) + 1)::bigint AS n_bytes, format('{:,}', sum(strlen(value) + 1)::bigint) AS n_bytes_text, true AS has_rate
+        FROM order_lines""",
+    ),
+    "copy_log": (
+        ["inventory"],
+        """
+        SELECT * FROM (WITH named AS (SELECT * FROM (VALUES ('s3://wharf/in/src1/', 'in/src1/'), ('s3://wharf/in/src1/en/', 'in/src1/en/'),
+                                             ('s3://wharf/in/src2/', 'in/src2/')) AS t(source, prefix)),
+        hit AS (SELECT named.source, key[length(prefix) + 1:] AS rest FROM named JOIN inventory ON starts_with(key, prefix)),
+        folder AS (SELECT source, folder, row_number() OVER (PARTITION BY source ORDER BY folder) AS rn, count(*) OVER (PARTITION BY source) AS n
+                   FROM (SELECT DISTINCT source, regexp_replace(rest, '/[^/]*$', '') AS folder FROM hit WHERE contains(rest, '/'))),
+        lines AS (
+            SELECT 0 AS kind, source, 0 AS place, '  ' || source || ': ' || count(*) || ' objects, '
+                   || (SELECT count(*) FROM folder f WHERE f.source = hit.source) || ' nested folder(s):' AS line FROM hit GROUP BY source
+            UNION ALL SELECT 0, source, rn, '    ' || folder FROM folder WHERE rn <= 2
+            UNION ALL SELECT DISTINCT 0, source, 3, '    ... and ' || (n - 2) || ' more' FROM folder WHERE n > 2
+            UNION ALL SELECT 1, '', 0, '  Total: ' || count(*) || ' objects. Starting copy.' FROM hit)
+        SELECT row_number() OVER (ORDER BY kind, source, place) AS line_no, line FROM lines)""",
+    ),
     "upload_job": (["order_lines"], f"{_BUCKETS}, 0::bigint AS n_left FROM order_lines GROUP BY 1"),
     "scan_inventory": (
         ["order_lines"],

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from wharfline.functions import paths as P
 from wharfline.functions.text import first_field_key
@@ -18,7 +19,8 @@ from wharfline.operators import sync as S
 from wharfline.operators import transfer as T
 from wharfline.operators.keystore import build_key_store, match_stored
 from wharfline.operators.numbering import number_rows
-from wharfline.plans.match_run import run_match
+from wharfline.plans.copy_run import plan_copy, summary_lines
+from wharfline.plans.match_run import EmptyKeyList, run_match
 from wharfline.plans.resumable_run import batch_counts
 from wharfline.plans.unpack_run import resume_unpack, run_unpack
 from wharfline.sources import gzip_ranges as GZ
@@ -199,11 +201,7 @@ def key_catalog(spark, d):
 
 
 def parquet_to_lines(spark, d):
-    items = V.table(spark, d, "lineitem").withColumn("shipped", F.to_date("l_shipdate"))
-    return L.parquet_to_lines(
-        items,
-        ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "shipped"],
-    )
+    return L.parquet_to_lines(V.table(spark, d, "lineitem"))
 
 
 def _write_lines(lines: DataFrame, path: str, **options) -> str:
@@ -217,16 +215,11 @@ def line_numbers(spark, d):
     ordered = V.order_lines(spark, d).orderBy("pos").select("value")
     _write_lines(ordered, path)
     numbered = L.number_lines(L.read_lines(spark, path, positions=True))
-    # Per file, numbers must run from 1 to the number of lines.
-    return numbered.groupBy("pos.file").agg(
-        F.min("line_no").alias("lo"), F.max("line_no").alias("hi"), F.count(F.lit(1)).alias("n"),
-        F.count_distinct("line_no").alias("n_distinct"),
-    ).agg(
-        F.sum("n").alias("n_lines"),
-        F.bool_and(
-            (F.col("lo") == 1) & (F.col("hi") == F.col("n")) & (F.col("n_distinct") == F.col("n"))
-        ).alias("complete"),
-    )
+    # Per file, numbers must run from 1 in the order of the keys that the lines were written in.
+    key = F.split_part("value", F.lit(","), F.lit(2)).cast("bigint")
+    rank = F.row_number().over(W.partitionBy("pos.file").orderBy(key))
+    return numbered.select(F.col("line_no"), rank.cast("bigint").alias("rank")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.bool_and(F.col("line_no") == F.col("rank")).alias("complete"))
 
 
 def gz_roundtrip(spark, d):
@@ -240,7 +233,28 @@ def match_files(spark, d):
     data = _write_lines(V.damaged_lines(spark, d).orderBy("pos"), f"{base}/data")
     keys = _write_lines(V.segment_keys(spark, d), f"{base}/keys")
     run = run_match(spark, data, keys, out=f"{base}/out")
-    return spark.read.text(run.output)
+    parts = L.read_lines(spark, run.output, positions=True)
+    return number_rows(parts, ["pos"], "line_no").select("line_no", "value")
+
+
+def run_statuses(spark, d):
+    """How runs end: with matches, without, without rows, and refused for an empty key list."""
+    base = new_dir(spark, "run")
+    lines = V.damaged_lines(spark, d)
+    _write_lines(lines, f"{base}/data")
+    _write_lines(lines.select(F.lit("  ").alias("value")), f"{base}/blank")
+    _write_lines(V.segment_keys(spark, d), f"{base}/keys")
+    _write_lines(V.segment_keys(spark, d).select(F.concat(F.lit("no-"), "value").alias("value")), f"{base}/others")
+    _write_lines(V.segment_keys(spark, d).filter("false"), f"{base}/none")
+    rows = []
+    for data, keys in (("data", "keys"), ("data", "others"), ("blank", "keys"), ("data", "none")):
+        try:
+            run = run_match(spark, f"{base}/{data}", f"{base}/{keys}", out=f"{base}/{data}-{keys}")
+            rows.append((data, keys, run.status, run.n_processed, run.n_matches, run.n_errors, run.output is not None))
+        except EmptyKeyList:
+            rows.append((data, keys, "empty key list", None, None, None, False))
+    return spark.createDataFrame(
+        rows, "data string, keys string, status string, n_processed long, n_matches long, n_errors long, written boolean")
 
 
 def match_one_file(spark, d):
@@ -540,6 +554,27 @@ def copy_job(spark, d):
     return _read_buckets(spark, f"{base}/out")
 
 
+def transfer_rate(spark, d):
+    """Bytes of a copy, written out with separators, and whether a rate came of it."""
+    base = new_dir(spark, "rate")
+    _line_files(spark, d, f"{base}/in")
+    src = INV.scan_inventory(spark, f"{base}/in", glob="*.txt")
+    done = T.copy_job(src.select(F.col("uri").alias("src"), F.concat(F.lit(f"{base}/out/"), "path").alias("dst"), "size"))
+    return S.copy_rate(done).select("n_bytes", "n_bytes_text", (F.col("mb_per_s") > 0).alias("has_rate"))
+
+
+def copy_log(spark, d):
+    """The summary that a copy's log begins with, as numbered lines without their stamps."""
+    files = V.inventory(spark, d).select("key", "size")
+    plan = plan_copy(files, ["s3://wharf/in/src1/", "s3://wharf/in/src2/", "s3://wharf/in/src1/en/"], "in/", "out/", cap=2)
+    lines = number_rows(summary_lines(plan).withColumn("at", F.monotonically_increasing_id()), ["at"], "line_no")
+    path = f"{new_dir(spark, 'log')}/log"
+    LG.append_log(lines, F.concat(F.lpad(F.col("line_no").cast("string"), 6, "0"), "line"), path)
+    logged = F.regexp_extract("value", r"^\[\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\] (\d{6})(.*)$", 0)
+    body = F.substr(logged, F.lit(23))
+    return spark.read.text(path).select(F.substring(body, 1, 6).cast("bigint").alias("line_no"), F.substr(body, F.lit(7)).alias("line"))
+
+
 def upload_job(spark, d):
     """Half the folders compressed: walked, planned, moved; then planned again.
 
@@ -619,6 +654,7 @@ QUERIES: dict[str, Query] = {
         gz_ranges,
         match_files,
         match_one_file,
+        run_statuses,
         stream_match,
         stream_progress,
         parse_paths,
@@ -643,6 +679,8 @@ QUERIES: dict[str, Query] = {
         decompress_job,
         resumed_unpack,
         copy_job,
+        transfer_rate,
+        copy_log,
         upload_job,
         scan_inventory,
         run_log,
