@@ -233,7 +233,11 @@ def test_copy_run(spark, tmp_path):
     log = str(tmp_path / "log")
     run_copy(plan, str(tmp_path / "in"), str(tmp_path / "out"), log=log)
     assert visible(tmp_path / "out") == {"N/a/1": b"1", "N/b/c/2": b"22", "N/b/e": b""}
-    assert spark.read.text(log).count() == 3
+    logged = [r["value"].partition("] ")[2] for r in spark.read.text(log).collect()]
+    assert sum(line.startswith("uploaded ") for line in logged) == 3
+    assert [line for line in logged if not line.startswith("uploaded ")] == [
+        "  s3://w/in: 3 objects, 3 nested folder(s):", "    a", "    b", "    b/c", "  s3://w/in/b: 2 objects, 1 nested folder(s):", "    c",
+        "  Total: 5 objects. Starting copy."]
     checks = verify_copy(spark, plan, keyed(spark, tmp_path / "out"))
     assert {r["check"] for r in checks.collect()} == {"verified"}
     write(tmp_path / "out", "N/a/1", b"cut short")
@@ -255,7 +259,9 @@ def test_copy_run_fails_after_logging(spark, tmp_path):
     plan.tasks = plan.tasks.union(plan.tasks.select("source_no", "source", F.lit("p/gone").alias("src"), F.lit("p/gone").alias("dst"), "size", F.lit(2).cast("long")))
     with pytest.raises(T.TransferError):
         run_copy(plan, str(tmp_path / "in"), str(tmp_path / "out"), log=str(tmp_path / "log"))
-    assert spark.read.text(str(tmp_path / "log")).count() == 2
+    logged = [r["value"] for r in spark.read.text(str(tmp_path / "log")).collect()]
+    assert sum("->" in line for line in logged) == 2 and sum("error" in line for line in logged) == 1
+    assert sum("Total: 2 objects" in line for line in logged) == 1 and len(logged) == 4
 
 
 def test_log_stamps_are_utc(spark, conf, tmp_path):
