@@ -271,3 +271,11 @@ def test_components(spark):
     want = {i: 0 for i in range(41)} | {100: 100, 200: 100, 300: 100}
     assert {r.node: r.component for r in got.collect()} == want
     assert components.connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_archives_are_read_back_by_many_tasks(spark, tmp_path):
+    df = spark.range(400).selectExpr("id AS page_id", "concat('page ', id) AS html").repartition(40, "page_id")
+    archives, chunks = warc.archive_table(df, "page_id", "html", None, f"file://{tmp_path}")
+    assert archives.count() >= 30
+    used = chunks.select(F.spark_partition_id().alias("p"), "row_id").collect()
+    assert len({r["p"] for r in used}) > 10 and sorted(r["row_id"] for r in used) == list(range(400))

@@ -189,7 +189,8 @@ def _number(text: str | None) -> int | None:
 def read_chunks(archives: DataFrame, root: str, keep_data: bool = True) -> DataFrame:
     """Chunk rows of the archives in ``archives.file``; ``root`` is any uri on their file system.
 
-    Archives are dealt one by one, so one task reads at most a few. Without
+    There are as many tasks as archives, so one task reads at most a few; without a
+    number Spark would put the short rows of names into one task. Without
     ``keep_data`` the bytes are dropped after they are digested.
     """
     names = [c.split(" ")[0] for c in CHUNK_SCHEMA.split(", ")]
@@ -219,7 +220,8 @@ def read_chunks(archives: DataFrame, root: str, keep_data: bool = True) -> DataF
                 with fs.open_input_stream(name) as source:
                     yield from rows(source)
 
-    return archives.select("file").repartition(F.col("file")).mapInArrow(work, CHUNK_SCHEMA)
+    dealt = archives.select("file").repartition(max(1, archives.count()), "file")
+    return dealt.mapInArrow(work, CHUNK_SCHEMA)
 
 
 def records(chunks: DataFrame) -> DataFrame:
