@@ -155,6 +155,13 @@ def test_hidden_inputs_are_refused(spark, tmp_path):
         with pytest.raises(HiddenInput):
             read_lines(spark, path)
     assert read_lines(spark, str(tmp_path / "d.csv")).count() == 1
+    deep = tmp_path / "p" / "a=1" / "b=2"
+    deep.mkdir(parents=True)
+    (deep / "f.csv").write_text("a,1\n")
+    assert read_lines(spark, str(tmp_path / "p")).count() == 1
+    (deep / "_g.csv").write_text("a,1\n")
+    with pytest.raises(HiddenInput):
+        read_lines(spark, str(tmp_path / "p"))
 
 
 def test_result_is_not_written_into_the_input(spark, tmp_path):

@@ -42,17 +42,22 @@ def refuse_hidden(spark: SparkSession, path: str | list[str]) -> None:
     """Raise for names with ``_`` or ``.`` in front among the inputs.
 
     Spark's text reader passes over them, whether named, matched by a pattern or
-    in a folder. Looks at the given paths and one level below; markers of Spark's
-    own writers and checksums are no data.
+    in a folder. Looks where the reader does: at the given paths, one level below,
+    and below folders of partitions (``name=value``). Markers of Spark's own writers
+    and checksums are no data.
     """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     hidden = []
     for one in [path] if isinstance(path, str) else path:
         place = jvm.org.apache.hadoop.fs.Path(one)
         fs = place.getFileSystem(conf)
-        for status in fs.globStatus(place) or []:
+        waiting = list(fs.globStatus(place) or [])
+        while waiting:
+            status = waiting.pop()
             names = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
             hidden += [n.getPath().toString() for n in names if _is_hidden(n.getPath().getName())]
+            if status.isDirectory():
+                waiting += [n for n in names if n.isDirectory() and "=" in n.getPath().getName()]
     if hidden:
         raise HiddenInput(f"{len(hidden)} inputs would be passed over, rename them: {sorted(hidden)[:10]}")
 
