@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from wharfline.functions.text import key_variants as spellings
 from wharfline.functions.text import preview
-from wharfline.operators.lookup import lookup_join
+from wharfline.operators.lookup import fits_broadcast, lookup_join
 from wharfline.workdir import ensure_checkpoint_dir
 
 # How many rows each sample shows.
@@ -71,12 +71,19 @@ def key_variants(
 ) -> DataFrame:
     """For each distinct probe key the first spelling that is in the list.
 
-    k, rule (0-based position of the spelling, null if none), found_as.
+    k, rule (0-based position of the spelling, null if none), found_as. The
+    spellings of a few keys are broadcast to the list, which is then read once and
+    not shuffled; those of many keys look the list up.
     """
+    ensure_checkpoint_dir(probe.sparkSession)
     tried = probe.select("k").distinct().select(
         "k", F.posexplode(F.array(*spellings("k"))).alias("rule", "variant")
-    )
-    listed = keys.select(F.col("k").alias("variant"), F.lit(1).alias("listed"))
+    ).checkpoint()
+    listed = keys.select(F.col("k").alias("variant"))
+    wanted = tried.select("variant").distinct()
+    if fits_broadcast(wanted, max_broadcast_bytes):
+        listed = listed.join(F.broadcast(wanted), "variant", "left_semi").distinct()
+    listed = listed.withColumn("listed", F.lit(1))
     looked_up = lookup_join(tried, listed, "variant", "left", max_broadcast_bytes)
     hit = F.when(F.col("listed") == 1, F.struct("rule", "variant"))
     return (
