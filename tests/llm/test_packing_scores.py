@@ -26,3 +26,39 @@ def test_neighbours_by_all_tokens_of_a_seed():
         got = list(index.neighbours(seed, unused))
         assert sorted(got) == np.flatnonzero(unused).tolist()
         assert (np.diff(scores[got]) < 1e-3).all()
+
+
+def test_neighbours_in_order_of_score_and_place():
+    """More texts than are put in order at first, with ties among them."""
+    rng = np.random.default_rng(5)
+    docs = [rng.integers(0, 40, 12).astype(np.uint32) for _ in range(150)] * 2
+    idf = rng.random(40).astype(np.float32) + 1
+    index = packing._Index(docs, idf, 12.0)
+    unused = rng.random(len(docs)) < 0.8
+    for seed in range(0, len(docs), 17):
+        score = index.scores(seed)
+        left = np.flatnonzero(unused)
+        assert list(index.neighbours(seed, unused)) == sorted(left.tolist(), key=lambda i: (-score[i], i))
+    unused[:] = False
+    assert list(index.neighbours(0, unused)) == []
+
+
+def test_close_texts_meet_wherever_they_are_stored(spark):
+    """Twenty topics dealt to many partitions; a shard is far smaller than the corpus."""
+    rng = np.random.default_rng(6)
+    topic = [rng.choice(60000, 40, replace=False) for _ in range(20)]
+    rows = []
+    for i in range(400):
+        ids = np.append(rng.permutation(topic[i % 20])[:36], 2).astype(np.uint32)
+        rows.append((i, bytearray(packing.pack_ids(ids))))
+    tokens = spark.createDataFrame(rows, "doc_id long, ids binary").repartition(16)
+    idf, mean = packing.token_weights(tokens)
+    pieces = packing.pack(tokens, idf, mean, window=256, shard_tokens=2000).collect()
+    assert sum(p.length for p in pieces) == 400 * 37
+    mates = Counter()
+    for p in pieces:
+        mates[p.sequence_id, p.doc_id % 20] += p.length
+    best = Counter()
+    for (sequence, _), n in mates.items():
+        best[sequence] = max(best[sequence], n)
+    assert sum(best.values()) > 0.7 * 400 * 37

@@ -2,15 +2,17 @@
 
 Texts become token ids once, stored in the shared folder. Document frequencies
 of all tokens over all texts make the weights of BM25; the vocabulary bounds
-their number. Then every task goes through its part of the stored texts in
-shards. A shard has an inverted index; a window starts with a seed, the seed's
-BM25 neighbours that are still unused follow, best first, and the text that
+their number. Texts are then put in the order of a min-hash of their heaviest
+tokens, wherever they were stored, so that lexically close ones lie side by
+side, and every task goes through its range of that order in shards. A shard
+has an inverted index; a window starts with a seed, the seed's BM25 neighbours
+that are still unused follow, best first (ties in order), and the text that
 does not fit is cut, its rest being the next seed. What is open at the end of a
 shard goes on in the next. The last window of a task is cut into pieces whose
 lengths are powers of two, which need no padding.
 
-Shards are runs of stored texts, so no key decides who meets whom and none can
-be hot; neighbours are looked for within a shard.
+The order has the text's hash after the min-hash, so ranges split a min-hash
+that very many texts share; neighbours are looked for within a shard.
 """
 
 from __future__ import annotations
@@ -33,6 +35,9 @@ WINDOW = 4096
 END_ID = 2                 # follows every text, by contract
 SHARD_TOKENS = 1 << 20     # tokens of a shard; a longer text is one by itself
 K1, B = 1.2, 0.75
+HEAVY_TOKENS = 8           # tokens of a text whose min-hash says where it lies
+DENSE_SHARE = 8            # tokens in one of so many texts of a shard have a row of all its texts
+FIRST_NEIGHBOURS = 64      # best ones put in order at first; the rest only when a window asks for more
 CACHE_WORDS = 3_000_000    # words whose ids a worker remembers
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -233,37 +238,73 @@ def token_weights(tokens: DataFrame) -> tuple[np.ndarray, float]:
     return np.log1p((docs - df + 0.5) / (df + 0.5)).astype(np.float32), total / max(1, docs)
 
 
+def text_places(tokens: DataFrame, idf: np.ndarray) -> DataFrame:
+    """Add ``place``: the least hash among a text's heaviest tokens, ties to the smaller token."""
+    tag = ((np.arange(len(idf), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(1)
+
+    def place(raw: bytes) -> int:
+        own = np.unique(unpack_ids(raw))
+        if len(own) > HEAVY_TOKENS:
+            own = own[np.argsort(-idf[own], kind="stable")[:HEAVY_TOKENS]]
+        return int(tag[own].min())
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([place(raw) for raw in batch.column(1).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], ["doc_id", "ids", "place"])
+
+    return tokens.select("doc_id", "ids").mapInArrow(work, "doc_id long, ids binary, place long")
+
+
 class _Index:
-    """BM25 inverted index of one shard."""
+    """BM25 inverted index of one shard.
+
+    Tokens of many texts have a row of weights of all texts, which adds up
+    without scattering; these rows hold at most ``DENSE_SHARE`` numbers for each
+    posting. Other tokens have lists.
+    """
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
-        terms, owner, tf = [], [], []
-        for i, ids in enumerate(docs):
-            t, n = np.unique(ids, return_counts=True)
-            terms.append(t)
-            tf.append(n)
-            owner.append(np.full(len(t), i, np.int32))
-        self.begin = np.concatenate([[0], np.cumsum([len(t) for t in terms])])
-        term, doc, n = np.concatenate(terms), np.concatenate(owner), np.concatenate(tf).astype(np.float32)
-        length = np.array([len(d) for d in docs], np.float32)[doc]
-        self.term, weight = term, idf[term] * n * (K1 + 1) / (n + K1 * (1 - B + B * length / mean))
-        order = np.argsort(term, kind="stable")
-        self.doc, self.posted = doc[order], weight[order]
-        self.values, self.first = np.unique(term[order], return_index=True)
-        self.first = np.append(self.first, len(order))
         self.n = len(docs)
+        length = np.array([len(d) for d in docs])
+        flat = np.concatenate(docs).astype(np.int64) * self.n + np.repeat(np.arange(self.n), length)
+        pairs, n = np.unique(flat, return_counts=True)
+        term, doc = np.divmod(pairs, self.n)
+        n = n.astype(np.float32)
+        norm = (K1 * (1 - B + B * length / mean)).astype(np.float32)[doc]
+        weight = idf[term] * n * np.float32(K1 + 1) / (n + norm)
+        _, first, place = np.unique(term, return_index=True, return_inverse=True)
+        many = np.diff(np.append(first, len(term))) * DENSE_SHARE >= self.n
+        # places of a text's tokens, text by text
+        order = np.argsort(doc, kind="stable")
+        self.own, self.begin = place[order], np.searchsorted(doc[order], np.arange(self.n + 1))
+        self.row = np.where(many, np.cumsum(many) - 1, -1)
+        in_row = many[place]
+        self.rows = np.zeros((int(many.sum()), self.n), np.float32)
+        self.rows[self.row[place[in_row]], doc[in_row]] = weight[in_row]
+        self.doc, self.posted = doc[~in_row], weight[~in_row]
+        self.first = np.searchsorted(place[~in_row], np.arange(len(first) + 1))
+
+    def scores(self, seed: int) -> np.ndarray:
+        """Score of every text for all of the seed's tokens."""
+        own = self.own[self.begin[seed]:self.begin[seed + 1]]
+        row = self.row[own]
+        score = self.rows[row[row >= 0]].sum(axis=0)
+        listed = own[row < 0]
+        at, size = self.first[listed], self.first[listed + 1] - self.first[listed]
+        pick = np.arange(size.sum()) + np.repeat(at - (np.cumsum(size) - size), size)
+        return score + np.bincount(self.doc[pick], self.posted[pick], self.n)
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused texts by their score for all of the seed's tokens; those without one come last, in order."""
-        term = self.term[self.begin[seed]:self.begin[seed + 1]]
-        score = np.zeros(self.n, np.float32)
-        for t in np.searchsorted(self.values, term):
-            at = slice(self.first[t], self.first[t + 1])
-            score[self.doc[at]] += self.posted[at]  # a text occurs once in a list
         left = np.flatnonzero(unused)
-        if not len(left):
-            return
-        yield from left[np.argsort(-score[left], kind="stable")].tolist()
+        score = -self.scores(seed)[left]
+        if len(left) > FIRST_NEIGHBOURS:
+            # all as good as the last of the first ones are among them, so ties stay in order
+            best = score <= np.partition(score, FIRST_NEIGHBOURS - 1)[FIRST_NEIGHBOURS - 1]
+            yield from left[best][np.argsort(score[best], kind="stable")].tolist()
+            left, score = left[~best], score[~best]
+        yield from left[np.argsort(score, kind="stable")].tolist()
 
 
 def pack(tokens: DataFrame, idf: np.ndarray, mean: float, window: int = WINDOW,
@@ -274,6 +315,10 @@ def pack(tokens: DataFrame, idf: np.ndarray, mean: float, window: int = WINDOW,
     sequences are full or have a power of two ids. Sequence ids are unique: the
     task's number and a count.
     """
+    places = text_places(tokens, idf)
+    # ids decide what else is equal: a task that runs again meets the same order
+    ordered = places.withColumn("spread", F.xxhash64("doc_id", "ids"))
+    ordered = ordered.repartitionByRange("place", "spread").sortWithinPartitions("place", "spread", "doc_id", "ids")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 40
@@ -354,7 +399,7 @@ def pack(tokens: DataFrame, idf: np.ndarray, mean: float, window: int = WINDOW,
         close()
         yield flush()
 
-    return tokens.select("doc_id", "ids").mapInArrow(work, _PIECES)
+    return ordered.select("doc_id", "ids").mapInArrow(work, _PIECES)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
