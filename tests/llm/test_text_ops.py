@@ -220,6 +220,67 @@ def test_line_dedup_shift():
     assert all(b - a > 1 for a, b in line_dedup.cut(lines))
 
 
+def _lines_left(rows):
+    """Lines of each text by the rule itself: a chunk of any family that an earlier place holds goes."""
+    first, chunks = {}, []
+    for doc, text in sorted(rows):
+        lines = text.encode().split(b"\n")
+        for a, b in line_dedup.all_chunks(lines):
+            body = b"\n".join(lines[a:b])
+            if body.strip():
+                chunks.append((doc, a, b, body))
+                first[body] = min(first.get(body, (doc, a)), (doc, a))
+    gone = {(doc, i) for doc, a, b, body in chunks if first[body] != (doc, a) for i in range(a, b)}
+    return {doc: [x for i, x in enumerate(text.split("\n")) if (doc, i) not in gone] for doc, text in rows}
+
+
+def test_line_dedup_against_brute_force(docs_table):
+    """Passages of two to six lines among lines of their own, with repeated and blank lines."""
+    rng = np.random.default_rng(8)
+    passages = [[f"passage {p} line {i} " + "word " * 20 for i in range(2 + p % 5)] for p in range(20)]
+    rows = []
+    for doc in range(200):
+        # passages stay in one piece among lines of the text's own
+        parts = [[f"own {doc} {i}"] for i in range(int(rng.integers(0, 6)))] + [passages[p] for p in rng.integers(0, 20, 2)]
+        lines = [x for k in rng.permutation(len(parts)) for x in parts[k]] + [["", "x", "x"], [" ", ""], []][doc % 3]
+        rows.append((doc, "\n".join(lines)))
+    df = docs_table(rows)
+    got = {r.doc_id: r.text.split("\n") for r in line_dedup.drop_repeated_lines(df).collect()}
+    want = {doc: lines or [""] for doc, lines in _lines_left(rows).items()}
+    assert got == want
+    # every line is left somewhere, and once where a neighbour in its passage differs in the families' bits
+    left = [x for lines in got.values() for x in lines]
+    assert {x for _, t in rows for x in t.split("\n")} - {"", " "} <= set(left)
+    held = {x for _, t in rows for x in t.split("\n")}
+    found = 0
+    for lines in passages:
+        for i, x in enumerate(lines):
+            bits = [line_dedup.line_hash(lines[k].encode()) % 64 for k in (i - 1, i + 1) if 0 <= k < len(lines)]
+            if x in held and any(b != line_dedup.line_hash(x.encode()) % 64 for b in bits):
+                assert left.count(x) == 1, x
+                found += 1
+    assert found > 0.9 * sum(map(len, passages))
+
+
+def test_line_dedup_long_texts_and_lines(docs_table):
+    long_line = "y" * 3_000_000
+    body = "\n".join(f"row {i}" for i in range(60_000))
+    df = docs_table([(1, f"a\n{long_line}\nb"), (2, f"c\n{long_line}\nb"), (3, body), (4, "new\n" + body)])
+    got = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(df).collect()}
+    assert got[1] == f"a\n{long_line}\nb" and got[2] == "c" and got[3] == body
+    assert got[4].startswith("new") and len(got[4]) < 30
+
+
+def test_cover_holds_all_lines_of_its_chunks():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        chunks = sorted({(int(a), int(a + n)) for a, n in zip(rng.integers(0, 30, 12), rng.integers(2, 7, 12), strict=True)})
+        picked = [chunks[i] for i in line_dedup.cover(chunks)]
+        lines = lambda cs: {i for a, b in cs for i in range(a, b)}
+        assert lines(picked) == lines(chunks)
+    assert line_dedup.cover([]) == []
+
+
 def test_clean_documents_drops_what_is_emptied(docs_table):
     body = "\n".join(f"line {i} {i * i}" for i in range(6))
     df = docs_table([(1, body), (2, body), (3, ""), (4, None), (5, "single")])
