@@ -2,7 +2,7 @@
 
 Texts become token ids once, stored in the shared folder. Document frequencies
 of all tokens over all texts make the weights of BM25; the vocabulary bounds
-their number. Texts are then put in the order of a min-hash of their heaviest
+their number. Texts are then put in the order of a min-hash that favours rare
 tokens, wherever they were stored, so that lexically close ones lie side by
 side, and every task goes through its range of that order in shards. A shard
 has an inverted index; a window starts with a seed, the seed's BM25 neighbours
@@ -35,7 +35,7 @@ WINDOW = 4096
 END_ID = 2                 # follows every text, by contract
 SHARD_TOKENS = 1 << 20     # tokens of a shard; a longer text is one by itself
 K1, B = 1.2, 0.75
-HEAVY_TOKENS = 8           # tokens of a text whose min-hash says where it lies
+TASK_SHARDS = 32           # shards of a task where there are enough of them
 DENSE_SHARE = 8            # tokens in one of so many texts of a shard have a row of all its texts
 FIRST_NEIGHBOURS = 64      # best ones put in order at first; the rest only when a window asks for more
 CACHE_WORDS = 3_000_000    # words whose ids a worker remembers
@@ -239,23 +239,31 @@ def token_weights(tokens: DataFrame) -> tuple[np.ndarray, float]:
 
 
 def text_places(tokens: DataFrame, idf: np.ndarray) -> DataFrame:
-    """Add ``place``: the least hash among a text's heaviest tokens, ties to the smaller token."""
-    tag = ((np.arange(len(idf), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(1)
+    """Add ``place``: a min-hash of a text's distinct tokens, in which a token counts by the fourth power of its weight.
 
-    def place(raw: bytes) -> int:
-        own = np.unique(unpack_ids(raw))
-        if len(own) > HEAVY_TOKENS:
-            own = own[np.argsort(-idf[own], kind="stable")[:HEAVY_TOKENS]]
-        return int(tag[own].min())
+    The same token of two texts has the same rank, so texts that share their rare tokens mostly share the least one.
+    """
+    tag = (np.arange(len(idf), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    uniform = ((tag ^ (tag >> np.uint64(29))) >> np.uint64(11)).astype(np.float64) / 2.0**53
+    draw = -np.log1p(-uniform) / np.maximum(idf.astype(np.float64), 1e-9) ** 4
+    rank = np.empty(len(idf), np.int32)
+    rank[np.argsort(draw, kind="stable")] = np.arange(len(idf))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pa.array([place(raw) for raw in batch.column(1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], ["doc_id", "ids", "place"])
+            found = [int(rank[unpack_ids(raw)].min()) for raw in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], ["doc_id", "ids", "place"])
 
     return tokens.select("doc_id", "ids").mapInArrow(work, "doc_id long, ids binary, place long")
 
 
+def task_count(tokens: DataFrame, shard_tokens: int) -> int:
+    """Ranges by the size of the stored ids: ``TASK_SHARDS`` shards each, fewer where that leaves cores without one."""
+    size = tokens.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    shards = size // (2 * shard_tokens) + 1
+    return max(-(-shards // TASK_SHARDS), min(shards, 2 * tokens.sparkSession.sparkContext.defaultParallelism))
+
+
 class _Index:
     """BM25 inverted index of one shard.
 
@@ -318,7 +326,8 @@ def pack(tokens: DataFrame, idf: np.ndarray, mean: float, window: int = WINDOW,
     places = text_places(tokens, idf)
     # ids decide what else is equal: a task that runs again meets the same order
     ordered = places.withColumn("spread", F.xxhash64("doc_id", "ids"))
-    ordered = ordered.repartitionByRange("place", "spread").sortWithinPartitions("place", "spread", "doc_id", "ids")
+    ranges = task_count(tokens, shard_tokens)
+    ordered = ordered.repartitionByRange(ranges, "place", "spread").sortWithinPartitions("place", "spread", "doc_id", "ids")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 40
