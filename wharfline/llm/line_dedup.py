@@ -135,16 +135,25 @@ def _chunk_bytes(docs: DataFrame, found: DataFrame, id_col: str, text_col: str)
     as many as cover their lines."""
     wanted = found.groupBy(F.col("doc").alias("w_doc"), F.col("text_key").alias("w_key")).agg(
         F.sort_array(F.collect_set(F.struct("line", "n_lines", "chunk_key", "is_first"))).alias("wanted"))
-    texts = _keyed(docs, id_col, text_col).join(
+
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            packed = pa.array([pack(raw.as_py()) for raw in batch.column(2)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], ["doc", "text_key", "text"])
+
+    # a text of one line has no chunk to compare
+    several = _keyed(docs, id_col, text_col).where(F.contains("text", F.lit(b"\n")))
+    texts = several.mapInArrow(squeeze, "doc long, text_key long, text binary").join(
         wanted, F.col("doc").eqNullSafe(F.col("w_doc")) & (F.col("text_key") == F.col("w_key"))
     ).select("doc", "text_key", "text", "wanted")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack, unpack = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
         for batch in batches:
             size, rows = 0, []
             for doc, key, raw, found in zip(*(batch.column(i) for i in range(4)), strict=True):
-                raw, found, head = raw.as_py(), found.as_py(), (doc.as_py(), key.as_py())
+                raw, found, head = unpack(raw.as_py()), found.as_py(), (doc.as_py(), key.as_py())
                 at = _begins(raw.split(b"\n"))
                 copies = [c for c in found if not c["is_first"]]
                 picked = cover([(c["line"], c["line"] + c["n_lines"]) for c in copies])
