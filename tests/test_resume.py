@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from wharfline.plans.match_run import run_match
 from wharfline.plans.resumable_run import batch_counts, extend_plan, outcomes_of, run_stored, store_plan
 from wharfline.plans.unpack_run import resume_unpack
+from wharfline.sources import gzip_ranges as GZ
 from wharfline.sources.gzip_ranges import GzipError, index_gzip, lines_of_range, read_ranges
 from wharfline.sources.inventory import walk_inventory
 from wharfline.sources.ledger import read_ledger
-from wharfline.sources.matches import write_one_file
+from wharfline.sources.matches import write_one_file, write_one_gzip
+from workload.queries import gz_ranges
 
 
 class Stop(Exception):
@@ -136,6 +138,32 @@ def test_match_into_one_file(spark, tmp_path):
     assert (tmp_path / "matches_output.csv").read_bytes() == b"a,1\nb,2\na,3\nb" and run.n_matches == 4
 
 
+def test_one_gzip_file_by_many_tasks(spark, tmp_path, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "6")
+    lines = spark.range(5000).select(F.col("id").alias("pos"), F.when(F.col("id") % 50 > 0, F.concat(F.lit("é"), F.col("id") * 7)).alias("value"))
+    size = write_one_gzip(lines.orderBy(F.desc("pos")), str(tmp_path / "in" / "x.gz"))
+    packed = (tmp_path / "in" / "x.gz").read_bytes()
+    text = "".join((f"é{i * 7}" if i % 50 else "") + "\n" for i in range(5000)).encode()
+    assert gzip.decompress(packed) == text and size == len(packed)
+    index = index_gzip(spark.createDataFrame([(str(tmp_path / "in" / "x.gz"),)], "uri string"), span=1)
+    assert index.filter(F.col("bits") == -1).count() == 6, "a member for each partition"
+    assert write_one_gzip(lines.limit(0), str(tmp_path / "none.gz")) == 0 and gzip.decompress((tmp_path / "none.gz").read_bytes()) == b""
+
+
+def test_gz_ranges_sorts_in_many_tasks(spark, tmp_path, conf, monkeypatch):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "6")
+    spark.range(3000).select(F.col("id").alias("o_orderkey"), (F.col("id") % 9).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+                             F.lit("1-URGENT").alias("o_orderpriority")).write.parquet(str(tmp_path / "orders.parquet"))
+    seen, index = [], GZ.index_gzip
+    monkeypatch.setattr(GZ, "index_gzip", lambda files, *a, **k: seen.append(index(files, None, 1)) or index(files, *a, **k))
+    got = gz_ranges(spark, str(tmp_path)).orderBy("line_no").collect()
+    assert [(r["line_no"], r["value"]) for r in got] == [(i + 1, f"{i % 9},{i},F,1-URGENT") for i in range(3000)]
+    assert seen[0].select("uri").distinct().count() == 1
+    assert seen[0].filter(F.col("bits") == -1).count() == 6, "one file, a member for each sorted partition"
+
+
 def some_text(n, seed):
     rng = random.Random(seed)
     ends = [b"\n"] * 8 + [b"\r\n", b"\r", b"\n\n"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from fnmatch import fnmatchcase
 
@@ -24,6 +25,7 @@ cloudpickle.register_pickle_by_value(wharfline)
 
 # Fixed value: name of the result beside the data file.
 OUTPUT_NAME = "matches_output.csv"
+GZIP = 31  # zlib's window bits for a gzip member
 
 
 def output_path(data_path: str) -> str:
@@ -85,8 +87,25 @@ def _sizes(values: pa.Array) -> np.ndarray:
     return pc.binary_length(values).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _write_ranges(staged: str):
-    """Writer of lines at their places in the staged file; what is next to each other goes in one write."""
+def _gzip_member(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of a partition as one gzip member, piece by piece, and where each piece begins; nothing without lines."""
+    packer, at, some = zlib.compressobj(wbits=GZIP), 0, False
+
+    def row(piece: bytes) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"value": pa.array([piece], pa.binary()), "at": pa.array([at], pa.int64())})
+
+    for batch in batches:
+        some = some or len(batch) > 0
+        piece = packer.compress(b"".join([(v or b"") + b"\n" for v in batch.column("value").to_pylist()]))
+        if piece:
+            yield row(piece)
+            at += len(piece)
+    if some:
+        yield row(packer.flush())
+
+
+def _write_ranges(staged: str, end: bytes):
+    """Writer of lines at their places in the staged file, ``end`` after each; what is next to each other goes in one write."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n_bytes = 0
@@ -94,7 +113,7 @@ def _write_ranges(staged: str):
             if not len(batch):
                 continue
             begins = batch.column("begin").to_numpy()
-            lines = [v + b"\n" for v in batch.column("value").to_pylist()]
+            lines = [v + end for v in batch.column("value").to_pylist()]
             ends = begins + np.array([len(line) for line in lines])
             cuts = [0, *(np.flatnonzero(begins[1:] != ends[:-1]) + 1).tolist(), len(lines)]
             for a, b in zip(cuts, cuts[1:]):
@@ -104,27 +123,15 @@ def _write_ranges(staged: str):
     return write
 
 
-def write_one_file(lines: DataFrame, path: str, pos: str = "pos") -> int:
-    """Write ``value`` in the order of ``pos`` as one file of ``\\n``-separated lines; returns its bytes.
-
-    Many tasks write it: lines are range-partitioned, sorted and stored with
-    their places, and the sizes of the partitions before tell each where it
-    begins in the file. The last line has no line end, no lines give an empty
-    file. The file gets its name when all ranges are there; a repeated task
-    writes the same bytes at the same places. ``path`` is on a folder that all
-    executors share.
-    """
-    target = posix_path(path)
-    if target is None:
-        raise ValueError(f"one file is written in ranges, which {path} does not allow; write parts instead")
-    spark = lines.sparkSession
+def _write_joined(placed: DataFrame, target: str, end: bytes) -> int:
+    """Store ``value, at`` of sorted partitions, and write the partitions one after the other, ``end`` between values and between partitions; returns the file's bytes."""
+    spark = placed.sparkSession
     table = new_dir(spark, "one-file")
-    placed = lines.repartitionByRange(pos).sortWithinPartitions(pos).select(F.col("value").cast("binary").alias("value"))
-    placed.mapInArrow(_with_places, "value binary, at bigint").withColumn("part", F.spark_partition_id()).write.parquet(table)
+    placed.withColumn("part", F.spark_partition_id()).write.parquet(table)
     stored = spark.read.schema("value binary, at bigint, part int").parquet(table)
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     # one row per partition, so one task and a broadcast hold it
-    parts = stored.groupBy("part").agg(F.sum(F.octet_length("value") + F.lit(1)).alias("n"))
+    parts = stored.groupBy("part").agg(F.sum(F.octet_length("value") + F.lit(len(end))).alias("n"))
     starts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     staged = staging_name(target, uuid.uuid4().hex)
     os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
@@ -132,10 +139,46 @@ def write_one_file(lines: DataFrame, path: str, pos: str = "pos") -> int:
     written = new_dir(spark, "ranges")
     ranges = stored.join(F.broadcast(starts), "part").select("value", (F.col("at") + F.col("start")).alias("begin"))
     try:
-        ranges.mapInArrow(_write_ranges(staged), "n_bytes bigint").write.parquet(written)
+        ranges.mapInArrow(_write_ranges(staged, end), "n_bytes bigint").write.parquet(written)
         total = spark.read.schema("n_bytes bigint").parquet(written).agg(F.sum("n_bytes")).first()[0] or 0
         if total:
-            os.truncate(staged, total - 1)
-        return commit_staged(staged, target, max(total - 1, 0))
+            os.truncate(staged, total - len(end))
+        return commit_staged(staged, target, max(total - len(end), 0))
     finally:
         discard_staged(staged)
+
+
+def _one_file(path: str) -> str:
+    target = posix_path(path)
+    if target is None:
+        raise ValueError(f"one file is written in ranges, which {path} does not allow; write parts instead")
+    return target
+
+
+def _in_order(lines: DataFrame, pos: str) -> DataFrame:
+    return lines.repartitionByRange(pos).sortWithinPartitions(pos).select(F.col("value").cast("binary").alias("value"))
+
+
+def write_one_file(lines: DataFrame, path: str, pos: str = "pos") -> int:
+    """Write ``value`` in the order of ``pos`` as one file of ``\\n``-separated lines; returns its bytes.
+
+    Many tasks write it: lines are range-partitioned, sorted and stored with
+    their places, and the sizes of the partitions before tell each where it
+    begins in the file. The last line has no line end, no lines give an empty
+    file. The file gets its name when all ranges are there; a repeated task
+    writes the same bytes at the same places. ``path`` is on a folder that all
+    executors share.
+    """
+    target = _one_file(path)
+    return _write_joined(_in_order(lines, pos).mapInArrow(_with_places, "value binary, at bigint"), target, b"\n")
+
+
+def write_one_gzip(lines: DataFrame, path: str, pos: str = "pos") -> int:
+    """Write ``value`` in the order of ``pos`` as one gzip file, a newline after every line; returns its bytes.
+
+    Many tasks write it, as in :func:`write_one_file`: each sorted partition is a
+    member of its own, and members one after the other are one gzip file. A null
+    value is an empty line; no lines give an empty file.
+    """
+    target = _one_file(path)
+    return _write_joined(_in_order(lines, pos).mapInArrow(_gzip_member, "value binary, at bigint"), target, b"")

@@ -28,6 +28,7 @@ from wharfline.sources import inventory as INV
 from wharfline.sources import ledger as LG
 from wharfline.sources import lines as L
 from wharfline.sources.head import head_sample_keys
+from wharfline.sources.matches import write_one_gzip
 from wharfline.streaming.match import stream_match as start_stream
 from wharfline.streaming.progress import counted_match, totals
 from wharfline.workdir import new_dir
@@ -269,8 +270,7 @@ def match_one_file(spark, d):
 def gz_ranges(spark, d):
     """One gzip file read by many tasks from the places of its index, lines numbered."""
     base = new_dir(spark, "gz")
-    ordered = V.order_lines(spark, d).coalesce(1).sortWithinPartitions("pos")
-    _write_lines(ordered, f"{base}/in", compression="gzip")
+    write_one_gzip(V.order_lines(spark, d), f"{base}/in/lines.gz")
     files = INV.walk_inventory(spark, f"{base}/in").filter(P.is_gz("path"))
     lines = GZ.read_ranges(GZ.index_gzip(files, f"{base}/index", span=64 * 1024))
     return number_rows(lines, ["pos"], "line_no").select("line_no", "value")
