@@ -11,6 +11,7 @@ from wharfline.operators.numbering import number_rows
 from wharfline.sources import inventory, listing
 from wharfline.sources.inventory import scan_inventory, walk_inventory
 from wharfline.sources.matches import output_path
+from workload.queries import many_sources
 
 
 def inv(spark, keys):
@@ -60,6 +61,21 @@ def test_thousands_of_sources_make_no_larger_plan(spark, bound):
     assert abs(size(many) - size(few)) < 200
 
 
+def test_many_sources_gathers_files_by_folder(spark, tmp_path):
+    orders = [(k, k % 7 if k % 11 else None, "FO"[k % 2], float(k)) for k in range(300)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k,) for k in [0, 1, 2, 3, 4, 9]], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    found = many_sources(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan, "a task counts the sources of its folders only"
+    expected = {}
+    for k in [0, 1, 2, 3, 4]:
+        for no, kinds in [(2 * k, "FO"), *([(2 * k + 1, "F")] if k % 3 == 0 else [])]:
+            prices = [int(p) for _, c, status, p in orders if c == k and status in kinds]
+            expected[no] = (len(prices), sum(prices))
+    assert {r["source_no"]: (r["n_files"], r["n_bytes"]) for r in found.collect()} == expected
+
+
 def test_no_sources(spark):
     assert FO.union_sources(inv(spark, ["a/b"]), FO.numbered_sources(spark, ["s3://b/"]).limit(0)).count() == 0
 

@@ -358,6 +358,8 @@ def many_sources(spark, d):
     files = orders.select(
         F.concat(folder, F.lit("/"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("key"),
         F.floor("o_totalprice").alias("size"))
+    # files of a folder together, split where they are many: a task then counts its own share of the sources, not all
+    files = files.withColumn("folder", P.parent_folder("key")).hint("rebalance", "folder").drop("folder")
     customers = V.table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
     whole = customers.select((F.col("k") * 2).alias("source_no"), F.concat(F.lit("s3://wharf/in/"), F.col("k").cast("string")).alias("source"))
     part = customers.filter("k % 3 = 0").select(
