@@ -163,6 +163,23 @@ def test_counterfactual_penalty_spares_neutral_mentions():
     assert abs(fair[0] - fair[1]) < 0.2 * abs(plain[0] - plain[1]) and fair[0] < 0 < fair[2]
 
 
+def test_learning_brings_chosen_features_to_the_driver(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join([f"w{rng.randrange(10**9)}" for _ in range(400)] + ["horrid women" if i % 3 == 0 else "nice day"]), int(i % 3 == 0)) for i in range(240)]
+    frame, brought = type(spark.range(1)), []
+    collect = frame.toArrow
+    monkeypatch.setattr(frame, "toArrow", lambda df: brought.append(t := collect(df)) or t)
+    monkeypatch.setattr(toxicity, "COUNTED", 20_000)
+    monkeypatch.setattr(toxicity, "MAX_FEATURES", 300)
+    model = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    one = lambda t: np.unique(toxicity.features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0])
+    order = spark.createDataFrame(rows, "doc_id long, text string, toxic int").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").collect()
+    swapped = [toxicity._swapped(r.text) for r in order]
+    whole = toxicity.fit(np.array([r.toxic for r in order]), [one(r.text) for r in order], [None if s is None else one(s) for s in swapped])
+    assert np.array_equal(model.keys, whole.keys) and np.array_equal(model.weights, whole.weights) and model.bias == whole.bias and len(model.keys) > 0
+    assert sum(t.nbytes for t in brought) < 300_000 < 8 * sum(len(one(r.text)) for r in order)
+
+
 def test_toxicity_of_odd_rows(spark, docs_table):
     docs = docs_table([(i, "you idiot" if i % 2 else "hello there") for i in range(60)] + [(100, None), (101, ""), (None, "x"), (3, "you idiot")],
                       "score", "toxicity")
@@ -178,6 +195,7 @@ def test_toxicity_of_odd_rows(spark, docs_table):
 # --- packing -----------------------------------------------------------------
 
 
+
 def check_pieces(pieces, texts, window):
     tokenizer = packing.WordTokenizer(packing.default_tokenizer())
     by_doc = {}

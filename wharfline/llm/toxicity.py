@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_name, row_tag, with_fields
+from .common import free_name, row_tag, store, with_fields
 from .exchange import runs
 from .kernels import LOWERED, blocks, mix, table_of, word_hashes, words
 
@@ -34,6 +34,7 @@ COUNTERFACTUAL = 1.0    # weight of the penalty on score changes
 EMPTY_WEIGHT = 0.2      # share of a clean text without features
 STEPS = 400
 GRAM = 5
+COUNTED = 1 << 20       # features that a task counts at a time
 
 # Names of groups; those of one line may stand for each other.
 IDENTITY_TERMS = [
@@ -92,7 +93,7 @@ def _swapped(text: str) -> str | None:
 
 
 def sample_features(rows: DataFrame, text_col: str, label_col: str) -> DataFrame:
-    """(label, features, features of the swapped text or null); hashes as bytes."""
+    """(at, label, features, features of the swapped text or null): ``at`` ascends with the rows; hashes as bytes."""
 
     def unique(text: bytes) -> bytes:
         buf = np.frombuffer(text, np.uint8)
@@ -100,25 +101,86 @@ def sample_features(rows: DataFrame, text_col: str, label_col: str) -> DataFrame
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
+            texts = [t or "" for t in batch.column(2).to_pylist()]
             other = [_swapped(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array([unique(t.encode()) for t in texts], pa.binary()),
+                [batch.column(0), batch.column(1), pa.array([unique(t.encode()) for t in texts], pa.binary()),
                  pa.array([None if o is None else unique(o.encode()) for o in other], pa.binary())],
-                ["label", "own", "swapped"])
+                ["at", "label", "own", "swapped"])
 
-    return rows.select(text_col, F.col(label_col).cast("int")).mapInArrow(work, "label int, own binary, swapped binary")
+    rows = rows.select(F.monotonically_increasing_id(), F.col(label_col).cast("int"), text_col)
+    return rows.mapInArrow(work, "at long, label int, own binary, swapped binary")
 
 
-def _matrix(sets: list[np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    rows, cols = [], []
-    for i, s in enumerate(sets):
-        at = np.searchsorted(keys, s)
-        at = at[(at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == s)] if len(keys) else at[:0]
-        rows.append(np.full(len(at), i, np.int32))
-        cols.append(at.astype(np.int32))
-    none = [np.zeros(0, np.int32)]
-    return np.concatenate(rows or none), np.concatenate(cols or none)
+def _least(n_pos: int) -> int:
+    """Texts that a feature must occur in."""
+    return min(MIN_DOCS, max(1, n_pos // 4))
+
+
+def _constant(n: int, n_pos: int) -> Model | None:
+    """The model without both labels."""
+    return Model(np.zeros(0, np.uint64), np.zeros(0), -4.0 if n_pos == 0 else 4.0) if n_pos in (0, n) else None
+
+
+def _counted(found: list[np.ndarray], labels: list[int]) -> pa.RecordBatch:
+    keys, place = np.unique(np.concatenate(found), return_inverse=True)
+    weight = np.repeat(np.array(labels, np.int64), [len(f) for f in found])
+    pos = np.bincount(place, weights=weight, minlength=len(keys)).astype(np.int64)
+    return pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "n": pa.array(np.bincount(place, minlength=len(keys))), "pos": pa.array(pos)})
+
+
+def choose_features(sample: DataFrame, n: int, n_pos: int) -> np.ndarray:
+    """The sorted hashes of the features that a model of the stored ``sample_features`` may use.
+
+    Those in enough texts are ranked by how far the share of toxic texts with the feature is from that of all, in
+    standard errors, ties by their hash. Only the chosen ones come to the driver.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, labels, size = [], [], 0
+        for batch in batches:
+            for label, own in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found.append(np.frombuffer(own.as_buffer(), np.uint64))
+                labels.append(label)
+                size += len(found[-1])
+                if size >= COUNTED:
+                    yield _counted(found, labels)
+                    found, labels, size = [], [], 0
+        if found:
+            yield _counted(found, labels)
+
+    base = n_pos / n
+    counts = sample.select("label", "own").mapInArrow(count, "key long, n long, pos long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    df = F.col("n").cast("double")
+    apart = F.abs(F.col("pos") - df * base) / F.sqrt(df * base * (1 - base))
+    unsigned = F.col("key").bitwiseXOR(F.lit(-(1 << 63)))
+    best = counts.where(F.col("n") >= _least(n_pos)).orderBy(apart.desc(), unsigned).limit(MAX_FEATURES).select("key")
+    return np.sort(best.toArrow().column(0).to_numpy().view(np.uint64))
+
+
+def _places(found: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Places of those features that are among the sorted ``keys``."""
+    at = np.searchsorted(keys, found)
+    return (at[(at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == found)] if len(keys) else at[:0]).astype(np.int32)
+
+
+def sample_places(sample: DataFrame, keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray | None]]:
+    """(labels, places of each text's features among ``keys``, the same of the swapped text or None), in the order of ``at``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = [pa.array([None if not c.is_valid else _places(np.frombuffer(c.as_buffer(), np.uint64), keys).tobytes() for c in column], pa.binary())
+                     for column in batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *cells], batch.schema.names)
+
+    found = sample.select("at", "label", "own", "swapped").mapInArrow(work, sample.schema).toArrow().sort_by("at").combine_chunks()
+    own, swapped = ([None if not c.is_valid else np.frombuffer(c.as_buffer(), np.int32) for c in found.column(i)] for i in (2, 3))
+    return found.column(1).to_numpy(), own, swapped
+
+
+def _matrix(places: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.repeat(np.arange(len(places), dtype=np.int32), [len(p) for p in places])
+    return rows, np.concatenate([np.zeros(0, np.int32), *places])
 
 
 def fit(labels: np.ndarray, own: list[np.ndarray], swapped: list[np.ndarray | None],
@@ -126,28 +188,31 @@ def fit(labels: np.ndarray, own: list[np.ndarray], swapped: list[np.ndarray | No
     """Proximal gradient descent with momentum. Without both labels the model is constant."""
     y = np.asarray(labels, np.float64)
     n, n_pos = len(y), int(y.sum())
-    if n_pos == 0 or n_pos == n:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), -4.0 if n_pos == 0 else 4.0)
-    # features of too few texts go first: they are most of all, and the fit runs on the driver
+    if constant := _constant(n, n_pos):
+        return constant
     every = np.concatenate(own)
     every.sort()
     begin, end = runs(every)
-    keys = every[begin[end - begin >= min(MIN_DOCS, max(1, n_pos // 4))]]
+    keys = every[begin[end - begin >= _least(n_pos)]]
     del every
-    r, c = _matrix(own, keys)
+    r, c = _matrix([_places(s, keys) for s in own])
     df = np.bincount(c, minlength=len(keys))
     pos = np.bincount(c, weights=y[r], minlength=len(keys))
-    # how far the share of toxic texts with the feature is from that of all, in standard errors
     base = n_pos / n
     apart = np.abs(pos - df * base) / np.sqrt(df * base * (1 - base))
-    kept = np.sort(np.argsort(-apart, kind="stable")[:MAX_FEATURES])
-    place = np.full(len(keys), -1, np.int32)
-    place[kept] = np.arange(len(kept))
-    keys, c = keys[kept], place[c]
-    r, c = r[c >= 0], c[c >= 0]
+    keys = keys[np.sort(np.argsort(-apart, kind="stable")[:MAX_FEATURES])]
+    return fit_places(y, [_places(s, keys) for s in own], [None if s is None else _places(s, keys) for s in swapped], keys, counterfactual)
+
+
+def fit_places(labels: np.ndarray, own: list[np.ndarray], swapped: list[np.ndarray | None], keys: np.ndarray,
+               counterfactual: float = COUNTERFACTUAL) -> Model:
+    """The same for chosen features, by the places of each text's among ``keys``."""
+    y = np.asarray(labels, np.float64)
+    n, n_pos = len(y), int(y.sum())
+    r, c = _matrix(own)
     pairs = [i for i, s in enumerate(swapped) if s is not None]
-    sr, sc = _matrix([swapped[i] for i in pairs], keys)
-    orow, ocol = _matrix([own[i] for i in pairs], keys)
+    sr, sc = _matrix([swapped[i] for i in pairs])
+    orow, ocol = _matrix([own[i] for i in pairs])
     # rows of the difference between a text and its swapped copy
     dr, dc = np.concatenate([orow, sr]), np.concatenate([ocol, sc])
     dv = np.concatenate([np.ones(len(orow)), -np.ones(len(sr))])
@@ -200,9 +265,14 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """
     rows = labelled.where(F.col(label_col).isNotNull())
     sample = rows.orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(sample_rows)
-    found = sample_features(sample, text_col, label_col).toArrow()
-    sets = [[None if b is None else np.frombuffer(b, np.uint64) for b in found.column(i).to_pylist()] for i in (1, 2)]
-    return fit(np.array(found.column(0).to_pylist()), *sets)
+    # what is counted and chosen stays with the tasks; the driver gets the places of chosen features only
+    found = store(sample_features(sample, text_col, label_col), "toxicity-sample")
+    n, n_pos = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if constant := _constant(n, n_pos):
+        return constant
+    keys = choose_features(found, n, n_pos)
+    labels, own, swapped = sample_places(found, keys)
+    return fit_places(labels, own, swapped, keys)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
