@@ -195,6 +195,22 @@ def test_toxicity_of_odd_rows(spark, docs_table):
 # --- packing -----------------------------------------------------------------
 
 
+def test_known_words_are_found_in_slots(monkeypatch):
+    tokenizer = packing.WordTokenizer(packing.default_tokenizer())
+    tokenizer.learn = lambda words: (np.array([int(w) for w in words], np.uint32), np.ones(len(words), np.int64))
+    raw = lambda hashes: lambda at: [str(int(h) % 1000).encode() for h in hashes[at]]
+    rng = np.random.default_rng(3)
+    # many hashes that share their leading bits, and some repeated
+    close = (np.uint64(5) << np.uint64(50)) + np.arange(700, dtype=np.uint64)
+    last = np.full(4, (1 << 64) - 1, np.uint64) - np.arange(4, dtype=np.uint64)
+    monkeypatch.setattr(packing, "CACHE_WORDS", 900_000)
+    for n in (10, 400_000, 300_000, 600_000):
+        hashes = np.concatenate([close, last, rng.integers(0, 1 << 63, n, dtype=np.uint64), close[::-1]])
+        place = tokenizer._places(hashes, raw(hashes))
+        assert np.array_equal(tokenizer.keys[place], hashes) and place.min() > 0
+        assert np.array_equal(tokenizer.pool[tokenizer.at[place]], hashes % np.uint64(1000))
+        assert len(tokenizer.keys) <= 900_001 and 2 * len(tokenizer.keys) <= len(tokenizer.slots) + 2
+
 
 def check_pieces(pieces, texts, window):
     tokenizer = packing.WordTokenizer(packing.default_tokenizer())

@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import row_tag, store
-from .exchange import members
 from .kernels import LOWERED, NOT_SPACE, blocks, word_hashes, words
 
 WINDOW = 4096
@@ -39,6 +38,7 @@ TASK_SHARDS = 32           # shards of a task where there are enough of them
 DENSE_SHARE = 8            # tokens in one of so many texts of a shard have a row of all its texts
 FIRST_NEIGHBOURS = 64      # best ones put in order at first; the rest only when a window asks for more
 CACHE_WORDS = 3_000_000    # words whose ids a worker remembers
+SLOT_BITS = 18             # of the table of remembered words at first; it grows with them
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _workers: dict[str, tuple] = {}
@@ -73,10 +73,13 @@ class WordTokenizer:
         self._forget()
 
     def _forget(self):
-        self.keys = np.zeros(0, np.uint64)     # hashes of known words, ascending
-        self.at = np.zeros(0, np.int64)        # where their ids begin
-        self.size = np.zeros(0, np.int64)
+        # known words from place 1 on
+        self.keys = np.zeros(1, np.uint64)     # their hashes
+        self.at = np.zeros(1, np.int64)        # where their ids begin
+        self.size = np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
+        self.bits = SLOT_BITS
+        self.slots = np.zeros(1 << self.bits, np.int32)  # places by the leading bits of hashes, or next to them; 0 is empty
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -131,21 +134,52 @@ class WordTokenizer:
         pick = np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)
         return np.concatenate(parts)[pick], size
 
-    def _places(self, keys: np.ndarray, words_at: Callable[[np.ndarray], list[bytes]]) -> np.ndarray:
-        """Places of distinct keys among the known words; unknown ones are learned first."""
-        known, _ = members(keys, self.keys)
-        new = np.flatnonzero(~known)
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of words by their hashes, 0 for unknown ones."""
+        at = self._slot(hashes)
+        place = self.slots[at]
+        left = np.flatnonzero((self.keys[place] != hashes) & (place > 0))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & (len(self.slots) - 1)
+            place[left] = found = self.slots[at]
+            on = (self.keys[found] != hashes[left]) & (found > 0)
+            left, at = left[on], at[on]
+        return place
+
+    def _enter(self, first: int) -> None:
+        """Put the known words from ``first`` on in their slots; at most half of these are taken."""
+        if 2 * len(self.keys) > len(self.slots):
+            self.bits = (2 * len(self.keys)).bit_length()
+            self.slots, first = np.zeros(1 << self.bits, np.int32), 1
+        left = np.arange(first, len(self.keys), dtype=np.int32)
+        at = self._slot(self.keys[first:])
+        while len(left):
+            free = self.slots[at] == 0
+            self.slots[at[free]] = left[free]
+            lost = self.slots[at] != left
+            left, at = left[lost], (at[lost] + 1) & (len(self.slots) - 1)
+
+    def _places(self, hashes: np.ndarray, words_at: Callable[[np.ndarray], list[bytes]]) -> np.ndarray:
+        """Places of words among the known ones; unknown ones are learned first."""
+        place = self._find(hashes)
+        new = np.flatnonzero(place == 0)
         if len(new):
-            if len(self.keys) + len(new) > CACHE_WORDS:
+            keys, one = np.unique(hashes[new], return_index=True)
+            if len(self.keys) + len(keys) > CACHE_WORDS:
                 self._forget()
-                new = np.arange(len(keys))
-            found, size = self.learn(words_at(new))
-            at = len(self.pool) + np.cumsum(size) - size
+                new = np.arange(len(hashes))
+                keys, one = np.unique(hashes, return_index=True)
+            found, size = self.learn(words_at(new[one]))
+            first, at = len(self.keys), len(self.pool) + np.cumsum(size) - size
             self.pool = np.concatenate([self.pool, found])
-            every = np.concatenate([self.keys, keys[new]])
-            order = np.argsort(every)
-            self.keys, self.at, self.size = every[order], np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
-        return np.searchsorted(self.keys, keys)
+            self.keys, self.at, self.size = np.concatenate([self.keys, keys]), np.concatenate([self.at, at]), np.concatenate([self.size, size])
+            self._enter(first)
+            place[new] = self._find(hashes[new])
+        return place
 
     def ids(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids before each text)."""
@@ -165,10 +199,9 @@ class WordTokenizer:
         begin = np.where(tail, ends[owner] - 1, starts[owner])
         end = np.where(tail | ~stop[owner], ends[owner], ends[owner] - 1)
         hashes = word_hashes(low, begin, end)
-        keys, one, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         raw = low.tobytes()
-        cut = lambda new: [raw[a:b] for a, b in zip(begin[one[new]].tolist(), end[one[new]].tolist(), strict=True)]
-        place = self._places(keys, cut)[inverse]
+        cut = lambda new: [raw[a:b] for a, b in zip(begin[new].tolist(), end[new].tolist(), strict=True)]
+        place = self._places(hashes, cut)
         size = self.size[place]
         total = np.concatenate([[0], np.cumsum(size)])
         pick = np.arange(total[-1]) + np.repeat(self.at[place] - total[:-1], size)
